@@ -137,3 +137,11 @@ def pack_documents(docs: DataFrame, tokenizer: str, kind: str = "word", doc_id:
         done, left = done.unionByName(again.where("not open")), again.where("open")
         if tasks == 1:
             return done.drop("open")
+
+
+def digest(packed: DataFrame) -> DataFrame:
+    """One row per piece: doc_id, start, length, ids_crc32 (of its ids as
+    little-endian unsigned 32-bit integers), doc_tokens, sequence_id, offset."""
+    pieces = packed.select("sequence_id", "ids", F.explode("pieces").alias("p"))
+    own = F.substring("ids", (F.col("p.offset") * 4 + 1).cast("int"), (F.col("p.length") * 4).cast("int"))
+    return pieces.select("p.doc_id", "p.start", "p.length", F.crc32(own).alias("ids_crc32"), "p.doc_tokens", "sequence_id", "p.offset")

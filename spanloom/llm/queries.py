@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from spanloom.llm import packing, token_counts, token_files
+from spanloom.llm import decontaminate, language_id, near_dedup, packing, preferences, token_counts, token_files, top_k, url_filter
 from spanloom.session import new_folder
 
 
@@ -17,12 +17,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
-    pieces = packed.select("sequence_id", "ids", F.explode("pieces").alias("p"))
-    return pieces.select(
-        "p.doc_id", "p.start", "p.length",
-        F.crc32(F.substring("ids", (F.col("p.offset") * 4 + 1).cast("int"), (F.col("p.length") * 4).cast("int"))).alias("ids_crc32"),
-        "p.doc_tokens", "sequence_id", "p.offset",
-    )
+    return packing.digest(packed)
+
+
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,14 +30,93 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op6_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations 2k and 2k + 1 are the chosen and the rejected answer of pair k."""
+    turns = table(spark, sf_dir, "conversations").select(
+        F.floor(F.col("conv_id") / 2).alias("pair_id"), F.when(F.pmod("conv_id", F.lit(2)) == 0, "chosen").otherwise("rejected").alias("side"), "turn", "role", "text"
+    )
+    mask = lambda c: F.array_join(F.transform(c, lambda r: F.concat(r["chars"].cast("string"), F.when(r["train"], ":1").otherwise(":0"))), ",")
+    return preferences.format_preferences(turns).withColumns({"chosen_runs": mask("chosen_runs"), "rejected_runs": mask("rejected_runs")})
+
+
+RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
+
+
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return url_filter.filter_urls(pages, RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
+def op8_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return token_counts.count_tokens(docs, public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = language_id.identify(docs, language_id.fit(docs, "text", "lang"), declared=F.col("lang"), host=F.col("source"))
+    return found.select("doc_id", "language", F.round("confidence", 6).alias("confidence"), "text_language", "accepted")
+
+
+def op10_language_id_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same over web pages, with markup, address suffix and host."""
+    docs, pages = table(spark, sf_dir, "documents"), table(spark, sf_dir, "pages")
+    host = url_filter.host_of(F.col("url"))
+    folder = F.regexp_extract(url_filter.path_of(F.col("url")), "^/([a-z]{2})/", 1)
+    seen = pages.select("page_id", language_id.page_text(F.col("html")).alias("text"), language_id.page_declared(F.col("html")).alias("d"), F.concat_ws("/", F.substring_index(host, ".", -1), folder).alias("s"), host.alias("h"))
+    found = language_id.identify(seen, language_id.fit(docs, "text", "lang"), declared=F.col("d"), suffix=F.col("s"), host=F.col("h"))
+    return found.select("page_id", "language", F.round("confidence", 6).alias("confidence"), "text_language", "accepted")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
+    "op3_decontamination": op3_decontamination,
     "op4_token_files": op4_token_files,
+    "op5_near_dedup": op5_near_dedup,
+    "op6_preferences": op6_preferences,
+    "op7_url_filter": op7_url_filter,
+    "op8_top_k": op8_top_k,
     "op9_token_counts": op9_token_counts,
+    "op10_language_id": op10_language_id,
+    "op10_language_id_pages": op10_language_id_pages,
+}
+ORACLE_SQL: dict[str, str] = {
+    "op6_preferences": """
+WITH t AS (
+  SELECT conv_id // 2 AS pair_id, conv_id % 2 AS side,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS k, role, text,
+    '<|im_start|>' || coalesce(role, '') || chr(10) AS h, coalesce(text, '') || '<|im_end|>' || chr(10) AS b
+  FROM conversations),
+n AS (SELECT pair_id, least(count(*) FILTER (side = 0), count(*) FILTER (side = 1)) AS least, count(*) FILTER (side = 0) AS nc, count(*) FILTER (side = 1) AS nr FROM t GROUP BY 1),
+d AS (
+  SELECT a.pair_id, min(a.k) AS k FROM t a JOIN t b ON a.pair_id = b.pair_id AND a.k = b.k AND a.side = 0 AND b.side = 1
+  WHERE a.role IS DISTINCT FROM b.role OR a.text IS DISTINCT FROM b.text GROUP BY 1),
+p AS (SELECT n.*, CAST(coalesce(d.k - 1, n.least) AS INTEGER) AS prompt_turns FROM n LEFT JOIN d USING (pair_id))
+SELECT p.pair_id, any_value(p.prompt_turns) AS prompt_turns,
+  coalesce(string_agg(h || b, '' ORDER BY k) FILTER (side = 0 AND k <= prompt_turns), '') AS prompt,
+  CASE WHEN any_value(nc) > 0 THEN coalesce(string_agg(h || b, '' ORDER BY k) FILTER (side = 0 AND k > prompt_turns), '') END AS chosen,
+  CASE WHEN any_value(nc) > 0 THEN coalesce(string_agg(length(h) || ':0,' || length(b) || CASE WHEN role = 'assistant' THEN ':1' ELSE ':0' END, ',' ORDER BY k) FILTER (side = 0 AND k > prompt_turns), '') END AS chosen_runs,
+  CASE WHEN any_value(nr) > 0 THEN coalesce(string_agg(h || b, '' ORDER BY k) FILTER (side = 1 AND k > prompt_turns), '') END AS rejected,
+  CASE WHEN any_value(nr) > 0 THEN coalesce(string_agg(length(h) || ':0,' || length(b) || CASE WHEN role = 'assistant' THEN ':1' ELSE ':0' END, ',' ORDER BY k) FILTER (side = 1 AND k > prompt_turns), '') END AS rejected_runs
+FROM p JOIN t USING (pair_id) GROUP BY p.pair_id
+""",
+    "op8_top_k": """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 100 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS k FROM s)
+SELECT query_id, CAST(k AS INTEGER) AS rank, vec_id, score FROM r WHERE k <= 10
+""",
 }
-ORACLE_SQL: dict[str, str] = {}
