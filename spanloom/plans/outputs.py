@@ -1 +1,76 @@
-"""Queries."""
+"""Round trips through sources and sinks, and streams run to their end."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from spanloom.plans.registry import query, table
+from spanloom.session import new_folder
+from spanloom.sources import files
+from spanloom.streaming import streams
+
+
+def stream_of(spark, sf_dir):
+    batch = table(spark, sf_dir, "events")
+    # A pattern, since a stream over one plain file has no folder to list.
+    return streams.from_files(spark, f"{sf_dir}/events.parque[t]", batch.schema).withColumn("at", F.col("ts").cast("timestamp"))
+
+
+@query("SELECT event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1")
+def json_round_trip(spark, sf_dir):
+    """Events as gzip JSON Lines in a folder per type, read back with errors kept."""
+    path = new_folder(spark, "json")
+    d = table(spark, sf_dir, "events").select("event_id", "event_type", "value")
+    d.write.partitionBy("event_type").option("compression", "gzip").json(path)
+    back = files.read_json_lines(spark, path, d.schema).where("_corrupt is null")
+    return back.groupBy("event_type").agg(F.count("*").alias("n"), F.round(F.sum("value"), 4).alias("total"))
+
+
+@query("SELECT c_mktsegment, count(*) AS n, round(sum(c_acctbal), 2) AS balance FROM customer GROUP BY 1")
+def csv_round_trip(spark, sf_dir):
+    path = new_folder(spark, "csv")
+    d = table(spark, sf_dir, "customer")
+    d.write.option("header", True).csv(path)
+    return files.read_csv(spark, path, d.schema).groupBy("c_mktsegment").agg(F.count("*").alias("n"), F.round(F.sum("c_acctbal"), 2).alias("balance"))
+
+
+@query('SELECT CAST(user_id AS VARCHAR) AS "key", count(*) AS n_rows FROM events GROUP BY 1')
+def row_group_per_key(spark, sf_dir):
+    """A Parquet file set with one row group for each user."""
+    made = files.write_grouped(table(spark, sf_dir, "events"), new_folder(spark, "grouped"), "user_id", ["event_id"])
+    return made.select("key", "n_rows")
+
+
+@query("SELECT n_regionkey, count(*) AS n FROM nation GROUP BY 1")
+def publish_swap(spark, sf_dir):
+    """A table published twice; readers see the second whole."""
+    path = new_folder(spark, "published")
+    d = table(spark, sf_dir, "nation")
+    files.publish(d.where("n_nationkey < 3"), path)
+    files.publish(d, path)
+    return spark.read.parquet(path).groupBy("n_regionkey").agg(F.count("*").alias("n"))
+
+
+@query("SELECT o_orderkey FROM orders WHERE o_orderkey % 3 <> 0")
+def resume_scan(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").select("o_orderkey")
+    return files.remaining(o, o.where("o_orderkey % 3 = 0"), ["o_orderkey"])
+
+
+@query("""WITH f AS (SELECT user_id, ts, value, CASE WHEN ts - lag(ts) OVER w >= INTERVAL 30 MINUTE THEN 1 ELSE 0 END AS f FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
+s AS (SELECT *, sum(f) OVER (PARTITION BY user_id ORDER BY ts) AS k FROM f) SELECT user_id, count(*) AS n, round(sum(value), 4) AS total FROM s GROUP BY user_id, k""")
+def stream_sessions(spark, sf_dir):
+    out = streams.run_to_end(streams.sessions(stream_of(spark, sf_dir), "user_id", "at", "value"), "complete")
+    return out.select("user_id", "n", F.round("total", 4).alias("total"))
+
+
+@query("""SELECT event_type, epoch_us(ts) // 21600000000 AS slot, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1, 2""")
+def stream_windows(spark, sf_dir):
+    out = streams.run_to_end(streams.windows(stream_of(spark, sf_dir), ["event_type"], "at", "value", "6 hours"), "complete")
+    return out.select("event_type", F.floor(F.unix_micros("w.start") / 21600000000).alias("slot"), "n", F.round("total", 4).alias("total"))
+
+
+@query("SELECT count(*) AS n, count(DISTINCT event_id) AS ids FROM events")
+def stream_without_repeats(spark, sf_dir):
+    out = streams.run_to_end(streams.without_repeats(stream_of(spark, sf_dir), "event_id", "at"))
+    return out.agg(F.count("*").alias("n"), F.countDistinct("event_id").alias("ids"))
