@@ -5,16 +5,16 @@ Each of 64 permutations gives two signature values, its minimum and its
 maximum, so 128 values cost 64 evaluations a shingle.  Bands of 5 values (4 for
 a threshold under 85 per cent) put sets of the threshold's similarity into a
 common bucket but for about one pair in two million.
-Within a bucket, sets are compared with pivots, not with all others: first with
-one, then members of different components with a few more, and only what is
-still apart with every member of the other components.
+In a bucket of more than a few sets, each is compared with one pivot, and sets
+that are not like the pivot find their partners by their differences from it
+(see ``around_pivots``), so that no link is lost and no group is paired out.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from spanloom.operators.components import components
 from spanloom.llm.tokens import groups
@@ -22,6 +22,7 @@ from spanloom.llm.words import PLACES, mixed, shingles
 from spanloom.session import stored
 
 PERMUTATIONS = 64
+SMALL = 6
 BROADCAST_ROWS = 1_000_000
 _DRAW = np.random.default_rng(7)
 MULTIPLY = _DRAW.integers(1, 1 << 63, PERMUTATIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -92,15 +93,50 @@ def full_sets(docs: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
     return stored(some.select("text").mapInArrow(run, "node long, n long, s array<long>").dropDuplicates(["node"]), "sets")
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Of the pairs (a, b), those whose sets are alike enough."""
+def compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) with their sets, sizes na and nb, and whether they are linked."""
     one, two = (sets.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("s").alias(f"s{x}")) for x in "ab")
-    sized = pairs.join(one.drop("sa"), "a").join(two.drop("sb"), "b").where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent).select("a", "b")
-    both = sized.join(one, "a").join(two, "b").withColumn("i", F.size(F.array_intersect("sa", "sb")).cast("long"))
-    return both.where(F.col("i") * 100 >= (F.col("na") + F.col("nb") - F.col("i")) * percent).select("a", "b")
+    both = pairs.join(one, "a").join(two, "b").withColumn("i", F.size(F.array_intersect("sa", "sb")).cast("long"))
+    return both.withColumn("linked", F.col("i") * 100 >= (F.col("na") + F.col("nb") - F.col("i")) * percent)
 
 
-def grouped(docs: DataFrame, size: int, percent: int, doc_id: str, text: str, pivots: int = 8, small: int = 24, pivot_rounds: int = 3) -> DataFrame:
+def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Of the pairs (a, b), those whose sets are alike enough."""
+    sizes = sets.select("node", "n")
+    one, two = (sizes.select(F.col("node").alias(x), F.col("n").alias(f"n{x}")) for x in "ab")
+    sized = pairs.join(one, "a").join(two, "b").where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent).select("a", "b")
+    return compared(sized, sets, percent).where("linked").select("a", "b")
+
+
+def around_pivots(star: DataFrame, percent: int) -> DataFrame:
+    """Pairs of members of one pivot that may be alike though one of them is not
+    like the pivot.
+
+    star: a (member), b (pivot), na, nb, linked and d, the symmetric difference of
+    their sets.  Members x and y are alike where |x diff y| <= q (|x| + |y|), and
+    |x diff y| = |d(x)| + |d(y)| - 2 |d(x) & d(y)|, so their differences must share
+    at least s = (|d(x)| + |d(y)| - q (|x| + |y|)) / 2 elements.  As y is not like
+    the pivot, s exceeds half of |d(x)| (less what x is longer than the pivot), so
+    one of the rarest |d(x)| - s + 1 elements of d(x) is among them, and prefixes
+    in order of rarity find every such pair.  What copies changed each for
+    themselves is rare, so hardly any other pair is found.
+    """
+    q = (100 - percent) / (100 + percent)
+    apart = star.where("not linked").select("b").distinct()
+    long = star.join(apart, "b", "left_semi").select("a", "b", "na", "nb", "linked", F.size("d").alias("nd"), F.explode("d").alias("w"))
+    often = long.groupBy("b", "w").agg(F.count("*").alias("f"))
+    place = F.row_number().over(Window.partitionBy("b", "a").orderBy("f", "w"))
+    placed = stored(long.join(often, ["b", "w"]).withColumn("k", place).where("f > 1"), "differences")
+    least = F.floor((F.col("nd") - q * F.greatest(F.col("na") - F.col("nb"), F.lit(0))) / 2 - 1e-9) + 1
+    x = placed.where(F.col("k") <= F.col("nd") - least + 1).select("b", "w", F.col("a").alias("x"), F.col("na").alias("nx"), F.col("nd").alias("dx"), F.col("k").alias("kx"))
+    y = placed.where("not linked").select("b", "w", F.col("a").alias("y"), F.col("na").alias("ny"), F.col("nd").alias("dy"), F.col("k").alias("ky"))
+    s = F.ceil((F.col("dx") + F.col("dy") - q * (F.col("nx") + F.col("ny"))) / 2 - 1e-9)
+    fits = (F.col("kx") <= F.col("dx") - s + 1) & (F.col("ky") <= F.col("dy") - s + 1) & (F.least("nx", "ny") * 100 >= F.greatest("nx", "ny") * percent)
+    met = x.join(y, (x["b"] == y["b"]) & (x["w"] == y["w"]) & (F.col("x") != F.col("y")) & fits)
+    return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+
+def grouped(docs: DataFrame, size: int, percent: int, doc_id: str, text: str) -> DataFrame:
     """doc_id, tie (hash of the text), n, node (null: no words) and leader, the
     first (no_id, doc_id, tie) of the row's group, for every row of ``docs``."""
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"), F.xxhash64(text).alias("tie"))
@@ -109,34 +145,22 @@ def grouped(docs: DataFrame, size: int, percent: int, doc_id: str, text: str, pi
     reps = sigs.where("node is not null").groupBy("node").agg(F.min(first).alias("r"), F.any_value("bands").alias("bands"))
     keyed = stored(reps, "nodes")
     in_band = keyed.select("node", F.explode("bands").alias("key"))
-    shared = in_band.groupBy("key").agg(F.min("node").alias("pivot"), F.count("*").alias("members")).where("members > 1")
-    members = stored(in_band.join(shared, "key"), "buckets")
+    shared = in_band.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
+    found = stored(in_band.join(shared, "key"), "buckets")
+    # The pivot is the member that meets most others in its buckets: the middle of its group.
+    met = found.groupBy("node").agg(F.sum("members").alias("met"))
+    pivots = found.where(F.col("members") > SMALL).join(met, "node").groupBy("key").agg(F.max(F.struct("met", "node")).alias("p")).select("key", F.col("p.node").alias("pivot"))
+    members = found.join(pivots, "key", "left")
     sets = full_sets(rows, keyed.join(members.select("node").distinct(), "node", "left_semi").select("r.doc_id", "r.tie"), size)
 
-    def labelled(edges: DataFrame) -> DataFrame:
-        """Members of buckets that still hold several components, with theirs."""
-        own = members.select("key", "node", "members").join(components(edges).select("node", F.col("component").alias("c")), "node", "left").withColumn("c", F.coalesce("c", "node"))
-        several = own.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("key")
-        return stored(own.join(several, "key", "left_semi"), "apart")
-
-    def across(left: DataFrame, right: DataFrame) -> DataFrame:
-        """Pairs of members of one bucket that are in different components."""
-        two = right.select("key", F.col("node").alias("b"), F.col("c").alias("cb"))
-        met = left.select("key", F.col("node").alias("a"), F.col("c").alias("ca")).join(two, "key").where("ca <> cb")
-        return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-
-    edges = stored(confirmed(members.where("node <> pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct(), sets, percent), "links")
-    left = labelled(edges)
-    for k in range(pivot_rounds):
-        large = left.where(F.col("members") > small)
-        if large.isEmpty():
-            break
-        some = large.where(F.pmod(F.xxhash64("node", "key", F.lit(k)), F.ceil(F.col("members") / pivots)) == 0)
-        edges = stored(edges.unionByName(confirmed(across(large, some), sets, percent)).distinct(), "links")
-        left = labelled(edges)
-    # What is still apart: every pair across components, so no link is lost.
-    if not left.isEmpty():
-        edges = stored(edges.unionByName(confirmed(across(left, left), sets, percent)).distinct(), "links")
+    # Small buckets: their few pairs.  Others: each member with the pivot, and around it.
+    few = members.where(F.col("members") <= SMALL).select("key", "node")
+    direct = few.select("key", F.col("node").alias("a")).join(few.select("key", F.col("node").alias("b")), "key").where("a < b").select("a", "b").distinct()
+    to_pivot = members.where((F.col("members") > SMALL) & (F.col("node") != F.col("pivot"))).select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct()
+    difference = F.concat(F.array_except("sa", "sb"), F.array_except("sb", "sa"))
+    star = stored(compared(to_pivot, sets, percent).select("a", "b", "na", "nb", "linked", difference.alias("d")), "stars")
+    near = star.where("linked").select("a", "b").unionByName(confirmed(direct, sets, percent)).unionByName(confirmed(around_pivots(star, percent), sets, percent))
+    edges = stored(near.distinct(), "links")
     of = components(edges)
     linked = keyed.select("node", "r").join(of, "node")
     leaders = stored(linked.join(linked.groupBy("component").agg(F.min("r").alias("leader")), "component").select("node", "leader"), "leaders")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from spanloom.llm import decontaminate, language_id, near_dedup, packing, preferences, token_counts, token_files, top_k, url_filter
+from spanloom.llm import decontaminate, language_id, lm_score, near_dedup, packing, preferences, token_counts, token_files, top_k, url_filter
 from spanloom.session import new_folder
 
 
@@ -15,6 +15,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(7)) == 2
+    return lm_score.score_texts(table(spark, sf_dir, "documents"), held_out)
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
     return packing.digest(packed)
@@ -77,6 +82,7 @@ def op10_language_id_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_lm_score": op1_lm_score,
     "op2_packing": op2_packing,
     "op3_decontamination": op3_decontamination,
     "op4_token_files": op4_token_files,

@@ -94,7 +94,7 @@ def count_tokens(docs: DataFrame, path: str, text: str = "text", limit: int = 40
             n = []
             for some in groups(b.column(len(keep)).to_pylist()):
                 parts = [pre_tokens(t) for t in some]
-                cache.learn({c for p in parts if p for c in p})
+                cache.learn(set().union(*(p for p in parts if p)))
                 n += [len(pieces(path).encode(t)) if p is None else sum(map(get, p)) for t, p in zip(some, parts)]
             n_bytes = pa.compute.fill_null(pa.compute.binary_length(b.column(len(keep)).cast(pa.binary())), 0).cast(pa.int64())
             tokens = pa.array(n, pa.int64())

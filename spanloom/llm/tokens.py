@@ -11,7 +11,7 @@ from __future__ import annotations
 import os
 import re
 from array import array
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from functools import lru_cache
 
 ODD_SPACE = re.compile(r"[^\S \n]")
@@ -25,13 +25,13 @@ class Chunks(dict):
         super().__init__(first)
         self.encode, self.limit, self.first = encode, limit, dict(first)
 
-    def learn(self, chunks: Iterable[str]) -> None:
-        new = list(set(chunks).difference(self))
+    def learn(self, chunks: set) -> None:
+        new = list(chunks.difference(self))
         if new:
             if len(self) + len(new) > self.limit:
                 self.clear()
                 self.update(self.first)
-                new = list(set(chunks).difference(self))
+                new = list(chunks.difference(self))
             self.update(zip(new, self.encode(new)))
 
 
@@ -78,17 +78,62 @@ def cut_bytes(text: str) -> list[str] | None:
 CUTS = {"word": cut_words, "byte": cut_bytes}
 
 
+def parts_of(chunk: str, kind: str) -> list[str] | None:
+    """The pre-tokens of a plain chunk: Latin letters, then full stops or commas;
+    None for any other chunk."""
+    if kind == "word":
+        chunk = chunk.lower()
+    elif chunk[:1] == "\n":
+        rest = parts_of(chunk[1:], kind)
+        return rest and ["\n", *rest]
+    stem = chunk.rstrip(".,")
+    letters = stem[1:] if kind == "byte" and stem[:1] == " " else stem
+    if not letters.isalpha() or max(letters) > "\xff":
+        return None
+    return [stem, chunk[len(stem) :]] if len(stem) < len(chunk) else [stem]
+
+
+@lru_cache(maxsize=1)
+def byte_signs() -> dict[int, str]:
+    """Byte-level BPE writes each byte as a printable sign: itself, or 256 and up in order."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    other = [b for b in range(256) if b not in own]
+    return {b: chr(b) for b in own} | {b: chr(256 + k) for k, b in enumerate(other)}
+
+
+class Encoder:
+    """Ids of chunks: plain ones pre-token by pre-token through the library's BPE
+    model, each pre-token once; others as whole texts."""
+
+    def __init__(self, path: str, kind: str):
+        self.path, self.kind, self.tokenize, self.pieces = path, kind, tokenizer(path).model.tokenize, {}
+
+    def piece(self, text: str) -> bytes:
+        known = self.pieces.get(text)
+        if known is None:
+            if len(self.pieces) >= CACHE_LIMIT:
+                self.pieces.clear()
+            signs = text.encode().decode("latin-1").translate(byte_signs())
+            known = self.pieces[text] = array("I", [t.id for t in self.tokenize(signs)]).tobytes()
+        return known
+
+    def __call__(self, chunks: list[str]) -> list[bytes]:
+        parts = [parts_of(c, self.kind) for c in chunks]
+        odd = iter(id_bytes(self.path, [c for c, p in zip(chunks, parts) if p is None]))
+        return [next(odd) if p is None else b"".join(map(self.piece, p)) for p in parts]
+
+
 @lru_cache(maxsize=4)
-def id_chunks(path: str) -> Chunks:
-    return Chunks(lambda new: id_bytes(path, new))
+def id_chunks(path: str, kind: str) -> Chunks:
+    return Chunks(Encoder(path, kind))
 
 
 def encode_texts(path: str, kind: str, texts: list) -> Iterator[bytes]:
     """Ids of each whole text (null: none) as little-endian unsigned 32-bit bytes."""
-    cut, cache = CUTS[kind], id_chunks(path)
+    cut, cache = CUTS[kind], id_chunks(path, kind)
     get = cache.__getitem__
     for some in groups(texts):
         parts = [cut(x) for x in some]
-        cache.learn({c for p in parts if p for c in p})
+        cache.learn(set().union(*(p for p in parts if p)))
         for text, p in zip(some, parts):
             yield id_bytes(path, [text])[0] if p is None else b"".join(map(get, p))

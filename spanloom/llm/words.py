@@ -40,7 +40,7 @@ def word_hashes(texts: list, stripped: bool = False) -> tuple[np.ndarray, np.nda
     with the end of the last one."""
     words = [split(t) for t in texts]
     cache = hashes(stripped)
-    cache.learn({w for ws in words for w in ws})
+    cache.learn(set().union(*words))
     get = cache.__getitem__
     data = b"".join(b"".join(map(get, ws)) for ws in words)
     return np.frombuffer(data, np.uint64), np.cumsum([0, *map(len, words)])
