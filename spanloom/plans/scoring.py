@@ -33,7 +33,7 @@ def weighted_score(spark, sf_dir):
 
 @query("""WITH m AS (SELECT l_orderkey, CASE WHEN l_quantity > 40 THEN 'high' WHEN l_quantity > 25 THEN 'medium' WHEN l_quantity > 10 THEN 'low' END AS severity, l_linestatus = 'F' AS recovered FROM lineitem),
 p AS (SELECT *, CASE severity WHEN 'low' THEN 0.5 WHEN 'medium' THEN 1.5 WHEN 'high' THEN 3.0 END * CASE WHEN recovered THEN 0.5 ELSE 1 END AS points FROM m)
-SELECT l_orderkey, round(greatest(0.0, 10 - coalesce(sum(points), 0)), 6) AS cleanliness, count(*) FILTER (severity IS NULL) AS unrated FROM p GROUP BY 1""")
+SELECT l_orderkey, CAST(round(greatest(0.0, 10 - coalesce(sum(points), 0)), 6) AS DOUBLE) AS cleanliness, count(*) FILTER (severity IS NULL) AS unrated FROM p GROUP BY 1""")
 def cleanliness_score(spark, sf_dir):
     q = F.col("l_quantity")
     severity = F.when(q > 40, "high").when(q > 25, "medium").when(q > 10, "low")
