@@ -15,7 +15,8 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 ODD_SPACE = re.compile(r"[^\S \n]")
-CACHE_LIMIT = 700_000
+#: Entries of one cache; workers live on from stage to stage with theirs.
+CACHE_LIMIT = 350_000
 
 
 class Chunks(dict):
@@ -26,12 +27,13 @@ class Chunks(dict):
         self.encode, self.limit, self.first = encode, limit, dict(first)
 
     def learn(self, chunks: set) -> None:
-        new = list(chunks.difference(self))
+        # Not chunks.difference(self): for a subclass of dict that walks the whole cache.
+        new = [c for c in chunks if c not in self]
         if new:
             if len(self) + len(new) > self.limit:
                 self.clear()
                 self.update(self.first)
-                new = list(chunks.difference(self))
+                new = [c for c in chunks if c not in self]
             self.update(zip(new, self.encode(new)))
 
 
