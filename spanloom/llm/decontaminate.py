@@ -10,6 +10,8 @@ pass over the documents for each.
 
 from __future__ import annotations
 
+from itertools import combinations
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -30,17 +32,24 @@ def places(mask: str) -> list[int]:
     return [k for k, x in enumerate(mask) if x == "1"]
 
 
-def seeds(h: np.ndarray) -> list[tuple[str, np.ndarray]]:
-    """(mask, hashes) of every masked window; a text shorter than every mask
-    gives one of its own length without gaps."""
-    fits = [m for m in MASKS if len(m) <= len(h)]
-    return [(m, windows(h, places(m)) + PLACES[len(m)]) for m in (fits or ["1" * len(h)])]
+def masks_of(n: int, percent: int) -> list[str]:
+    """Masks of which one at least meets every verifying overlap with an item of
+    n words: from 12 words on the fixed ones, for shorter items all of its own
+    length that ignore as many words as may differ."""
+    if n >= 12:
+        return list(MASKS)
+    return ["".join("0" if k in gaps else "1" for k in range(n)) for gaps in combinations(range(n), n * (100 - percent) // 100)]
+
+
+def seeds(h: np.ndarray, percent: int) -> list[tuple[str, np.ndarray]]:
+    """(mask, hashes) of every masked window of an item."""
+    return [(m, windows(h, places(m)) + PLACES[len(m)]) for m in masks_of(len(h), percent)]
 
 
 class Index:
     """A block of the benchmark: seed hashes, sorted, with their items and places."""
 
-    def __init__(self, items: list[tuple[int, str]]):
+    def __init__(self, items: list[tuple[int, str]], percent: int):
         self.ids = [i for i, _ in items]
         h, ends = word_hashes([t for _, t in items], stripped=True)
         self.words = [h[a:b] for a, b in zip(ends[:-1], ends[1:])]
@@ -48,7 +57,7 @@ class Index:
         for k, w in enumerate(self.words):
             if len(w) < LEAST_WORDS:
                 continue
-            for mask, s in seeds(w):
+            for mask, s in seeds(w, percent):
                 self.masks.add(mask)
                 keys.append(s)
                 who.append(np.full(len(s), k))
@@ -112,11 +121,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
 _INDEX: dict = {}
 
 
-def index_of(shared) -> Index:
+def index_of(shared, percent: int) -> Index:
     """This worker's index of a broadcast block (one is kept)."""
-    items = shared.value
-    if _INDEX.get("items") != items:
-        _INDEX.update(items=items, index=Index(items))
+    key = (percent, shared.value)
+    if _INDEX.get("key") != key:
+        _INDEX.update(key=key, index=Index(shared.value, percent))
     return _INDEX["index"]
 
 
@@ -124,7 +133,7 @@ def matcher(shared, window: int, percent: int):
     names = ["doc_id", "item_id", "start", "words", "equal_words"]
 
     def run(batches):
-        index = index_of(shared)
+        index = index_of(shared, percent)
         for b in batches:
             found: list[tuple] = []
             ids, at = b.column(0).to_pylist(), 0
