@@ -9,14 +9,13 @@ from spanloom.session import stored
 
 
 def set_pairs(df: DataFrame, item: str, tokens: str, threshold: float) -> DataFrame:
-    """Pairs (a, b, jaccard) of different items, a < b, whose token sets are at
-    least ``threshold`` alike.
+    """Pairs (a, b, jaccard) of items with different token sets at least
+    ``threshold`` alike, a < b; of items with one set the smallest stands for all.
 
     Only the rarest n - ceil(threshold * n) + 1 tokens of a set can be the first
     that two such sets share, so only those are joined, with the length filter
-    in the join; the full sets confirm.  Items with one set are compared once:
-    equal sets are grouped first and stand for each other through a join on the
-    set itself.  Empty sets match nothing.
+    in the join; the full sets confirm.  Equal sets are grouped first; a join on
+    the set itself gives their other items.  Empty sets match nothing.
     """
     sets = df.select(F.col(item).alias("id"), F.array_sort(F.array_distinct(tokens)).alias("t")).where(F.size("t") > 0)
     groups = stored(sets.groupBy("t").agg(F.min("id").alias("g")).withColumn("n", F.size("t")), "sets")
