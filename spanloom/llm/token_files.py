@@ -25,6 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from spanloom.llm.tokens import encode_texts
+from spanloom.session import stored
 
 MAGIC, END = b"SLTOK1\n", b"SLTOKEND"
 MANIFEST = "part long, seq long, file string, n_docs long, n_tokens long, n_bytes long"
@@ -56,28 +57,28 @@ def widths(vocabulary: int) -> str:
     return "<u2" if vocabulary <= 1 << 16 else "<u4"
 
 
-def train_dictionary(docs: DataFrame, ids: str, width: str, size: int = 32768, sample_docs: int = 1000) -> bytes:
-    """A shared dictionary from the ids of at most 2 * ``sample_docs`` documents,
-    chosen by a hash of their ids; too few or too short ones give none (b"")."""
-    rows = docs.select(ids).limit(2 * sample_docs).collect()
-    some = [np.frombuffer(r[0], "<u4").astype(width).tobytes()[:65536] for r in rows]
+def train_dictionary(ids: DataFrame, size: int = 32768, sample_docs: int = 1000) -> bytes:
+    """A shared dictionary from the one binary column of ``ids``, of which at most
+    2 * ``sample_docs`` rows and the first 64 KB of each are taken; too few or too
+    short ones give none (b"")."""
+    rows = ids.limit(2 * sample_docs).select(F.substring(ids.columns[0], 1, 65536)).collect()
     try:
-        return zstandard.train_dictionary(size, some).as_bytes()
+        return zstandard.train_dictionary(size, [bytes(r[0]) for r in rows]).as_bytes()
     except zstandard.ZstdError:
         return b""
 
 
 def shard(rows: list[tuple], dictionary: bytes, width: str) -> bytes:
-    """The bytes of a shard; rows: (doc_id or None, ids as little-endian u32 bytes)."""
+    """The bytes of a shard; rows: (doc_id or None, ids as bytes of ``width``)."""
     packer = zstandard.ZstdCompressor(level=3, dict_data=zstandard.ZstdCompressionDict(dictionary) if dictionary else None)
-    frames = [packer.compress(np.frombuffer(ids, "<u4").astype(width).tobytes()) for _, ids in rows]
+    frames = [packer.compress(ids) for _, ids in rows]
     head = MAGIC + bytes([int(width[2:])]) + hashlib.sha256(dictionary).digest()
     ends = np.cumsum([len(head), *map(len, frames)]).astype("<u8")
     index = [
         np.array([d is not None for d, _ in rows], "u1"),
         np.array([d or 0 for d, _ in rows], "<i8"),
         ends,
-        np.array([len(ids) // 4 for _, ids in rows], "<u4"),
+        np.array([len(ids) // int(width[2:]) for _, ids in rows], "<u4"),
         np.array([len(rows), ends[-1]], "<u8"),
     ]
     return b"".join([head, *frames, *(x.tobytes() for x in index), END])
@@ -113,15 +114,18 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, kind: str = "b
     """
     spark = docs.sparkSession
     width, end = widths(vocabulary), np.array([end_id], "<u4").tobytes()
+    each = int(width[2:])
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"), F.xxhash64(text).alias("tie"))
 
     def encoded(batches):
         for b in batches:
-            yield pa.RecordBatch.from_arrays([pa.array([x + end for x in encode_texts(tokenizer, kind, b.column(0).to_pylist())], pa.binary())], ["ids"])
+            ids = [np.frombuffer(x + end, "<u4").astype(width).tobytes() for x in encode_texts(tokenizer, kind, b.column(2).to_pylist())]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(ids, pa.binary())], ["doc_id", "tie", "ids"])
 
-    every = max(1, docs.count() // dictionary_docs)
-    some = rows.where(F.pmod(F.xxhash64("doc_id", "tie"), F.lit(every)) == 0).limit(2 * dictionary_docs).select(F.substring("text", 1, 65536).alias("text"))
-    dictionary = train_dictionary(some.mapInArrow(encoded, "ids binary"), "ids", width, sample_docs=dictionary_docs)
+    # Texts are read and encoded once; what is sampled, sorted and shuffled are their ids.
+    rows = stored(rows.select("doc_id", "tie", "text").mapInArrow(encoded, "doc_id long, tie long, ids binary"), "token-ids")
+    every = max(1, rows.count() // dictionary_docs)
+    dictionary = train_dictionary(rows.where(F.pmod(F.xxhash64("doc_id", "tie"), F.lit(every)) == 0).select("ids"), sample_docs=dictionary_docs)
     put(f"{path}/dictionary", dictionary)
     shared = spark.sparkContext.broadcast(dictionary)
 
@@ -133,20 +137,20 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, kind: str = "b
             nonlocal seq, held, size
             name, data = f"shard-{part:06d}-{seq:04d}.tok", shard(held, shared.value, width)
             put(f"{path}/{name}", data)
-            done.append((part, seq, name, len(held), sum(len(x) // 4 for _, x in held), len(data)))
+            done.append((part, seq, name, len(held), size // each, len(data)))
             seq, held, size = seq + 1, [], 0
 
         for b in batches:
-            for d, ids in zip(b.column(0).to_pylist(), encode_texts(tokenizer, kind, b.column(1).to_pylist())):
-                held.append((d, ids + end))
-                size += len(ids) + 4
+            for d, ids in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                held.append((d, ids))
+                size += len(ids)
                 if size >= shard_bytes:
                     flush()
         if held:
             flush()
         yield pa.RecordBatch.from_pylist([dict(zip(("part", "seq", "file", "n_docs", "n_tokens", "n_bytes"), x)) for x in done], pa.schema([(c, pa.string() if c == "file" else pa.int64()) for c in ("part", "seq", "file", "n_docs", "n_tokens", "n_bytes")]))
 
-    ordered = rows.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie").select("doc_id", "text")
+    ordered = rows.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie").select("doc_id", "ids")
     ordered.mapInArrow(write, MANIFEST).write.parquet(f"{path}/shards")
     # One row a shard: small beside the ids, so one running sum over them is no bottleneck.
     before = Window.orderBy("part", "seq").rowsBetween(Window.unboundedPreceding, -1)
