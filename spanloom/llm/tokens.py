@@ -15,6 +15,11 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 ODD_SPACE = re.compile(r"[^\S \n]")
+LETTERS = "A-Za-zªµºÀ-ÖØ-öø-ÿ"
+#: A full stop or comma that begins a pre-token, as a letter or digit stands before it.
+STOP, LATE_STOP = re.compile(f"[.,](?<=[{LETTERS}0-9][.,])"), re.compile(f"[.,](?<![{LETTERS}0-9][.,])")
+#: A chunk that is one pre-token: Latin letters, perhaps after a blank.
+PLAIN = re.compile(f" ?[{LETTERS}]+")
 #: Entries of one cache; workers live on from stage to stage with theirs.
 CACHE_LIMIT = 350_000
 
@@ -63,38 +68,33 @@ def id_bytes(path: str, texts: list[str]) -> list[bytes]:
     return [array("I", x.ids).tobytes() for x in tokenizer(path).encode_batch_fast(texts, add_special_tokens=False)]
 
 
+def stops(text: str, mark: str) -> str:
+    """The text with a mark before each full stop or comma after a letter or digit."""
+    if LATE_STOP.search(text):
+        return STOP.sub(mark + "\\g<0>", text)
+    return text.replace(".", mark + ".").replace(",", mark + ",")
+
+
 def cut_words(text: str) -> list[str] | None:
-    """For tokenizers that drop white space: chunks between blanks and line ends."""
-    return text.replace("\n", " ").split(" ")
+    """For tokenizers that drop white space: chunks between blanks and line ends,
+    a full stop or comma after a letter or digit begins another."""
+    return stops(text.replace("\n", " "), " ").split(" ")
 
 
 def cut_bytes(text: str) -> list[str] | None:
     """For byte-level pre-tokens that take one blank before a word: chunks are a
-    single blank or line end with the word after it.  None: the text has white
-    space for which this cut could be wrong."""
-    if "  " in text or "\n\n" in text or " \n" in text or "\n " in text or text[:1].isspace() or text[-1:].isspace() or "\0" in text or ODD_SPACE.search(text):
+    single blank with the word after it, a line end, or begin with a full stop or
+    comma after a letter or digit.  None: the text has white space for which this
+    cut could be wrong."""
+    flat = text.replace("\n", " ")
+    if "  " in flat or flat[:1] == " " or flat[-1:] == " " or not flat.isprintable() and ("\0" in flat or ODD_SPACE.search(flat)):
         return None
-    return text.replace(" ", "\0 ").replace("\n", "\0\n").split("\0")
+    return stops(text.replace(" ", "\0 ").replace("\n", "\0\n\0"), "\0").split("\0")
 
 
 CUTS = {"word": cut_words, "byte": cut_bytes}
 
 
-def parts_of(chunk: str, kind: str) -> list[str] | None:
-    """The pre-tokens of a plain chunk: Latin letters, then full stops or commas;
-    None for any other chunk."""
-    if kind == "word":
-        chunk = chunk.lower()
-    elif chunk[:1] == "\n":
-        rest = parts_of(chunk[1:], kind)
-        return rest and ["\n", *rest]
-    stem = chunk.rstrip(".,")
-    letters = stem[1:] if kind == "byte" and stem[:1] == " " else stem
-    if not letters.isalpha() or max(letters) > "\xff":
-        return None
-    return [stem, chunk[len(stem) :]] if len(stem) < len(chunk) else [stem]
-
-
 @lru_cache(maxsize=1)
 def byte_signs() -> dict[int, str]:
     """Byte-level BPE writes each byte as a printable sign: itself, or 256 and up in order."""
@@ -103,39 +103,41 @@ def byte_signs() -> dict[int, str]:
     return {b: chr(b) for b in own} | {b: chr(256 + k) for k, b in enumerate(other)}
 
 
-class Encoder:
-    """Ids of chunks: plain ones pre-token by pre-token through the library's BPE
-    model, each pre-token once; others as whole texts."""
+class Ids(dict):
+    """chunk -> its ids as little-endian unsigned 32-bit bytes: a chunk that is one
+    pre-token through the library's BPE model alone, others as whole texts.  Two
+    generations of at most ``limit`` entries; what the elder is asked for again
+    moves to the younger."""
 
-    def __init__(self, path: str, kind: str):
-        self.path, self.kind, self.tokenize, self.pieces = path, kind, tokenizer(path).model.tokenize, {}
+    def __init__(self, path: str, kind: str, limit: int = CACHE_LIMIT):
+        super().__init__()
+        self.path, self.kind, self.limit, self.elder, self.tokenize = path, kind, limit, {}, tokenizer(path).model.tokenize
 
     def piece(self, text: str) -> bytes:
-        known = self.pieces.get(text)
-        if known is None:
-            if len(self.pieces) >= CACHE_LIMIT:
-                self.pieces.clear()
-            signs = text.encode().decode("latin-1").translate(byte_signs())
-            known = self.pieces[text] = array("I", [t.id for t in self.tokenize(signs)]).tobytes()
-        return known
-
-    def __call__(self, chunks: list[str]) -> list[bytes]:
-        parts = [parts_of(c, self.kind) for c in chunks]
-        odd = iter(id_bytes(self.path, [c for c, p in zip(chunks, parts) if p is None]))
-        return [next(odd) if p is None else b"".join(map(self.piece, p)) for p in parts]
+        if self.kind == "word":
+            text = text.lower()
+        signs = text.replace(" ", "\u0120") if text.isascii() else text.encode().decode("latin-1").translate(byte_signs())
+        return array("I", [t.id for t in self.tokenize(signs)]).tobytes()
+
+    def __missing__(self, chunk: str) -> bytes:
+        ids = self.elder.get(chunk)
+        if ids is None:
+            ids = self.piece(chunk) if PLAIN.fullmatch(chunk) else id_bytes(self.path, [chunk])[0]
+        if len(self) >= self.limit:
+            self.elder = dict(self)
+            self.clear()
+        self[chunk] = ids
+        return ids
 
 
 @lru_cache(maxsize=4)
-def id_chunks(path: str, kind: str) -> Chunks:
-    return Chunks(Encoder(path, kind))
+def ids_of(path: str, kind: str) -> Ids:
+    return Ids(path, kind)
 
 
 def encode_texts(path: str, kind: str, texts: list) -> Iterator[bytes]:
     """Ids of each whole text (null: none) as little-endian unsigned 32-bit bytes."""
-    cut, cache = CUTS[kind], id_chunks(path, kind)
-    get = cache.__getitem__
-    for some in groups(texts):
-        parts = [cut(x) for x in some]
-        cache.learn(set().union(*(p for p in parts if p)))
-        for text, p in zip(some, parts):
-            yield id_bytes(path, [text])[0] if p is None else b"".join(map(get, p))
+    cut, get = CUTS[kind], ids_of(path, kind).__getitem__
+    for text in texts:
+        parts = cut(text or "")
+        yield id_bytes(path, [text])[0] if parts is None else b"".join(map(get, parts))
