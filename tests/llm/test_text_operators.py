@@ -123,6 +123,17 @@ def test_scores_have_the_unigram_base_of_a_plain_count(spark, frequent):
     assert len(twins) == 1
 
 
+@pytest.mark.parametrize("n", [1, 9_999, 10_000, 1_000_000])
+def test_the_commonest_words_fill_the_bound_within_one_count(spark, n):
+    counts = spark.range(5000).select(F.xxhash64("id").alias("key"), F.when(F.col("id") < 50, n + 1 + F.col("id") % 3).otherwise(n).alias("n")).cache()
+    keys, got, chosen = lm_score.frequent(counts, 1000)
+    assert 990 <= len(set(keys)) == len(keys) <= 1000 and (got > n).sum() == 50
+    assert counts.where(~chosen).count() == 5000 - len(keys)
+    assert len(lm_score.frequent(counts, 20)[0]) in range(15, 21)
+    assert [len(lm_score.frequent(counts, m)[0]) for m in (5000, 9000)] == [5000, 5000]
+    assert len(lm_score.frequent(counts.limit(0), 10)[0]) == 0
+
+
 def test_scores_without_rows_and_without_training_rows(spark):
     assert lm_score.score_texts(table(spark, []).limit(0), F.lit(False)).count() == 0
     got = lm_score.score_texts(table(spark, [(1, "all held out")]), F.lit(True)).collect()
