@@ -13,13 +13,14 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from spanloom.llm.tokens import groups
 from spanloom.session import stored
 
 SAMPLE_ROWS = 400
-MOST_LANGUAGES = 200
+#: Bound of the model: 256 KB for each language in every worker.
+MOST_LANGUAGES = 500
 EVIDENCE = 60.0
 STRENGTH = 5.0
 BROADCAST_ROWS = 200_000
@@ -38,25 +39,48 @@ def squeezed(text: str | None) -> bytes:
     return b" " + b" ".join((text or "").lower().encode().split()) + b" "
 
 
+def gram_counts(batches):
+    """language, bigram and its number over a task's texts; 64 languages are held at once."""
+    out: dict = {}
+
+    def held(kind):
+        for name, n in out.items():
+            at = np.flatnonzero(n)
+            yield pa.RecordBatch.from_arrays([pa.array([name] * len(at), kind), pa.array(at, pa.int64()), pa.array(n[at])], ["_l", "_g", "_n"])
+        out.clear()
+
+    for b in batches:
+        for name, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            if name not in out:
+                if len(out) == 64:
+                    yield from held(b.schema.field(0).type)
+                out[name] = np.zeros(1 << 16, np.int64)
+            out[name] += np.bincount(bigrams(squeezed(t)), minlength=1 << 16)
+    if out:
+        yield from held(b.schema.field(0).type)
+
+
 def fit(labelled: DataFrame, text: str, language: str, per_language: int = SAMPLE_ROWS) -> tuple[list[str], np.ndarray]:
-    """Languages and log P(second byte | first byte) for each, from at most
-    ``per_language`` rows of each, chosen by a hash of the text; each row gives
-    its first 20,000 characters at most."""
-    count = labelled.where(F.col(language).isNotNull() & F.col(text).isNotNull()).groupBy(language).count()
-    sizes = {r[0]: r[1] for r in count.orderBy(F.desc("count"), language).limit(MOST_LANGUAGES).collect()}
-    names = sorted(sizes)
-    rows = []
-    for name in names:
-        every = max(1, sizes[name] // per_language)
-        some = labelled.where((F.col(language) == name) & (F.pmod(F.xxhash64(text), F.lit(every)) == 0)).select(F.substring(text, 1, 20000))
-        rows.append([r[0] for r in some.limit(per_language).collect()])
-    out = np.zeros((len(names), 1 << 16))
-    for k, texts in enumerate(rows):
-        for t in texts:
-            out[k] += np.bincount(bigrams(squeezed(t)), minlength=1 << 16)
+    """Every language that labels a text, and log P(second byte | first byte) for
+    each, from at most ``per_language`` distinct texts of each, those of the
+    least hashes; each gives its first 20,000 characters at most.  More than
+    MOST_LANGUAGES languages are a ValueError."""
+    rows = labelled.where(F.col(language).isNotNull() & F.col(text).isNotNull()).select(F.col(language).alias("_l"), F.xxhash64(text).alias("_h"), F.substring(text, 1, 20000).alias("_x"))
+    place = F.row_number().over(Window.partitionBy("_l").orderBy("_h"))
+    chosen = stored(rows.select("_l", "_h").distinct().withColumn("_k", place).where(F.col("_k") <= per_language).drop("_k"), "language-sample")
+    names = sorted(r[0] for r in chosen.select("_l").distinct().limit(MOST_LANGUAGES + 1).collect())
+    if len(names) > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} languages in {language}; each takes 256 KB of every worker's model")
+    texts = rows.join(F.broadcast(chosen), ["_l", "_h"]).groupBy("_l", "_h").agg(F.min("_x").alias("_x")).select("_l", "_x")
+    grams = texts.mapInArrow(gram_counts, f"_l {texts.schema['_l'].dataType.simpleString()}, _g long, _n long").groupBy("_l", "_g").agg(F.sum("_n").alias("_n")).toArrow()
+    out, at = np.zeros((len(names), 1 << 16), np.float32), {name: k for k, name in enumerate(names)}
+    out[[at[x] for x in grams.column("_l").to_pylist()], grams.column("_g").to_numpy()] = grams.column("_n").to_numpy()
     n = out.reshape(-1, 256, 256)
-    p = (n + FLOOR * 256 / 256) / (n.sum(2, keepdims=True) + FLOOR * 256)
-    return names, np.log(0.98 * p + 0.02 / 256).reshape(-1, 1 << 16).astype(np.float32)
+    n += FLOOR * 256 / 256
+    n /= n.sum(2, keepdims=True)
+    n *= 0.98
+    n += 0.02 / 256
+    return names, np.log(out, out=out)
 
 
 def text_posteriors(df: DataFrame, text: str, model: tuple[list[str], np.ndarray], keep: list[str]) -> DataFrame:

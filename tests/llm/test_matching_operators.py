@@ -207,6 +207,28 @@ def test_languages_of_texts_that_were_not_learned(spark):
     assert sum(r.text_language == r.lang for r in got if r.accepted) > 0.9 * sum(r.accepted for r in got) > 0.8 * len(got)
 
 
+def test_every_label_is_modelled(spark, monkeypatch):
+    """230 languages, each of its own letters; the last of them has one text only."""
+    own = lambda k: " ".join(chr(0x4E00 + 40 * k + j) * 2 for j in range(30))
+    rows = [(f"l{k:03}", own(k) + f" {j}") for k in range(230) for j in range(1 if k == 229 else 2)]
+    df = spark.createDataFrame(rows, "lang string, text string").repartition(3)
+    model = language_id.fit(df, "text", "lang")
+    assert model[0] == [f"l{k:03}" for k in range(230)]
+    got = language_id.identify(df.where("lang in ('l000', 'l150', 'l229')"), model).collect()
+    assert len(got) == 5 and all(r.text_language == r.lang and r.accepted for r in got)
+    monkeypatch.setattr(language_id, "MOST_LANGUAGES", 229)
+    with pytest.raises(ValueError):
+        language_id.fit(df, "text", "lang")
+
+
+def test_language_sample_is_of_distinct_texts_by_hash(spark):
+    rows = [("en", f"text {k} {chr(97 + k % 26) * 3}") for k in range(300)] + [("en", "zq zq zq")] * 500
+    df = spark.createDataFrame(rows, "lang string, text string")
+    one, many = df.coalesce(1).orderBy("text"), df.repartition(7).orderBy(F.desc("text"))
+    a, b, c = (language_id.fit(d, "text", "lang", per_language=200)[1] for d in (one, many, df.distinct()))
+    assert (a == b).all() and (a == c).all()
+
+
 def test_language_edge_rows(spark):
     docs = [(1, "the cat and the dog went over the hill " * 9, "en", "h"), (2, "der hund und die katze gingen nach hause " * 9, "de", "h")]
     model = language_id.fit(spark.createDataFrame(docs, "doc_id long, text string, lang string, source string"), "text", "lang")
