@@ -5,9 +5,10 @@ Each of 64 permutations gives two signature values, its minimum and its
 maximum, so 128 values cost 64 evaluations a shingle.  Bands of 5 values (4 for
 a threshold under 85 per cent) put sets of the threshold's similarity into a
 common bucket but for about one pair in two million.
-In a bucket of more than a few sets, each is compared with one pivot, and sets
-that are not like the pivot find their partners by their differences from it
-(see ``around_pivots``), so that no link is lost and no group is paired out.
+In a bucket of more than a few sets, each is compared with one pivot.  Those like it
+are one group.  Those unlike it find partners in that group by their differences from
+the pivot (see ``around_pivots``) and go on as a bucket with a pivot of their own, so
+that no group is paired out and no component is torn.
 """
 
 from __future__ import annotations
@@ -18,11 +19,13 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from spanloom.operators.components import components
 from spanloom.llm.tokens import groups
-from spanloom.llm.words import PLACES, mixed, shingles
+from spanloom.llm.words import PLACES, free, mixed, shingles
 from spanloom.session import stored
 
 PERMUTATIONS = 64
 SMALL = 6
+#: Rounds of pivots go on while each leaves at most this share of the members.
+ROUNDS, PROGRESS = 24, 31 / 32
 BROADCAST_ROWS = 1_000_000
 _DRAW = np.random.default_rng(7)
 MULTIPLY = _DRAW.integers(1, 1 << 63, PERMUTATIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -108,9 +111,9 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return compared(sized, sets, percent).where("linked").select("a", "b")
 
 
-def around_pivots(star: DataFrame, percent: int) -> DataFrame:
-    """Pairs of members of one pivot that may be alike though one of them is not
-    like the pivot.
+def around_pivots(star: DataFrame, percent: int, among_apart: bool = False) -> DataFrame:
+    """Pairs of members of one pivot that may be alike, one of them like the pivot
+    and one not; with ``among_apart`` also pairs of two that are not.
 
     star: a (member), b (pivot), na, nb, linked and d, the symmetric difference of
     their sets.  Members x and y are alike where |x diff y| <= q (|x| + |y|), and
@@ -122,13 +125,13 @@ def around_pivots(star: DataFrame, percent: int) -> DataFrame:
     themselves is rare, so hardly any other pair is found.
     """
     q = (100 - percent) / (100 + percent)
-    apart = star.where("not linked").select("b").distinct()
+    apart = star.groupBy("b").agg(F.bool_and("linked").alias("all"), F.bool_or("linked").alias("some")).where("not all" if among_apart else "some and not all").select("b")
     long = star.join(apart, "b", "left_semi").select("a", "b", "na", "nb", "linked", F.size("d").alias("nd"), F.explode("d").alias("w"))
     often = long.groupBy("b", "w").agg(F.count("*").alias("f"))
     place = F.row_number().over(Window.partitionBy("b", "a").orderBy("f", "w"))
     placed = stored(long.join(often, ["b", "w"]).withColumn("k", place).where("f > 1"), "differences")
     least = F.floor((F.col("nd") - q * F.greatest(F.col("na") - F.col("nb"), F.lit(0))) / 2 - 1e-9) + 1
-    x = placed.where(F.col("k") <= F.col("nd") - least + 1).select("b", "w", F.col("a").alias("x"), F.col("na").alias("nx"), F.col("nd").alias("dx"), F.col("k").alias("kx"))
+    x = (placed if among_apart else placed.where("linked")).where(F.col("k") <= F.col("nd") - least + 1).select("b", "w", F.col("a").alias("x"), F.col("na").alias("nx"), F.col("nd").alias("dx"), F.col("k").alias("kx"))
     y = placed.where("not linked").select("b", "w", F.col("a").alias("y"), F.col("na").alias("ny"), F.col("nd").alias("dy"), F.col("k").alias("ky"))
     s = F.ceil((F.col("dx") + F.col("dy") - q * (F.col("nx") + F.col("ny"))) / 2 - 1e-9)
     fits = (F.col("kx") <= F.col("dx") - s + 1) & (F.col("ky") <= F.col("dy") - s + 1) & (F.least("nx", "ny") * 100 >= F.greatest("nx", "ny") * percent)
@@ -147,19 +150,31 @@ def grouped(docs: DataFrame, size: int, percent: int, doc_id: str, text: str) ->
     in_band = keyed.select("node", F.explode("bands").alias("key"))
     shared = in_band.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
     found = stored(in_band.join(shared, "key"), "buckets")
-    # The pivot is the member that meets most others in its buckets: the middle of its group.
     met = found.groupBy("node").agg(F.sum("members").alias("met"))
-    pivots = found.where(F.col("members") > SMALL).join(met, "node").groupBy("key").agg(F.max(F.struct("met", "node")).alias("p")).select("key", F.col("p.node").alias("pivot"))
-    members = found.join(pivots, "key", "left")
-    sets = full_sets(rows, keyed.join(members.select("node").distinct(), "node", "left_semi").select("r.doc_id", "r.tie"), size)
-
-    # Small buckets: their few pairs.  Others: each member with the pivot, and around it.
-    few = members.where(F.col("members") <= SMALL).select("key", "node")
-    direct = few.select("key", F.col("node").alias("a")).join(few.select("key", F.col("node").alias("b")), "key").where("a < b").select("a", "b").distinct()
-    to_pivot = members.where((F.col("members") > SMALL) & (F.col("node") != F.col("pivot"))).select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct()
+    sets = full_sets(rows, keyed.join(met.select("node"), "node", "left_semi").select("r.doc_id", "r.tie"), size)
     difference = F.concat(F.array_except("sa", "sb"), F.array_except("sb", "sa"))
-    star = stored(compared(to_pivot, sets, percent).select("a", "b", "na", "nb", "linked", difference.alias("d")), "stars")
-    near = star.where("linked").select("a", "b").unionByName(confirmed(direct, sets, percent)).unionByName(confirmed(around_pivots(star, percent), sets, percent))
+    few, left, many = found.where(F.col("members") <= SMALL).select("key", "node"), found.where(F.col("members") > SMALL).join(met, "node").select("key", "node", "met"), None
+    near = None
+    for turn in range(ROUNDS + 1):
+        # Small buckets: their few pairs.
+        direct = few.select("key", F.col("node").alias("a")).join(few.select("key", F.col("node").alias("b")), "key").where("a < b").select("a", "b").distinct()
+        links = confirmed(direct, sets, percent)
+        near = links if near is None else near.unionByName(links)
+        left = stored(left, "left")
+        before, many = many, left.count()
+        if not many:
+            break
+        # Others: each member with the pivot, the member that meets most others in its buckets, and around it.
+        pivots = left.groupBy("key").agg(F.max(F.struct("met", "node")).alias("p")).select("key", F.col("p.node").alias("b"))
+        members = left.withColumnRenamed("node", "a").join(pivots, "key").where("a <> b")
+        star = stored(compared(members.select("a", "b").distinct(), sets, percent).select("a", "b", "na", "nb", "linked", difference.alias("d")), "stars")
+        last = turn == ROUNDS or before is not None and many > PROGRESS * before
+        near = near.unionByName(star.where("linked").select("a", "b")).unionByName(confirmed(around_pivots(star, percent, last), sets, percent))
+        if last:
+            break
+        apart = members.join(star.where("not linked").select("a", "b"), ["a", "b"]).select("key", F.col("a").alias("node"), "met")
+        apart = apart.join(apart.groupBy("key").agg(F.count("*").alias("members")), "key")
+        few, left = apart.where((F.col("members") > 1) & (F.col("members") <= SMALL)).select("key", "node"), apart.where(F.col("members") > SMALL).select("key", "node", "met")
     edges = stored(near.distinct(), "links")
     of = components(edges)
     linked = keyed.select("node", "r").join(of, "node")
@@ -190,13 +205,15 @@ def drop_near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, doc_
     words all stay.  All columns are kept."""
     found = stored(grouped(docs, size, percent, doc_id, text), "groups")
     own = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "tie")
-    gone = found.where(~own.eqNullSafe(F.col("leader"))).select(F.xxhash64("doc_id", "tie").alias("_k")).distinct()
-    again = found.where("node is not null").groupBy("doc_id", "tie").count().where("count > 1").select(F.xxhash64("doc_id", "tie").alias("_k")).distinct()
-    tagged = docs.withColumn("_k", F.xxhash64(F.col(doc_id).cast("long"), F.xxhash64(text)))
+    k = free(docs, "_k")
+    key = F.xxhash64("doc_id", "tie").alias(k)
+    gone = found.where(~own.eqNullSafe(F.col("leader"))).select(key).distinct()
+    again = found.where("node is not null").groupBy("doc_id", "tie").count().where("count > 1").select(key).distinct()
+    tagged = docs.withColumn(k, F.xxhash64(F.col(doc_id).cast("long"), F.xxhash64(text)))
     small = lambda d: F.broadcast(d) if d.count() <= BROADCAST_ROWS else d
     gone, again = small(stored(gone, "gone")), stored(again, "repeated")
-    left = tagged.join(gone, "_k", "left_anti")
+    left = tagged.join(gone, k, "left_anti")
     if not again.isEmpty():  # rows that repeat exactly: one of them stays
-        once = left.join(small(again), "_k", "left_semi").dropDuplicates(["_k"])
-        left = left.join(small(again), "_k", "left_anti").unionByName(once)
-    return left.drop("_k")
+        once = left.join(small(again), k, "left_semi").dropDuplicates([k])
+        left = left.join(small(again), k, "left_anti").unionByName(once)
+    return left.drop(k)

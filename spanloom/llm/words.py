@@ -69,3 +69,11 @@ def shingles(texts: list, size: int = 5) -> list[np.ndarray]:
         else:
             out.append(np.zeros(0, np.uint64))
     return out
+
+
+def free(df, name: str) -> str:
+    """A column name that ``df`` does not have, whatever its case."""
+    held = {c.lower() for c in df.columns}
+    while name.lower() in held:
+        name += "_"
+    return name
