@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from spanloom.llm.words import free
 from spanloom.session import stored
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -17,7 +18,8 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: so at most 41**4 four-grams however many URLs there are.
 MARKS = "/:.-_?=&#%+"
 ORDER, STRENGTH = 3, 4.0
-BROADCAST_ROWS = 200_000
+#: A URL with this share of all rows or more is looked up by broadcast.
+HOT_SHARE = 1e-4
 
 
 def host_of(url: Column) -> Column:
@@ -43,7 +45,7 @@ def rule_of(host: Column, path: Column, rules: list[tuple[str, str]]) -> Column:
 def symbols(url: Column) -> Column:
     """The URL in the model's alphabet, with three starts and an end."""
     text = F.regexp_replace(F.translate(F.coalesce(url, F.lit("")), UPPER, LOWER), "[0-9]", "0")
-    return F.concat(F.lit("^" * ORDER), F.regexp_replace(text, f"[^a-z0{MARKS}]".replace("-", "\\-"), "~"), F.lit("$"))
+    return F.concat(F.lit("^" * ORDER), F.regexp_replace(text, "[^a-z0" + MARKS.replace("-", "\\-") + "]", "~"), F.lit("$"))
 
 
 def grams(df: DataFrame) -> DataFrame:
@@ -51,6 +53,11 @@ def grams(df: DataFrame) -> DataFrame:
     return df.select("*", F.explode(F.sequence(F.lit(1), F.length("s") - ORDER)).alias("i")).withColumn("g", F.substring(F.col("s"), F.col("i"), F.lit(ORDER + 1))).drop("i", "s")
 
 
+def packed(gram: Column) -> Column:
+    """A gram of four ASCII signs as a long, which joins keep without objects."""
+    return F.conv(F.hex(gram), 16, 10).cast("long")
+
+
 def ratio_table(counts: DataFrame) -> DataFrame:
     """g, llr: log ratio of the two smoothed probabilities of a four-gram's last
     character.  counts: g, a, r (0 where only unlabelled URLs have it)."""
@@ -73,8 +80,8 @@ def filter_urls(pages: DataFrame, rules: list[tuple[str, str]], url: str = "url"
     ``label`` says which URLs teach the models: "allow", "block" or null; by
     default the verdicts of the rules.  Where no rule fits, a URL is blocked if
     its score is under the calibrated threshold; a null URL has no score and is
-    allowed, and so is everything where a class has no calibration URL.  Equal
-    URLs get equal verdicts; repeated rows stay.  Columns of ``pages`` with the
+    allowed, and so is everything where a class has no calibration URL.  A URL
+    that is labelled both ways teaches as blocked.  Equal URLs get equal verdicts; repeated rows stay.  Columns of ``pages`` with the
     names added are replaced.
     """
     added = ["host", "path", "rule", "score", "verdict"]
@@ -84,18 +91,34 @@ def filter_urls(pages: DataFrame, rules: list[tuple[str, str]], url: str = "url"
     ruled = F.coalesce(*(F.when(F.col("rule") == r, F.lit(v)) for r, v in verdict_of.items()), F.lit(None).cast("string"))
     label = ruled if label is None else label
     # One row per URL: a URL that fills a third of the table is counted with weight, not repeated.
-    urls = base.where(F.col(url).isNotNull()).groupBy(F.col(url).alias("u_url")).agg(F.count("*").alias("w"), F.max(label).alias("label"))
-    urls = urls.withColumn("held", F.substring(F.md5("u_url"), 1, 1).isin("0", "1", "2")).withColumn("s", symbols(F.col("u_url")))
+    urls = base.select(F.col(url).alias("u"), label.alias("label")).where("u is not null").groupBy("u").agg(F.count("*").alias("w"), F.max("label").alias("label"))
+    urls = stored(urls.withColumn("held", F.substring(F.md5("u"), 1, 1).isin("0", "1", "2")), "urls").withColumn("s", symbols(F.col("u")))
     taught = lambda c: F.sum(F.when((F.col("label") == c) & ~F.col("held"), F.col("w")).otherwise(0)).cast("double")
-    table = stored(ratio_table(grams(urls.select("s", "w", "label", "held")).groupBy("g").agg(taught("allow").alias("a"), taught("block").alias("r"))), "url-ratios")
-    small = F.broadcast(table) if table.count() <= BROADCAST_ROWS else table
-    scores = stored(grams(urls).join(small, "g").groupBy("u_url", "label", "held", "w").agg(F.avg("llr").alias("score")), "url-scores")
+    table = ratio_table(grams(urls.select("s", "w", "label", "held")).groupBy("g").agg(taught("allow").alias("a"), taught("block").alias("r")))
+    table = stored(table.select(packed(F.col("g")).alias("g"), "llr"), "url-ratios")
+    # At most 41**4 grams however many URLs: the table is broadcast, and a URL's characters stay where the URL is.
+    priced = grams(urls).withColumn("g", packed(F.col("g"))).join(F.broadcast(table), "g")
+    scores = stored(priced.groupBy("u", "label", "held", "w").agg(F.avg("llr").alias("score")), "url-scores")
     fit = {r["label"]: r for r in scores.where("held and label is not null").groupBy("label").agg(F.avg("score").alias("m"), F.stddev_pop("score").alias("sd")).collect()}
     least = None
     if "allow" in fit and "block" in fit:
         a, r = fit["allow"], fit["block"]
         spread = a["sd"] + r["sd"]
         least = (a["m"] * r["sd"] + r["m"] * a["sd"]) / spread if spread else (a["m"] + r["m"]) / 2
-    out = base.join(scores.select("u_url", "score"), F.col(url) == F.col("u_url"), "left").drop("u_url")
+    out = with_scores(base, url, scores)
     method = F.when(F.col("score") < least, "block").otherwise("allow") if least is not None else F.lit("allow")
     return out.withColumn("verdict", F.coalesce(ruled, method))
+
+
+def with_scores(base: DataFrame, url: str, scores: DataFrame) -> DataFrame:
+    """``base`` with each URL's score.  Hot URLs (at most 1 / HOT_SHARE of them) are
+    looked up by broadcast; their rows and those without a URL go on under keys that
+    match nothing, so that they spread."""
+    total = scores.agg(F.sum("w")).first()[0] or 0
+    hot_url, hot_score, key = free(base, "_hot"), free(base, "_hot_score"), free(base, "_key")
+    hot = scores.where(F.col("w") >= total * HOT_SHARE).select(F.col("u").alias(hot_url), F.col("score").alias(hot_score))
+    rest = scores.where(F.col("w") < total * HOT_SHARE).select(F.col("u").alias(key), "score")
+    alone = F.concat(F.lit("\0"), F.monotonically_increasing_id().cast("string"))
+    met = base.join(F.broadcast(hot), F.col(url) == F.col(hot_url), "left")
+    keyed = met.withColumn(key, F.when(F.col(url).isNotNull() & F.col(hot_url).isNull(), F.col(url)).otherwise(alone))
+    return keyed.join(rest, key, "left").withColumn("score", F.coalesce("score", hot_score)).select(*base.columns, "score")
