@@ -19,6 +19,8 @@ from spanloom.session import stored
 
 BLOCK, QUERY_BLOCK, SAMPLE, PART = 4096, 2048, 4096, 512
 FIRST = 16
+#: At most as many blocks of queries are broadcast by their numbers (20 bytes each).
+NUMBERS = 1_000_000
 EXACT = 2.0**53
 PACKED = "block long, dim int, most double, n int, ids binary, rows binary"
 
@@ -37,11 +39,12 @@ def rotation(rows: np.ndarray) -> np.ndarray:
 
 
 def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Integer inner products of all rows of a with all of b (both int64)."""
+    """Integer inner products of all rows of a with all of b (both int64), held at
+    the ends of a long."""
     longest = lambda m: float(np.abs(m.astype(float)).max(initial=0)) * m.shape[1] ** 0.5
     if longest(a) * longest(b) < EXACT:
         return (a.astype(float) @ b.astype(float).T).astype(np.int64)
-    return np.array(a.astype(object) @ b.astype(object).T, dtype=object)
+    return np.clip(a.astype(object) @ b.astype(object).T, -(1 << 63), (1 << 63) - 1).astype(np.int64)
 
 
 class Best:
@@ -97,7 +100,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, vec_id: str = "vec_
     Candidates are all rows but the query's own; a repeated row is another row.
     Vectors that are null or hold null or non-finite components, and rows with a
     null id, take no part; vectors of other dimension than the query's neither.
-    An empty vector's products are 0.  Other columns are ignored.
+    An empty vector's products are 0.  Integers and scores beyond a long are held
+    at its end.  Other columns are ignored.
     """
     spark = vectors.sparkSession
     rows = vectors.select(F.col(vec_id).cast("long").alias("vec_id"), integers(F.col(embedding)).alias("v")).where("vec_id is not null and v is not null")
@@ -141,27 +145,52 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, vec_id: str = "vec_
                 own, m = unpack(dim, ids, data)
                 yield pa.RecordBatch.from_arrays([pa.array(own), pa.array([dim] * len(own), pa.int32()), pa.array(block * BLOCK + np.arange(len(own))), pa.array([r.tobytes() for r in m], pa.binary())], ["vec_id", "dim", "at", "row"])
 
+    # A first pass finds each query's bound among the longest vectors; queries of like
+    # reach (the length that a vector must have to matter) then share a block.
     asked = blocks.select("block", "dim", "ids", "rows").mapInArrow(queries, "vec_id long, dim int, at long, row binary").where(is_query)
-    total = sum(s["n"] for s in sizes)
-    n_blocks = max(1, -(-total // (50 * QUERY_BLOCK)))
-
-    def bounded(key, table):
-        dim = key[1].as_py()
-        q = np.frombuffer(b"".join(table["row"].to_pylist()), np.int64).reshape(-1, dim)
-        at = table["at"].to_numpy()
-        block, ids, data = heads.value[dim]
-        h_ids, h = unpack(dim, ids, data)
-        best = search(q, at, np.full(len(q), -np.inf), h, h_ids, block * BLOCK + np.arange(len(h)), turns.value[dim], k)
-        lengths = np.linalg.norm(q.astype(float), axis=1)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            reach = np.where(lengths > 0, best.least / lengths, -np.inf).min()
-        return pa.table({"qb": [key[0].as_py()], "dim": pa.array([dim], pa.int32()), "reach": [float(reach)], "q_ids": pa.array([table["vec_id"].to_numpy().tobytes()], pa.binary()), "q_at": pa.array([at.tobytes()], pa.binary()), "q_rows": pa.array([q.tobytes()], pa.binary()), "least": pa.array([best.least.tobytes()], pa.binary())})
-
-    q_blocks = stored(asked.withColumn("qb", F.pmod(F.xxhash64("at"), F.lit(n_blocks))).groupBy("qb", "dim").applyInArrow(bounded, "qb long, dim int, reach double, q_ids binary, q_at binary, q_rows binary, least binary"), "queries")
-    # Every block of vectors meets every block of queries once, unless all its vectors are too short.
-    dealt = blocks.withColumn("qb", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_blocks - 1).cast("long"))))
-    pairs = dealt.join(q_blocks, ["qb", "dim"]).where("most * (1 + 1e-9) + 1e-6 >= reach").drop("reach", "n")
-    pairs = pairs.repartition(max(1, min(sum(s["b"] for s in sizes) * n_blocks, 4096)))
+
+    def bounded(batches):
+        for b in batches:
+            dims = b.column(1).to_numpy()
+            for dim in np.unique(dims).tolist():
+                some = b.filter(pa.array(dims == dim))
+                for at in range(0, some.num_rows, QUERY_BLOCK):
+                    part = some.slice(at, QUERY_BLOCK)
+                    q = np.frombuffer(b"".join(part.column(3).to_pylist()), np.int64).reshape(-1, dim)
+                    block, ids, data = heads.value[dim]
+                    h_ids, h = unpack(dim, ids, data)
+                    best = search(q, part.column(2).to_numpy(), np.full(len(q), -np.inf), h, h_ids, block * BLOCK + np.arange(len(h)), turns.value[dim], k)
+                    lengths = np.linalg.norm(q.astype(float), axis=1)
+                    with np.errstate(divide="ignore", invalid="ignore"):
+                        reach = np.where(lengths > 0, best.least / lengths, -np.inf)
+                    yield pa.RecordBatch.from_arrays([*part.columns, pa.array(best.least), pa.array(reach)], ["vec_id", "dim", "at", "row", "least", "reach"])
+
+    bounds = stored(asked.mapInArrow(bounded, "vec_id long, dim int, at long, row binary, least double, reach double"), "bounds")
+
+    def gather(batches):
+        """Rows that follow each other in order of reach, as blocks of queries."""
+        part, count = TaskContext.get().partitionId(), 0
+        for b in batches:
+            dims = b.column(1).to_numpy()
+            for dim in np.unique(dims).tolist():
+                some = b.filter(pa.array(dims == dim))
+                for at in range(0, some.num_rows, QUERY_BLOCK):
+                    own = some.slice(at, QUERY_BLOCK)
+                    data = [own.column(0).to_numpy().tobytes(), own.column(2).to_numpy().tobytes(), b"".join(own.column(3).to_pylist()), own.column(4).to_numpy().tobytes()]
+                    yield pa.RecordBatch.from_arrays([pa.array([part << 32 | count]), pa.array([dim], pa.int32()), pa.array([float(own.column(5).to_numpy().min())]), *(pa.array([x], pa.binary()) for x in data)], ["qb", "dim", "reach", "q_ids", "q_at", "q_rows", "least"])
+                    count += 1
+
+    asking = bounds.count()
+    ordered = bounds.repartitionByRange(max(1, min(8192, -(-asking // QUERY_BLOCK))), "dim", "reach", "at").sortWithinPartitions("dim", "reach", "at")
+    q_blocks = stored(ordered.mapInArrow(gather, "qb long, dim int, reach double, q_ids binary, q_at binary, q_rows binary, least binary"), "queries")
+    # Which blocks meet is told by their numbers alone; vectors go only to pairs that can still better a query.
+    lengths = blocks.select("block", "dim", "most").withColumnRenamed("dim", "d")
+    numbers = q_blocks.select("qb", "dim", "reach")
+    numbers = F.broadcast(numbers) if asking <= NUMBERS * QUERY_BLOCK else numbers
+    pairs = lengths.join(numbers, (F.col("dim") == F.col("d")) & (F.col("most") * (1 + 1e-9) + 1e-6 >= F.col("reach"))).select("qb", "block")
+    pairs = stored(pairs, "pairs")
+    met = pairs.join(blocks.select("block", "dim", "ids", "rows"), "block").join(q_blocks.select("qb", "q_ids", "q_at", "q_rows", "least"), "qb")
+    pairs = met.repartition(max(1, min(pairs.count(), 4096)))
 
     def score(batches):
         for b in batches:
