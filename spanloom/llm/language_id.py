@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from spanloom.llm.tokens import groups
 from spanloom.session import stored
@@ -83,9 +83,10 @@ def fit(labelled: DataFrame, text: str, language: str, per_language: int = SAMPL
     return names, np.log(out, out=out)
 
 
-def text_posteriors(df: DataFrame, text: str, model: tuple[list[str], np.ndarray], keep: list[str]) -> DataFrame:
-    """Columns ``keep``, n (bytes of evidence) and t: log-likelihoods of each
-    language, scaled to at most EVIDENCE bigrams, and last that of no language."""
+def text_posteriors(df: DataFrame, model: tuple[list[str], np.ndarray]) -> DataFrame:
+    """The columns of ``df`` but its last, a text, plus n (bytes of evidence) and t:
+    log-likelihoods of each language, scaled to at most EVIDENCE bigrams, and last
+    that of no language."""
     shared = df.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
@@ -94,16 +95,18 @@ def text_posteriors(df: DataFrame, text: str, model: tuple[list[str], np.ndarray
         table = np.vstack([table, np.full((1, 1 << 16), -np.log(48), np.float32)]).T.copy()
         for b in batches:
             out, sizes = [], []
-            for some in groups(b.column(len(keep)).to_pylist(), 1 << 16):
+            for some in groups(b.column(b.num_columns - 1).to_pylist(), 1 << 16):
                 for t in some:
                     g = bigrams(squeezed(t))
-                    total = table[g].sum(0, dtype=np.float64) if len(g) > 1 else np.zeros(table.shape[1])
+                    total = np.zeros(table.shape[1])
+                    for at in range(0, len(g) if len(g) > 1 else 0, 1 << 20):
+                        total += table[g[at : at + (1 << 20)]].sum(0, dtype=np.float64)
                     out.append(total * min(1.0, EVIDENCE / max(1, len(g))))
                     sizes.append(len(g) if len(g) > 1 else 0)
-            yield pa.RecordBatch.from_arrays([*b.columns[: len(keep)], pa.array(sizes, pa.int64()), pa.array(out, pa.list_(pa.float64()))], [*keep, "_n", "_t"])
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(sizes, pa.int64()), pa.array(out, pa.list_(pa.float64()))], [*b.schema.names[:-1], "n", "t"])
 
-    schema = ", ".join([*(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep), "_n long, _t array<double>"])
-    return df.select(*keep, F.col(text).alias("_x")).mapInArrow(run, schema)
+    added = T.StructType([T.StructField("n", T.LongType()), T.StructField("t", T.ArrayType(T.DoubleType()))])
+    return df.mapInArrow(run, T.StructType([*df.schema.fields[:-1], *added.fields]))
 
 
 def softmax(logs: Column) -> Column:
@@ -112,48 +115,49 @@ def softmax(logs: Column) -> Column:
     return F.transform(raised, lambda x: x / F.aggregate(raised, F.lit(0.0), lambda a, y: a + y))
 
 
-def identify(df: DataFrame, model: tuple[list[str], np.ndarray], text: str = "text", declared: Column | None = None, suffix: Column | None = None, host: Column | None = None, least: float = 0.5) -> DataFrame:
-    """``df`` plus language, confidence, text_language and accepted.
+def identify(df: DataFrame, model: tuple[list[str], np.ndarray], text: str = "text", declared: Column | None = None, suffix: Column | None = None, host: Column | None = None, least: float = 0.5, columns: list[str] | None = None) -> DataFrame:
+    """``columns`` of ``df`` (default: all) plus language, confidence, text_language
+    and accepted.
 
     Evidence columns may be left out, and nulls in them are no evidence.  A row
     is accepted where its text is likelier in the language than under the
     uniform model and its confidence is ``least`` or more; null, empty and
     blank texts are never accepted and have a null text_language.  With no
     model language nothing is accepted.  Equal rows get equal results; rows stay
-    as they are, and columns of ``df`` with the added names are replaced.
+    as they are, and columns of ``df`` with the added names are replaced.  Each
+    text is scored once: its posteriors are written with the columns asked for.
     """
     names, _ = model
     added = ["language", "confidence", "text_language", "accepted"]
+    kept = [c for c in (df.columns if columns is None else columns) if c not in added]
     if not names:
         none = {"language": F.lit(None).cast("string"), "confidence": F.lit(0.0), "text_language": F.lit(None).cast("string"), "accepted": F.lit(False)}
-        return df.withColumns(none)
-    n = len(names)
+        return df.select(*kept).withColumns(none)
+    size = len(names)
     null = F.lit(None).cast("string")
-    base = df.drop(*added).withColumns({"_d": null if declared is None else declared, "_s": null if suffix is None else suffix, "_h": null if host is None else host})
-    evidence = text_posteriors(base, text, model, ["_d", "_s", "_h"]).withColumn("_p", softmax(F.slice("_t", 1, n)))
-    sums = lambda: [F.sum(F.when(F.col("_n") > 0, F.col("_p")[k]).otherwise(0.0)).alias(f"p{k}") for k in range(n)]
-    table = stored(evidence.groupBy("_d", "_s", "_h").agg(*sums()), "language-sums")
-    again = lambda *keys: table.groupBy(*keys).agg(*(F.sum(f"p{k}").alias(f"p{k}") for k in range(n)))
+    # The caller's columns travel as one, so that no name can clash.
+    row = F.struct(*(F.col(c) for c in kept)) if kept else F.struct(F.lit(0).alias("none"))
+    base = df.select(row.alias("row"), (null if declared is None else declared).alias("d"), (null if suffix is None else suffix).alias("s"), (null if host is None else host).alias("h"), F.col(text).alias("text"))
+    scored = stored(text_posteriors(base, model), "language-posteriors").withColumn("p", softmax(F.slice("t", 1, size)))
+    sums = [F.sum(F.when(F.col("n") > 0, F.col("p")[k]).otherwise(0.0)).alias(f"p{k}") for k in range(size)]
+    table = stored(scored.groupBy("d", "s", "h").agg(*sums), "language-sums")
+    again = lambda *keys: table.groupBy(*keys).agg(*(F.sum(f"p{k}").alias(f"p{k}") for k in range(size)))
     whole = [x or 0.0 for x in again().first()]
-    overall = [(x + 1.0) / (sum(whole) + n) for x in whole]
-    counts = lambda: F.array(*(F.col(f"p{k}") for k in range(n)))
+    overall = [(x + 1.0) / (sum(whole) + size) for x in whole]
+    counts = F.array(*(F.col(f"p{k}") for k in range(size)))
     # A declared language's likelihood under each language, smoothed by one row of each kind.
-    spoken = again("_d").where("_d is not null").select(F.col("_d").alias("_d"), F.array(*(F.log((F.col(f"p{k}") + 1.0) / F.lit(whole[k] + 2.0)) for k in range(n))).alias("_ld"))
-    of_suffix = again("_s").where("_s is not null").select("_s", counts().alias("_cs"))
-    of_host = again("_s", "_h").where("_h is not null").select(F.col("_s").alias("_hs"), "_h", counts().alias("_ch"))
+    spoken = again("d").where("d is not null").select("d", F.array(*(F.log((F.col(f"p{k}") + 1.0) / F.lit(whole[k] + 2.0)) for k in range(size))).alias("ld"))
+    of_suffix = again("s").where("s is not null").select("s", counts.alias("cs"))
+    of_host = again("s", "h").where("h is not null").select(F.col("s").alias("hs"), F.col("h").alias("hh"), counts.alias("ch"))
 
     def joined(left: DataFrame, right: DataFrame, on) -> DataFrame:
         right = stored(right, "language-priors")
         return left.join(F.broadcast(right) if right.count() <= BROADCAST_ROWS else right, on, "left")
 
-    keep = [c for c in base.columns if c != text]
-    scored = text_posteriors(base.withColumn("_text", F.col(text)), text, model, [*keep, "_text"]).withColumnRenamed("_text", text)
-    scored = scored.withColumn("_p", softmax(F.slice("_t", 1, n)))
-    scored = joined(scored, spoken, "_d")
-    scored = joined(scored, of_suffix, "_s")
-    right = stored(of_host.withColumnRenamed("_h", "_hh"), "language-priors")
-    scored = scored.join(F.broadcast(right) if right.count() <= BROADCAST_ROWS else right, (F.col("_h") == F.col("_hh")) & F.col("_s").eqNullSafe(F.col("_hs")), "left")
-    own = F.when(F.col("_n") > 0, F.col("_p")).otherwise(F.array_repeat(F.lit(0.0), n))
+    scored = joined(scored, spoken, "d")
+    scored = joined(scored, of_suffix, "s")
+    scored = joined(scored, of_host, (F.col("h") == F.col("hh")) & F.col("s").eqNullSafe(F.col("hs")))
+    own = F.when(F.col("n") > 0, F.col("p")).otherwise(F.array_repeat(F.lit(0.0), size))
 
     def prior(counted: Column, above: Column) -> Column:
         """Counts of other rows with STRENGTH rows' worth of what stands above."""
@@ -161,20 +165,19 @@ def identify(df: DataFrame, model: tuple[list[str], np.ndarray], text: str = "te
         total = F.aggregate(others, F.lit(0.0), lambda a, x: a + x)
         return F.coalesce(F.zip_with(others, above, lambda c, p: (c + p * STRENGTH) / (total + STRENGTH)), above)
 
-    scored = scored.withColumn("_ps", prior(F.col("_cs"), F.array(*map(F.lit, overall)))).withColumn("_ph", prior(F.col("_ch"), F.col("_ps")))
-    logs = F.zip_with(F.zip_with(F.slice("_t", 1, n), F.col("_ph"), lambda t, p: t + F.log(p)), F.coalesce("_ld", F.array_repeat(F.lit(0.0), n)), lambda a, b: a + b)
-    scored = scored.withColumn("_f", softmax(logs))
+    scored = scored.withColumn("ps", prior(F.col("cs"), F.array(*map(F.lit, overall)))).withColumn("ph", prior(F.col("ch"), F.col("ps")))
+    logs = F.zip_with(F.zip_with(F.slice("t", 1, size), F.col("ph"), lambda t, p: t + F.log(p)), F.coalesce("ld", F.array_repeat(F.lit(0.0), size)), lambda a, b: a + b)
+    scored = scored.withColumn("f", softmax(logs))
     place = lambda c: F.array_position(c, F.array_max(c)).cast("int")
     named = F.array(*map(F.lit, names))
-    text_place = place(F.slice("_t", 1, n))
-    best = place(F.col("_f"))
-    out = scored.withColumns({
+    best = place(F.col("f"))
+    found = {
         "language": F.element_at(named, best),
-        "confidence": F.array_max("_f"),
-        "text_language": F.when(F.col("_n") > 0, F.element_at(named, text_place)),
-        "accepted": (F.col("_n") > 0) & (F.element_at("_t", best) > F.element_at("_t", n + 1)) & (F.array_max("_f") >= least),
-    })
-    return out.select(*df.drop(*added).columns, *added)
+        "confidence": F.array_max("f"),
+        "text_language": F.when(F.col("n") > 0, F.element_at(named, place(F.slice("t", 1, size)))),
+        "accepted": (F.col("n") > 0) & (F.element_at("t", best) > F.element_at("t", size + 1)) & (F.array_max("f") >= least),
+    }
+    return scored.select(*(F.col("row").getField(c).alias(c) for c in kept), *(x.alias(c) for c, x in found.items()))
 
 
 def page_text(html: Column) -> Column:

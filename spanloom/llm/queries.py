@@ -67,7 +67,7 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    found = language_id.identify(docs, language_id.fit(docs, "text", "lang"), declared=F.col("lang"), host=F.col("source"))
+    found = language_id.identify(docs, language_id.fit(docs, "text", "lang"), declared=F.col("lang"), host=F.col("source"), columns=["doc_id"])
     return found.select("doc_id", "language", F.round("confidence", 6).alias("confidence"), "text_language", "accepted")
 
 
@@ -77,7 +77,7 @@ def op10_language_id_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     host = url_filter.host_of(F.col("url"))
     folder = F.regexp_extract(url_filter.path_of(F.col("url")), "^/([a-z]{2})/", 1)
     seen = pages.select("page_id", language_id.page_text(F.col("html")).alias("text"), language_id.page_declared(F.col("html")).alias("d"), F.concat_ws("/", F.substring_index(host, ".", -1), folder).alias("s"), host.alias("h"))
-    found = language_id.identify(seen, language_id.fit(docs, "text", "lang"), declared=F.col("d"), suffix=F.col("s"), host=F.col("h"))
+    found = language_id.identify(seen, language_id.fit(docs, "text", "lang"), declared=F.col("d"), suffix=F.col("s"), host=F.col("h"), columns=["page_id"])
     return found.select("page_id", "language", F.round("confidence", 6).alias("confidence"), "text_language", "accepted")
 
 
