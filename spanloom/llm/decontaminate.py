@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from spanloom.llm.tokens import groups
-from spanloom.llm.words import PLACES, windows, word_hashes
+from spanloom.llm.words import PLACES, free, windows, word_hashes
 from spanloom.session import stored
 
 #: Fixed masks of weight 6; the shortest spans 7 words.
@@ -99,8 +99,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
     Words are lower-cased (A-Z) and stripped of punctuation at their ends.  An
     overlap verifies where, laid side by side without shifts, ``window`` words
     in a row (all of a shorter item) are equal in at least ``percent`` per cent.
-    Items of fewer than 5 words are no evidence and match nothing; null or empty
-    texts match nothing; rows with a null item_id are items too.  Rows that
+    Items of fewer than 5 words are no evidence and match nothing; neither does a
+    document with fewer words than that (a short piece of a longer item is no
+    overlap), nor a null or empty text; rows with a null item_id are items too.  Rows that
     repeat give repeated results.  start counts words from 0.
     """
     spark = docs.sparkSession
@@ -165,6 +166,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: s
     Rows are told apart by doc_id and text together, so a null or repeated
     doc_id is no obstacle.
     """
-    tagged = docs.withColumn("_k", F.xxhash64(F.col(doc_id), F.col(text)))
-    bad = stored(contaminated(tagged.select("_k", F.col(text).alias("_t")), benchmark, "_k", "_t", **options).select(F.col("doc_id").alias("_k")).distinct(), "contaminated")
-    return tagged.join(F.broadcast(bad) if bad.count() <= 1_000_000 else bad, "_k", "left_anti").drop("_k")
+    k = free(docs, "_k")
+    tagged = docs.withColumn(k, F.xxhash64(F.col(doc_id), F.col(text)))
+    bad = stored(contaminated(tagged.select(F.col(k).alias("k"), F.col(text).alias("t")), benchmark, "k", "t", **options).select(F.col("doc_id").alias(k)).distinct(), "contaminated")
+    return tagged.join(F.broadcast(bad) if bad.count() <= 1_000_000 else bad, k, "left_anti").drop(k)

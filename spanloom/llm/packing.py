@@ -41,9 +41,10 @@ class Packer:
         self.next += 1
 
     def add(self, doc, start: int, total: int, ids: bytes) -> None:
-        while len(ids) >= 4 * self.length:
-            self.emit([(doc, start, total, ids[: 4 * self.length])])
-            start, ids = start + self.length, ids[4 * self.length :]
+        whole = len(ids) // (4 * self.length)
+        for k in range(whole):
+            self.emit([(doc, start + k * self.length, total, ids[4 * self.length * k : 4 * self.length * (k + 1)])])
+        start, ids = start + whole * self.length, ids[4 * self.length * whole :]
         while ids:
             n = len(ids) // 4
             best = min((w for w in self.open if w[0] >= n), key=lambda w: w[0], default=None)

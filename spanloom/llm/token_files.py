@@ -24,7 +24,7 @@ from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from spanloom.llm.tokens import encode_texts
+from spanloom.llm.tokens import encode_texts, tokenizer
 from spanloom.session import stored
 
 MAGIC, END = b"SLTOK1\n", b"SLTOKEND"
@@ -57,6 +57,11 @@ def widths(vocabulary: int) -> str:
     return "<u2" if vocabulary <= 1 << 16 else "<u4"
 
 
+def greatest_id(path: str) -> int:
+    """The greatest id that the tokenizer can give, added tokens included."""
+    return max(tokenizer(path).get_vocab(with_added_tokens=True).values())
+
+
 def train_dictionary(ids: DataFrame, size: int = 32768, sample_docs: int = 1000) -> bytes:
     """A shared dictionary from the one binary column of ``ids``, of which at most
     2 * ``sample_docs`` rows and the first 64 KB of each are taken; too few or too
@@ -104,22 +109,23 @@ class Shard:
         return np.frombuffer(self.reader.decompress(self.data[self.ends[k] : self.ends[k + 1]]), self.width)
 
 
-def write_token_files(docs: DataFrame, path: str, tokenizer: str, kind: str = "byte", doc_id: str = "doc_id", text: str = "text", end_id: int = 2, vocabulary: int = 50257, shard_bytes: int = 32 << 20, dictionary_docs: int = 1000) -> DataFrame:
+def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, kind: str = "byte", doc_id: str = "doc_id", text: str = "text", end_id: int = 2, shard_bytes: int = 32 << 20, dictionary_docs: int = 1000) -> DataFrame:
     """Write every whole text (null: empty) of ``docs`` with ``end_id`` after it
     to token files at ``path``; returns the manifest.
 
+    An id takes two bytes where the tokenizer's greatest id fits, else four.
     Documents stand in ascending doc_id order, null ids first; equal ids in the
     order of a hash of their texts, so a hot id spreads over partitions.  Other
     columns are not stored.  An empty table gives an empty manifest.
     """
     spark = docs.sparkSession
-    width, end = widths(vocabulary), np.array([end_id], "<u4").tobytes()
+    width, end = widths(max(end_id + 1, greatest_id(tokenizer_path) + 1)), np.array([end_id], "<u4").tobytes()
     each = int(width[2:])
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"), F.xxhash64(text).alias("tie"))
 
     def encoded(batches):
         for b in batches:
-            ids = [np.frombuffer(x + end, "<u4").astype(width).tobytes() for x in encode_texts(tokenizer, kind, b.column(2).to_pylist())]
+            ids = [np.frombuffer(x + end, "<u4").astype(width).tobytes() for x in encode_texts(tokenizer_path, kind, b.column(2).to_pylist())]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(ids, pa.binary())], ["doc_id", "tie", "ids"])
 
     # Texts are read and encoded once; what is sampled, sorted and shuffled are their ids.

@@ -22,16 +22,21 @@ STOP, LATE_STOP = re.compile(f"[.,](?<=[{LETTERS}0-9][.,])"), re.compile(f"[.,](
 PLAIN = re.compile(f" ?[{LETTERS}]+")
 #: Entries of one cache; workers live on from stage to stage with theirs.
 CACHE_LIMIT = 350_000
+#: Longer chunks are rare and are not kept, so that entries bound a cache's bytes.
+LONG = 64
 
 
 class Chunks(dict):
-    """chunk -> what is kept for it; emptied when it holds ``limit`` entries."""
+    """chunk -> what is kept for it; emptied when it holds ``limit`` entries.  Chunks
+    longer than LONG are forgotten with the next texts."""
 
     def __init__(self, encode, limit: int = CACHE_LIMIT, first=()):
         super().__init__(first)
-        self.encode, self.limit, self.first = encode, limit, dict(first)
+        self.encode, self.limit, self.first, self.long = encode, limit, dict(first), []
 
     def learn(self, chunks: set) -> None:
+        for c in self.long:
+            self.pop(c, None)
         # Not chunks.difference(self): for a subclass of dict that walks the whole cache.
         new = [c for c in chunks if c not in self]
         if new:
@@ -40,6 +45,7 @@ class Chunks(dict):
                 self.update(self.first)
                 new = [c for c in chunks if c not in self]
             self.update(zip(new, self.encode(new)))
+        self.long = [c for c in new if len(c) > LONG]
 
 
 def groups(texts: list, size: int = 1 << 19) -> Iterator[list[str]]:
@@ -123,6 +129,8 @@ class Ids(dict):
         ids = self.elder.get(chunk)
         if ids is None:
             ids = self.piece(chunk) if PLAIN.fullmatch(chunk) else id_bytes(self.path, [chunk])[0]
+            if len(chunk) > LONG:
+                return ids
         if len(self) >= self.limit:
             self.elder = dict(self)
             self.clear()

@@ -1,16 +1,14 @@
-"""Tokenisation, counting, packing, token files and scores against plain versions."""
+"""Tokenisation, counting, packing and token files against plain versions."""
 
 import binascii
-import math
 from array import array
 from collections import Counter
 
 import numpy as np
 import public_tokenizers
 import pytest
-from pyspark.sql import functions as F
 
-from spanloom.llm import lm_score, packing, queries, token_counts, token_files, tokens
+from spanloom.llm import packing, queries, token_counts, token_files, tokens
 from spanloom.session import new_folder
 
 ODD = ["", "a", "  two  blanks ", "line\nend\n\n more", "\ttab", "É«ñ ünï 中文 字", "x" * 3000, "1234 5,6.7", "don't we'll", "<|endoftext|> <s>", "\u00a0nbsp\u2003em", "A\r\nB", "Ab, cd. Ef.", "▁under", "Straße ŉ İ", "\0nul", "end ", " start", "a \n b"]
@@ -107,54 +105,3 @@ def test_token_files_of_no_rows(spark):
     path = new_folder(spark, "test-tokens")
     assert token_files.write_token_files(table(spark, []).limit(0), path, BYTE).count() == 0
     assert token_files.read_token_files(spark, path).count() == 0
-
-
-@pytest.mark.parametrize("frequent", [5, 1_000_000])
-def test_scores_have_the_unigram_base_of_a_plain_count(spark, frequent):
-    rows = [(1, "The cat\tsat on the mat"), (2, "the dog sat"), (3, None), (4, ""), (5, "a zebra é É"), (6, "the the the"), (6, "the the the"), (None, "cat")]
-    held = F.col("doc_id").isin(5, 6)
-    got = lm_score.score_texts(table(spark, rows), held, tree_words=4, frequent_words=frequent).collect()
-    count = Counter(w for k, t in rows if k not in (5, 6) for w in lm_score.words_of(t))
-    total = sum(count.values())
-    assert len(got) == len(rows) and all(r.train_tokens == total and r.score < 0 for r in got)
-    want = sorted((-1 if k is None else k, len(ws := lm_score.words_of(t)), sum(count[w] > 0 for w in ws), round(sum(math.log10((count[w] + 1) / (total + len(count) + 1)) for w in ws), 6)) for k, t in rows)
-    assert sorted((-1 if r.doc_id is None else r.doc_id, r.n_tokens, r.n_known, round(r.base_score, 6)) for r in got) == want
-    twins = {r.score for r in got if r.doc_id == 6}
-    assert len(twins) == 1
-
-
-@pytest.mark.parametrize("n", [1, 9_999, 10_000, 1_000_000])
-def test_the_commonest_words_fill_the_bound_within_one_count(spark, n):
-    counts = spark.range(5000).select(F.xxhash64("id").alias("key"), F.when(F.col("id") < 50, n + 1 + F.col("id") % 3).otherwise(n).alias("n")).cache()
-    keys, got, chosen = lm_score.frequent(counts, 1000)
-    assert 990 <= len(set(keys)) == len(keys) <= 1000 and (got > n).sum() == 50
-    assert counts.where(~chosen).count() == 5000 - len(keys)
-    assert len(lm_score.frequent(counts, 20)[0]) in range(15, 21)
-    assert [len(lm_score.frequent(counts, m)[0]) for m in (5000, 9000)] == [5000, 5000]
-    assert len(lm_score.frequent(counts.limit(0), 10)[0]) == 0
-
-
-def test_scores_without_rows_and_without_training_rows(spark):
-    assert lm_score.score_texts(table(spark, []).limit(0), F.lit(False)).count() == 0
-    got = lm_score.score_texts(table(spark, [(1, "all held out")]), F.lit(True)).collect()
-    assert (got[0].train_tokens, got[0].n_known, got[0].n_tokens) == (0, 0, 4) and got[0].score < 0
-
-
-def test_model_beats_the_base_on_held_out_texts(spark):
-    """Over some millions of training words.  Over a third of a million (sf0.01) it
-    loses: the base charges one flat price for any unknown word, the model spells it."""
-    got = [r for r in queries.op1_lm_score(spark, "/root/testdata/sf0.1").select("held_out", "score", "base_score").collect() if r.held_out]
-    assert got and sum(r.score for r in got) > sum(r.base_score for r in got)
-
-
-def test_probabilities_of_all_continuations_sum_to_one():
-    """Summed over every symbol of its tree, a decision path has probability one."""
-    coder = lm_score.Coder(np.array([5, -9, 77]), np.array([9, 4, 1]), 2, np.ones(256, int))
-    tables = [np.random.default_rng(k).integers(-60, 60, 1 << b).astype(np.int8) for k, b in enumerate(lm_score.SLOT_BITS)]
-    total = 0.0
-    for symbol, h in [(*coder.symbols(np.array([h])), h) for h in (5, -9, 77)]:
-        batch = lm_score.Batch([[b"x"]], np.array([[h, 1, symbol]]), coder)
-        total += math.exp(lm_score.score_batch(batch, coder, tables, 1)[0])
-    escape = sum(math.exp(lm_score.score_batch(lm_score.Batch([[bytes([c])]], np.array([[1234, 1, coder.escape]]), coder), coder, tables, 1)[0]) for c in range(256) if c != 32)
-    # What is missing is longer words: they begin with the same escape.
-    assert 0 < total < 1 and total + escape < 1 + 1e-6
