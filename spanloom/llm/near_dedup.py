@@ -7,12 +7,15 @@ a threshold under 85 per cent) put sets of the threshold's similarity into a
 common bucket but for about one pair in two million.
 In a bucket of more than a few sets, each is compared with one pivot.  Those like it
 are one group.  Those unlike it find partners in that group by their differences from
-the pivot (see ``around_pivots``) and go on as a bucket with a pivot of their own, so
-that no group is paired out and no component is torn.
+the pivot (see ``around_pivots``) and go on as a bucket with a pivot of their own.
+After a few rounds all that are left are held against each other by their differences,
+but not members of one component, so that no group is paired out and none is torn.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
@@ -24,8 +27,8 @@ from spanloom.session import stored
 
 PERMUTATIONS = 64
 SMALL = 6
-#: Rounds of pivots go on while each leaves at most this share of the members.
-ROUNDS, PROGRESS = 24, 31 / 32
+#: Rounds of pivots; the last one holds all that are left against each other.
+ROUNDS = 3
 BROADCAST_ROWS = 1_000_000
 _DRAW = np.random.default_rng(7)
 MULTIPLY = _DRAW.integers(1, 1 << 63, PERMUTATIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -111,9 +114,10 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return compared(sized, sets, percent).where("linked").select("a", "b")
 
 
-def around_pivots(star: DataFrame, percent: int, among_apart: bool = False) -> DataFrame:
+def around_pivots(star: DataFrame, percent: int, of: DataFrame | None = None) -> DataFrame:
     """Pairs of members of one pivot that may be alike, one of them like the pivot
-    and one not; with ``among_apart`` also pairs of two that are not.
+    and one not; given ``of`` (node, component of what is linked so far) also pairs
+    of two that are not, of different components.
 
     star: a (member), b (pivot), na, nb, linked and d, the symmetric difference of
     their sets.  Members x and y are alike where |x diff y| <= q (|x| + |y|), and
@@ -125,18 +129,31 @@ def around_pivots(star: DataFrame, percent: int, among_apart: bool = False) -> D
     themselves is rare, so hardly any other pair is found.
     """
     q = (100 - percent) / (100 + percent)
-    apart = star.groupBy("b").agg(F.bool_and("linked").alias("all"), F.bool_or("linked").alias("some")).where("not all" if among_apart else "some and not all").select("b")
+    apart = star.groupBy("b").agg(F.bool_and("linked").alias("all"), F.bool_or("linked").alias("some")).where("some and not all" if of is None else "not all").select("b")
     long = star.join(apart, "b", "left_semi").select("a", "b", "na", "nb", "linked", F.size("d").alias("nd"), F.explode("d").alias("w"))
     often = long.groupBy("b", "w").agg(F.count("*").alias("f"))
     place = F.row_number().over(Window.partitionBy("b", "a").orderBy("f", "w"))
     placed = stored(long.join(often, ["b", "w"]).withColumn("k", place).where("f > 1"), "differences")
     least = F.floor((F.col("nd") - q * F.greatest(F.col("na") - F.col("nb"), F.lit(0))) / 2 - 1e-9) + 1
-    x = (placed if among_apart else placed.where("linked")).where(F.col("k") <= F.col("nd") - least + 1).select("b", "w", F.col("a").alias("x"), F.col("na").alias("nx"), F.col("nd").alias("dx"), F.col("k").alias("kx"))
-    y = placed.where("not linked").select("b", "w", F.col("a").alias("y"), F.col("na").alias("ny"), F.col("nd").alias("dy"), F.col("k").alias("ky"))
+    placed = placed.withColumn("first", F.col("k") <= F.col("nd") - least + 1)
+    if of is None:
+        sides = [("linked", "not linked")]
+        placed = placed.withColumns({"component": F.col("a"), "rest": F.lit(True)})
+    else:
+        # Of an element's holders the largest component is not paired with itself.
+        placed = placed.join(of.withColumnRenamed("node", "a"), "a", "left").withColumn("component", F.coalesce("component", "a"))
+        largest = placed.groupBy("b", "w", "component").agg(F.count("*").alias("n")).groupBy("b", "w").agg(F.max(F.struct("n", "component")).alias("most"))
+        placed = placed.join(largest, ["b", "w"]).withColumn("rest", F.col("component") != F.col("most.component"))
+        sides = [("rest", "not linked"), ("not rest", "not linked and rest")]
     s = F.ceil((F.col("dx") + F.col("dy") - q * (F.col("nx") + F.col("ny"))) / 2 - 1e-9)
-    fits = (F.col("kx") <= F.col("dx") - s + 1) & (F.col("ky") <= F.col("dy") - s + 1) & (F.least("nx", "ny") * 100 >= F.greatest("nx", "ny") * percent)
-    met = x.join(y, (x["b"] == y["b"]) & (x["w"] == y["w"]) & (F.col("x") != F.col("y")) & fits)
-    return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    fits = (F.col("kx") <= F.col("dx") - s + 1) & (F.col("ky") <= F.col("dy") - s + 1) & (F.least("nx", "ny") * 100 >= F.greatest("nx", "ny") * percent) & (F.col("cx") != F.col("cy"))
+    out = None
+    for one, two in sides:
+        x = placed.where("first").where(one).select("b", "w", F.col("a").alias("x"), F.col("na").alias("nx"), F.col("nd").alias("dx"), F.col("k").alias("kx"), F.col("component").alias("cx"))
+        y = placed.where(two).select("b", "w", F.col("a").alias("y"), F.col("na").alias("ny"), F.col("nd").alias("dy"), F.col("k").alias("ky"), F.col("component").alias("cy"))
+        met = x.join(y, ["b", "w"]).where(fits).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+        out = met if out is None else out.unionByName(met)
+    return out.distinct()
 
 
 def grouped(docs: DataFrame, size: int, percent: int, doc_id: str, text: str) -> DataFrame:
@@ -153,29 +170,28 @@ def grouped(docs: DataFrame, size: int, percent: int, doc_id: str, text: str) ->
     met = found.groupBy("node").agg(F.sum("members").alias("met"))
     sets = full_sets(rows, keyed.join(met.select("node"), "node", "left_semi").select("r.doc_id", "r.tie"), size)
     difference = F.concat(F.array_except("sa", "sb"), F.array_except("sb", "sa"))
-    few, left, many = found.where(F.col("members") <= SMALL).select("key", "node"), found.where(F.col("members") > SMALL).join(met, "node").select("key", "node", "met"), None
-    near = None
-    for turn in range(ROUNDS + 1):
+    few, left = found.where(F.col("members") <= SMALL).select("key", "node"), found.where(F.col("members") > SMALL).join(met, "node").select("key", "node", "met")
+    near: list[DataFrame] = []
+    joined = lambda: reduce(DataFrame.unionByName, near)
+    for turn in range(1, ROUNDS + 1):
         # Small buckets: their few pairs.
         direct = few.select("key", F.col("node").alias("a")).join(few.select("key", F.col("node").alias("b")), "key").where("a < b").select("a", "b").distinct()
-        links = confirmed(direct, sets, percent)
-        near = links if near is None else near.unionByName(links)
+        near.append(stored(confirmed(direct, sets, percent), "links"))
         left = stored(left, "left")
-        before, many = many, left.count()
-        if not many:
+        if left.isEmpty():
             break
         # Others: each member with the pivot, the member that meets most others in its buckets, and around it.
         pivots = left.groupBy("key").agg(F.max(F.struct("met", "node")).alias("p")).select("key", F.col("p.node").alias("b"))
         members = left.withColumnRenamed("node", "a").join(pivots, "key").where("a <> b")
         star = stored(compared(members.select("a", "b").distinct(), sets, percent).select("a", "b", "na", "nb", "linked", difference.alias("d")), "stars")
-        last = turn == ROUNDS or before is not None and many > PROGRESS * before
-        near = near.unionByName(star.where("linked").select("a", "b")).unionByName(confirmed(around_pivots(star, percent, last), sets, percent))
-        if last:
-            break
-        apart = members.join(star.where("not linked").select("a", "b"), ["a", "b"]).select("key", F.col("a").alias("node"), "met")
-        apart = apart.join(apart.groupBy("key").agg(F.count("*").alias("members")), "key")
-        few, left = apart.where((F.col("members") > 1) & (F.col("members") <= SMALL)).select("key", "node"), apart.where(F.col("members") > SMALL).select("key", "node", "met")
-    edges = stored(near.distinct(), "links")
+        near.append(star.where("linked").select("a", "b"))
+        pairs = around_pivots(star, percent, components(joined()) if turn == ROUNDS else None)
+        near.append(stored(confirmed(pairs, sets, percent), "links"))
+        if turn < ROUNDS:
+            apart = members.join(star.where("not linked").select("a", "b"), ["a", "b"]).select("key", F.col("a").alias("node"), "met")
+            apart = stored(apart.join(apart.groupBy("key").agg(F.count("*").alias("members")).where("members > 1"), "key"), "apart")
+            few, left = apart.where(F.col("members") <= SMALL).select("key", "node"), apart.where(F.col("members") > SMALL).select("key", "node", "met")
+    edges = stored(joined().distinct(), "links")
     of = components(edges)
     linked = keyed.select("node", "r").join(of, "node")
     leaders = stored(linked.join(linked.groupBy("component").agg(F.min("r").alias("leader")), "component").select("node", "leader"), "leaders")
