@@ -47,11 +47,6 @@ def dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, v: s + v)
 
 
-def supported_rate(stated: Column, measured: Column) -> Column:
-    """The stated rate unless it is ten times off the measured one."""
-    return F.when(measured.isNull() | ((stated < 10 * measured) & (stated > measured / 10)), stated).otherwise(measured)
-
-
 def spread_places(n: Column, k: int) -> Column:
     """At most k places evenly spread over 0..n-1, both ends included."""
     return F.when(n <= k, F.sequence(F.lit(0), n - 1)).otherwise(F.array_distinct(F.transform(F.sequence(F.lit(0), F.lit(k - 1)), lambda i: F.floor(i * (n - 1) / (k - 1)).cast("int"))))
@@ -60,4 +55,4 @@ def spread_places(n: Column, k: int) -> Column:
 def window_starts(length: Column, width: int, stride: int) -> Column:
     """Starts of sliding windows, the last flush with the end."""
     last = F.greatest(length - width, F.lit(0))
-    return F.array_sort(F.array_union(F.sequence(F.lit(0), last, F.lit(stride)), F.array(last)))
+    return F.array_sort(F.array_union(F.sequence(F.lit(0).cast("long"), last.cast("long"), F.lit(stride).cast("long")), F.array(last.cast("long"))))

@@ -124,3 +124,20 @@ def private_host(host: Column) -> Column:
 
 def prompt_key(s: Column) -> Column:
     return F.sha2(norm(s), 256)
+
+
+#: Words after which the rest of a clause is denied, supposed or doubted.
+DENIALS = ["cannot", "if", "neither", "never", "no", "none", "nor", "not", "unless", "whether", "without"]
+CLAUSE_ENDS = r"[.!?;:,\n]+| but | although | though | whereas "
+
+
+def said(s: Column) -> Column:
+    """The clauses of a text in plain form, a blank at both ends, each without what
+    stands from its first word of denial on."""
+    clause = lambda c: F.regexp_replace(F.concat(F.lit(" "), plain(c), F.lit(" ")), f" ({'|'.join(DENIALS)}) .*$", " ")
+    return F.transform(F.split(F.lower(s), CLAUSE_ENDS), clause)
+
+
+def asserted(s: Column, pattern: str) -> Column:
+    """Whether a clause says ``pattern`` (of plain text) where it isn't denied."""
+    return F.exists(said(s), lambda c: c.rlike(pattern))

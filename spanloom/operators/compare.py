@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 
@@ -30,9 +32,19 @@ def micro_jaccard(df: DataFrame, item: str, left: str, right: str) -> DataFrame:
     return df.agg(F.count(item).alias("items"), F.sum(i).alias("shared"), F.sum(u).alias("all"), (F.sum(i) / F.sum(u)).alias("jaccard"))
 
 
-def draw(seed: int, number: Column, place: Column, n: Column) -> Column:
-    """This engine's own draw: a place in 0..n-1 from a hash of (seed, draw, place)."""
-    return F.pmod(F.xxhash64(F.lit(seed), number, place), n)
+def uniform(*parts: Column) -> Column:
+    """A number from 0 to 1 (exclusive) of the parts' values: the first 32 bits of an MD5."""
+    return F.conv(F.substring(F.md5(F.concat_ws("-", *(p.cast("string") for p in parts))), 1, 8), 16, 10).cast("double") / float(1 << 32)
+
+
+def poisson_cuts() -> list[float]:
+    """P(count <= k) of a Poisson(1) count for k from 0 to 7; more is a chance of 1e-5."""
+    out, total, term = [], 0.0, math.exp(-1)
+    for k in range(8):
+        total += term
+        out.append(total)
+        term /= k + 1
+    return out
 
 
 def paired_bootstrap(pairs: DataFrame, item: str, before: str, after: str, draws: int = 1000, seed: int = 1, level: float = 0.95) -> DataFrame:
@@ -45,13 +57,8 @@ def paired_bootstrap(pairs: DataFrame, item: str, before: str, after: str, draws
     """
     rows = pairs.where(F.col(before).isNotNull() & F.col(after).isNotNull()).withColumn("_d", F.col(after) - F.col(before))
     some = rows.withColumn("draw", F.explode(F.sequence(F.lit(0), F.lit(draws - 1))))
-    u = F.pmod(F.xxhash64(F.lit(seed), "draw", item), F.lit(1 << 30)) / float(1 << 30)
-    cuts, total, term = [], 0.0, 2.718281828459045**-1
-    for k in range(8):  # P(count > 7) is 1e-5; the last step takes it
-        total += term
-        cuts.append(total)
-        term /= k + 1
-    weight = sum(((u >= c).cast("int") for c in cuts), F.lit(0))
+    u = uniform(F.lit(seed), F.col("draw"), F.col(item))
+    weight = sum(((u >= c).cast("int") for c in poisson_cuts()), F.lit(0))
     sums = some.withColumn("_w", weight).groupBy("draw").agg(F.sum("_w").alias("w"), F.sum(F.col("_w") * F.col("_d")).alias("s")).where("w > 0")
     means = sums.agg(F.sort_array(F.collect_list(F.col("s") / F.col("w"))).alias("m"))
     side = (1 - level) / 2

@@ -35,6 +35,8 @@ def set_groups(df: DataFrame, item: str, tokens: str, threshold: float) -> DataF
     ``df`` comes back, alone where nothing is like it."""
     sets = df.select(F.col(item).alias("id"), F.array_sort(F.array_distinct(tokens)).alias("t"))
     own = sets.where(F.size("t") > 0).groupBy("t").agg(F.min("id").alias("g"))
+    if threshold >= 1:  # equal sets only
+        return sets.join(own, "t", "left").select(F.col("id").alias(item), F.coalesce("g", "id").alias("group"))
     of = components(set_pairs(df, item, tokens, threshold).select("a", "b"))
     named = sets.join(own, "t", "left").join(of, F.col("g") == F.col("node"), "left")
     return named.select(F.col("id").alias(item), F.coalesce("component", "g", "id").alias("group"))

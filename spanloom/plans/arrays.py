@@ -71,14 +71,42 @@ def clock_text(spark, sf_dir):
     return table(spark, sf_dir, "orders").select("o_orderkey", tx.clock(p).alias("clock"), tx.tenths(p / 1000).alias("tenths"))
 
 
-@query("""SELECT n_nationkey, TRY_CAST(CASE WHEN regexp_matches(x, '^[0-9]+(\\.[0-9]*)?s?$') THEN rtrim(x, 's') END AS DOUBLE) AS v FROM (SELECT n_nationkey, CASE n_nationkey % 4 WHEN 0 THEN n_nationkey || '.5s' WHEN 1 THEN CAST(n_nationkey AS VARCHAR) WHEN 2 THEN 'n/a' END AS x FROM nation)""")
+@query("""SELECT o_orderkey, TRY_CAST(CASE WHEN regexp_matches(x, '^[0-9]+(\\.[0-9]*)?s?$') THEN rtrim(x, 's') END AS DOUBLE) AS v FROM (SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN o_orderkey || '.5s' WHEN 1 THEN CAST(o_orderkey AS VARCHAR) WHEN 2 THEN o_orderpriority END AS x FROM orders)""")
 def parse_numbers(spark, sf_dir):
-    n = F.col("n_nationkey")
-    x = F.when(n % 4 == 0, F.concat(n.cast("string"), F.lit(".5s"))).when(n % 4 == 1, n.cast("string")).when(n % 4 == 2, "n/a")
-    return table(spark, sf_dir, "nation").select("n_nationkey", tx.number(x).alias("v"))
+    n = F.col("o_orderkey")
+    x = F.when(n % 4 == 0, F.concat(n.cast("string"), F.lit(".5s"))).when(n % 4 == 1, n.cast("string")).when(n % 4 == 2, F.col("o_orderpriority"))
+    return table(spark, sf_dir, "orders").select("o_orderkey", tx.number(x).alias("v"))
 
 
-@query("""SELECT n_nationkey, array_to_string(list_sort(list_distinct(list_transform(range(0, 5), lambda i: CAST(floor(i * (n_nationkey + 9) / 4.0) AS INTEGER)))), ',') AS places FROM nation""")
+@query("""SELECT o_orderkey, array_to_string(list_sort(list_distinct(list_transform(range(0, 5), lambda i: CAST(floor(i * (o_orderkey + 9) / 4.0) AS INTEGER)))), ',') AS places FROM orders""")
 def spread_places(spark, sf_dir):
     """Five places evenly spread over n + 10 rows."""
-    return table(spark, sf_dir, "nation").select("n_nationkey", F.array_join(nm.spread_places(F.col("n_nationkey") + 10, 5), ",").alias("places"))
+    return table(spark, sf_dir, "orders").select("o_orderkey", F.array_join(nm.spread_places((F.col("o_orderkey") + 10).cast("int"), 5), ",").alias("places"))
+
+
+ANGLES = "WITH e AS (SELECT vec_id, " + ", ".join(f"CAST(embedding[{k + 1}] AS DOUBLE) AS a{k}" for k in range(6)) + " FROM embeddings)"
+
+
+def entries(r: str, p: str, y: str) -> list[str]:
+    cr, sr, cp, sp, cy, sy = (f"{f}({v})" for v in (r, p, y) for f in ("cos", "sin"))
+    return [f"{cy}*{cp}", f"({cy}*{sp}*{sr}-{sy}*{cr})", f"({cy}*{sp}*{cr}+{sy}*{sr})", f"{sy}*{cp}", f"({sy}*{sp}*{sr}+{cy}*{cr})", f"({sy}*{sp}*{cr}-{cy}*{sr})", f"(-{sp})", f"{cp}*{sr}", f"{cp}*{cr}"]
+
+
+@query(ANGLES + " SELECT vec_id, round(degrees(acos(greatest(-1.0, least(1.0, (" + " + ".join(f"{x}*{y}" for x, y in zip(entries("a0", "a1", "a2"), entries("a3", "a4", "a5"))) + " - 1) / 2)))), 5) AS turn FROM e")
+def turn_between(spark, sf_dir):
+    """The angle between two rotations given by roll, pitch and yaw."""
+    a = [F.col("embedding")[k].cast("double") for k in range(6)]
+    return table(spark, sf_dir, "embeddings").select("vec_id", F.round(nm.turn_degrees(nm.rotation(*a[:3]), nm.rotation(*a[3:])), 5).alias("turn"))
+
+
+@query(LONG + """, b AS (SELECT i, min(x) AS lo, max(x) AS hi FROM l GROUP BY 1), q AS (SELECT vec_id, x, lo + CAST(round_even((x - lo) / ((hi - lo) / 254), 0) AS BIGINT) * (hi - lo) / 254 AS r FROM l JOIN b USING (i))
+SELECT vec_id, round(sqrt(sum((x - r) * (x - r))), 6) AS lost, round(sum(x * r), 6) AS product FROM q GROUP BY 1""")
+def quantised_loss(spark, sf_dir):
+    """What 8-bit codes of each component lose: distance and product of vectors and their restored forms."""
+    d = long_form(spark, sf_dir)
+    b = d.groupBy("i").agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
+    code = nm.quantised(F.col("x"), F.col("lo"), F.col("hi"), 8)
+    q = d.join(b, "i").withColumn("r", nm.restored(code, F.col("lo"), F.col("hi"), 8))
+    v = q.groupBy("vec_id").agg(F.sort_array(F.collect_list(F.struct("i", "x", "r"))).alias("p"))
+    x, r = F.transform("p", lambda e: e["x"]), F.transform("p", lambda e: e["r"])
+    return v.select("vec_id", F.round(nm.distance(x, r), 6).alias("lost"), F.round(nm.dot(x, r), 6).alias("product"))

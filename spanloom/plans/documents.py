@@ -28,10 +28,10 @@ def exact_dedup(spark, sf_dir):
     return docs(spark, sf_dir).groupBy(F.md5("text").alias("k")).agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies")).drop("k")
 
 
-@query(f"""SELECT doc_id, array_to_string(list_sort(list_filter(list_distinct(string_split({PLAIN.format("text")}, ' ')), lambda w: w <> '' AND NOT list_contains({STOPS}, w)))[1:12], ' ') AS words FROM documents""")
+@query(f"""SELECT doc_id, array_to_string(list_sort(list_filter(list_distinct(string_split({PLAIN.format("text")}, ' ')), lambda w: w <> '' AND NOT list_contains({STOPS}, w))), ' ') AS words FROM documents""")
 def content_words(spark, sf_dir):
-    """The first dozen content words of each document in order."""
-    return docs(spark, sf_dir).select("doc_id", F.array_join(F.slice(tx.content_words(F.col("text")), 1, 12), " ").alias("words"))
+    """The content words of each document in order."""
+    return docs(spark, sf_dir).select("doc_id", F.array_join(tx.content_words(F.col("text")), " ").alias("words"))
 
 
 TURN_SETS = "WITH s AS (SELECT conv_id * 100 + turn AS id, list_sort(list_filter(list_distinct(string_split(trim(regexp_replace(lower(text), '[^a-z0-9]+', ' ', 'g')), ' ')), lambda w: w <> '')) AS t FROM conversations)"
@@ -124,3 +124,36 @@ SELECT conv_id, turn, count(*) AS words, count(*) FILTER (regexp_matches(w, '^[A
 def turn_words(spark, sf_dir):
     d = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.explode(F.split("text", " ")).alias("w"))
     return d.groupBy("conv_id", "turn").agg(F.count("*").alias("words"), F.count_if(F.col("w").rlike("^[A-Z]")).alias("capitals"), F.round(F.avg(F.length("w")), 6).alias("mean_length"))
+
+
+@query("""WITH n AS (SELECT p_partkey, p_name, p_type, list_filter(string_split(trim(regexp_replace(lower(p_name || ' boxes of ' || p_type || 's'), '[^a-z0-9]+', ' ', 'g')), ' '), lambda w: w <> '') AS w FROM part)
+SELECT p_partkey, array_to_string(list_sort(list_transform(w, lambda x: CASE WHEN length(x) <= 3 THEN x WHEN regexp_matches(x, 'ies$') THEN regexp_replace(x, 'ies$', 'y') WHEN regexp_matches(x, '(ss|us|is)$') THEN x WHEN regexp_matches(x, '(ches|shes|xes|sses|zes)$') THEN regexp_replace(x, 'es$', '') WHEN regexp_matches(x, 's$') THEN regexp_replace(x, 's$', '') ELSE x END)), ' ') AS bag,
+  CASE len(w) WHEN 1 THEN w[1] ELSE array_to_string(w[1:len(w) - 1], ', ') || ' and ' || w[len(w)] END AS listed,
+  sha256(trim(regexp_replace(lower(p_name), '\\s+', ' ', 'g'))) AS key, sha256(length(p_name) || ':' || p_name || length(p_type) || ':' || p_type) AS print,
+  CASE WHEN p_type IN ('SMALL', 'LARGE') THEN p_type ELSE 'unclear' END AS known, list_has_any(w, ['red', 'hot']) AS warm FROM n""")
+def name_keys(spark, sf_dir):
+    """Word bags, lists, keys and fingerprints of part names."""
+    name = F.concat("p_name", F.lit(" boxes of "), "p_type", F.lit("s"))
+    return table(spark, sf_dir, "part").select(
+        "p_partkey", tx.word_bag(name).alias("bag"), tx.and_list(tx.word_list(name)).alias("listed"), tx.prompt_key(F.col("p_name")).alias("key"),
+        tx.fingerprint(F.col("p_name"), F.col("p_type")).alias("print"), tx.one_of(F.col("p_type"), ["SMALL", "LARGE"]).alias("known"), tx.has_word(F.col("p_name"), ["red", "hot"]).alias("warm"),
+    )
+
+
+@query("""SELECT c_custkey, CAST(regexp_extract(c_name, '([0-9]+)$', 1) AS BIGINT) AS number, coalesce(nullif(trim(CASE WHEN c_custkey % 3 = 0 THEN '  ' ELSE c_mktsegment END), ''), c_name) AS shown,
+  regexp_matches(c_name || md5(c_name), '[A-Za-z0-9]{20,}') AS keyed FROM customer""")
+def name_parts(spark, sf_dir):
+    blank = F.when(F.col("c_custkey") % 3 == 0, "  ").otherwise(F.col("c_mktsegment"))
+    keyed = tx.key_material(F.concat("c_name", F.md5("c_name")))
+    return table(spark, sf_dir, "customer").select("c_custkey", tx.trailing_number(F.col("c_name")).alias("number"), tx.first_text(blank, F.col("c_name")).alias("shown"), keyed.alias("keyed"))
+
+
+@query("""WITH n AS (SELECT DISTINCT p_name, list_distinct(string_split(p_name, ' ')) AS w FROM part), t AS (SELECT DISTINCT p_type, list_distinct(string_split(lower(p_type), ' ')) AS w FROM part),
+a AS (SELECT p_name AS name, w FROM n UNION ALL SELECT 'x ' || p_name, list_distinct(list_append(w, 'x')) FROM n)
+SELECT a.name AS a, b.name AS b, len(a.w) = len(b.w) OR len(list_intersect(a.w, b.w)) < least(len(a.w), len(b.w)) AS allowed FROM a JOIN n ON a.name = n.p_name JOIN a b ON b.name = 'x ' || a.name""")
+def merges_allowed(spark, sf_dir):
+    """A name and the same with a word more: one set of words holds the other, so no merge."""
+    n = table(spark, sf_dir, "part").select("p_name").distinct()
+    d = n.select(F.col("p_name").alias("a"), F.concat(F.lit("x "), "p_name").alias("b"))
+    d = d.withColumns({"wa": F.array_distinct(F.split("a", " ")), "wb": F.array_distinct(F.split("b", " "))})
+    return d.select("a", "b", similarity.merge_allowed("wa", "wb").alias("allowed"))

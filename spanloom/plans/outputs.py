@@ -41,14 +41,14 @@ def row_group_per_key(spark, sf_dir):
     return made.select("key", "n_rows")
 
 
-@query("SELECT n_regionkey, count(*) AS n FROM nation GROUP BY 1")
+@query("SELECT o_orderpriority, count(*) AS n FROM orders GROUP BY 1")
 def publish_swap(spark, sf_dir):
     """A table published twice; readers see the second whole."""
     path = new_folder(spark, "published")
-    d = table(spark, sf_dir, "nation")
-    files.publish(d.where("n_nationkey < 3"), path)
+    d = table(spark, sf_dir, "orders")
+    files.publish(d.where("o_orderkey % 3 = 0"), path)
     files.publish(d, path)
-    return spark.read.parquet(path).groupBy("n_regionkey").agg(F.count("*").alias("n"))
+    return files.published(spark, path).groupBy("o_orderpriority").agg(F.count("*").alias("n"))
 
 
 @query("SELECT o_orderkey FROM orders WHERE o_orderkey % 3 <> 0")
@@ -74,3 +74,32 @@ def stream_windows(spark, sf_dir):
 def stream_without_repeats(spark, sf_dir):
     out = streams.run_to_end(streams.without_repeats(stream_of(spark, sf_dir), "event_id", "at"))
     return out.agg(F.count("*").alias("n"), F.countDistinct("event_id").alias("ids"))
+
+
+@query("SELECT user_id, max(event_id) AS event_id, round(arg_max(value, event_id), 6) AS value FROM events GROUP BY 1")
+def stream_upsert(spark, sf_dir):
+    """Two streams folded into one table one after the other; the newest event of a user stays."""
+    path = new_folder(spark, "upserted")
+    for k in (1, 0):
+        streams.upsert(stream_of(spark, sf_dir).select("user_id", "event_id", "value").where(F.col("event_id") % 2 == k), path, "user_id", "event_id", f"half-{k}")
+    return files.published(spark, path).withColumn("value", F.round("value", 6))
+
+
+@query("SELECT user_id, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1")
+def stream_running_totals(spark, sf_dir):
+    out = streams.run_to_end(streams.running_totals(stream_of(spark, sf_dir)), "update")
+    return out.groupBy("user_id").agg(F.max("n").alias("n"), F.round(F.max_by("total", "n"), 4).alias("total"))
+
+
+@query("""SELECT o_orderpriority, count(*) AS n, count(o_custkey) AS customers FROM orders GROUP BY 1""")
+def tables_of_two_makes(spark, sf_dir):
+    """Files of like tables read by name, one without a column; listed, and the later reply preferred."""
+    path = new_folder(spark, "makes")
+    o = table(spark, sf_dir, "orders")
+    o.select("o_orderkey", "o_orderpriority", F.lit(1).alias("reply")).write.parquet(f"{path}/a")
+    o.select("o_custkey", "o_orderkey", "o_orderpriority", F.lit(2).alias("reply")).write.parquet(f"{path}/b")
+    d = files.read_tables(spark, [f"{path}/a", f"{path}/b"])
+    d = files.authoritative(d, ["o_orderkey"], [F.desc("reply")])
+    if files.listing(spark, path, "*.parquet").where("bytes > 0").isEmpty():
+        raise ValueError("nothing was written")
+    return d.groupBy("o_orderpriority").agg(F.count("*").alias("n"), F.count("o_custkey").alias("customers"))

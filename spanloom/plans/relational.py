@@ -34,13 +34,13 @@ def join_left(spark, sf_dir):
     return d.select("c_custkey", F.coalesce("n", F.lit(0)).alias("n"), F.round(F.coalesce("total", F.lit(0.0)), 2).alias("total"))
 
 
-@query("""WITH a AS (SELECT c_nationkey AS k, count(*) AS customers FROM customer WHERE c_nationkey < 15 GROUP BY 1), b AS (SELECT s_nationkey AS k, count(*) AS suppliers FROM supplier WHERE s_nationkey > 8 GROUP BY 1)
-SELECT coalesce(a.k, b.k) AS nationkey, customers, suppliers FROM a FULL JOIN b ON a.k = b.k""")
+@query("""WITH a AS (SELECT o_custkey AS k, count(*) AS orders FROM orders GROUP BY 1), b AS (SELECT l_partkey AS k, count(*) AS lines FROM lineitem GROUP BY 1)
+SELECT coalesce(a.k, b.k) AS key, orders, lines FROM a FULL JOIN b ON a.k = b.k""")
 def join_full(spark, sf_dir):
-    c, s = t(spark, sf_dir, "customer", "supplier")
-    a = c.where("c_nationkey < 15").groupBy(F.col("c_nationkey").alias("nationkey")).agg(F.count("*").alias("customers"))
-    b = s.where("s_nationkey > 8").groupBy(F.col("s_nationkey").alias("nationkey")).agg(F.count("*").alias("suppliers"))
-    return a.join(b, "nationkey", "full")
+    """Customers' orders beside the lines of the parts with their numbers; either may lack."""
+    o, l = t(spark, sf_dir, "orders", "lineitem")
+    a = o.groupBy(F.col("o_custkey").alias("key")).agg(F.count("*").alias("orders"))
+    return a.join(l.groupBy(F.col("l_partkey").alias("key")).agg(F.count("*").alias("lines")), "key", "full")
 
 
 @query("SELECT c_custkey, c_name FROM customer WHERE EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderpriority = '1-URGENT')")

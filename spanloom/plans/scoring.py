@@ -73,11 +73,16 @@ def micro_jaccard(spark, sf_dir):
     return compare.micro_jaccard(d, "user_id", "a", "b").withColumn("jaccard", F.round("jaccard", 9))
 
 
-@query()
+@query(RUNS + """, p AS (SELECT user_id, max(m) FILTER (event_type = 'view') AS a, max(m) FILTER (event_type = 'purchase') AS b FROM r GROUP BY 1), d AS (SELECT user_id, b - a AS d FROM p WHERE a IS NOT NULL AND b IS NOT NULL),
+x AS (SELECT user_id, d, k, CAST('0x' || substr(md5('1-' || k || '-' || user_id), 1, 8) AS BIGINT) / 4294967296.0 AS u FROM d, range(0, 500) t(k)),
+w AS (SELECT k, sum(w) AS w, sum(w * d) AS s FROM (SELECT *, """ + " + ".join(f"CAST(u >= CAST({c!r} AS DOUBLE) AS INTEGER)" for c in compare.poisson_cuts()) + """ AS w FROM x) GROUP BY 1 HAVING sum(w) > 0), m AS (SELECT list_sort(list(s / w)) AS m FROM w),
+b AS (SELECT m[greatest(1, least(len(m), CAST(floor(len(m) * 0.025) AS INTEGER) + 1))] AS low, m[greatest(1, least(len(m), CAST(floor(len(m) * 0.975) AS INTEGER) + 1))] AS high FROM m), t AS (SELECT avg(d) AS difference, count(*) AS items FROM d)
+SELECT round(difference, 6) AS difference, items, round(low, 6) AS low, round(high, 6) AS high, CASE WHEN low > 0 THEN 'gain' WHEN high < 0 THEN 'drop' ELSE 'same' END AS verdict FROM t, b""")
 def paired_bootstrap(spark, sf_dir):
-    """Views against purchases of the same users (draws are hashes of this engine's own)."""
+    """Views against purchases of the same users."""
     d = by_run(spark, sf_dir).groupBy("user_id").pivot("event_type", ["view", "purchase"]).agg(F.first("m"))
-    return compare.paired_bootstrap(d, "user_id", "view", "purchase", draws=500)
+    out = compare.paired_bootstrap(d, "user_id", "view", "purchase", draws=500)
+    return out.select(F.round("difference", 6).alias("difference"), "items", F.round("low", 6).alias("low"), F.round("high", 6).alias("high"), "verdict")
 
 
 @query("""WITH i AS (SELECT l_orderkey, l_linenumber, l_shipdate, CASE WHEN l_quantity > 40 THEN 'high' WHEN l_quantity > 20 THEN 'medium' WHEN l_quantity > 5 THEN 'low' END AS s, l_returnflag, l_linestatus, l_discount FROM lineitem)

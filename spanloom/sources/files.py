@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 import pyarrow as pa
 import pyarrow.parquet as pq
 from pyarrow import fs
@@ -93,22 +95,32 @@ def write_grouped(df: DataFrame, path: str, key: str, order: list[str]) -> DataF
     return ordered.mapInArrow(write, "file string, key string, n_rows long")
 
 
+def generation(path: str) -> tuple[int, str] | None:
+    """The number and folder of a published table's newest generation."""
+    store, at = fs.FileSystem.from_uri(path) if ":" in path else (fs.LocalFileSystem(), path)
+    found = store.get_file_info(fs.FileSelector(at, allow_not_found=True))
+    names = sorted(f.base_name for f in found if f.base_name.startswith("pointer-"))
+    if not names:
+        return None
+    with store.open_input_file(f"{at}/{names[-1]}") as f:
+        return int(names[-1].split("-")[1]), f"{path}/{f.read().decode()}"
+
+
 def publish(df: DataFrame, path: str) -> None:
-    """Write ``df`` beside ``path``, then swap the folders; on a failed swap the
-    old table is put back."""
-    spark = df.sparkSession
-    new, old = f"{path}.new", f"{path}.old"
-    df.write.mode("overwrite").parquet(new)
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    store = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    to = jvm.org.apache.hadoop.fs.Path
-    store.delete(to(old), True)
-    had = store.exists(where)
-    if had and not store.rename(where, to(old)):
-        raise OSError(f"can't set {path} aside")
-    if not store.rename(to(new), where):
-        if had:
-            store.rename(to(old), where)
-        raise OSError(f"can't publish {path}")
-    store.delete(to(old), True)
+    """Write ``df`` as a new generation of the table at ``path`` and then one small file that
+    points to it.  Readers (``published``) see one generation whole, never none; of two
+    writers at once one wins, and neither harms the other's files."""
+    now = generation(path)
+    number, own = (now[0] + 1 if now else 0), uuid.uuid4().hex
+    name = f"generation-{number:08d}-{own}"
+    df.write.parquet(f"{path}/{name}")
+    store, at = fs.FileSystem.from_uri(path) if ":" in path else (fs.LocalFileSystem(), path)
+    with store.open_output_stream(f"{at}/.{own}") as f:
+        f.write(name.encode())
+    store.move(f"{at}/.{own}", f"{at}/pointer-{number:08d}-{own}")
+
+
+def published(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table at ``path`` as last published, None where nothing is."""
+    now = generation(path)
+    return spark.read.parquet(now[1]) if now else None

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from spanloom.session import new_folder
+from spanloom.sources import files
 
 
 def from_files(spark: SparkSession, path: str, schema: StructType, per_trigger: int = 1) -> DataFrame:
@@ -42,21 +43,18 @@ def run_to_end(stream: DataFrame, mode: str = "append") -> DataFrame:
     return spark.read.schema(stream.schema).parquet(out)
 
 
-def upsert(stream: DataFrame, path: str, key: str, version: str) -> None:
-    """Fold a stream into a Parquet table at ``path``, the highest version of a key
-    winning; each batch writes a new generation and then points to it."""
-    spark = stream.sparkSession
-    state = new_folder(spark, "upsert-state")
-    held = {"now": None}
+def upsert(stream: DataFrame, path: str, key: str, version: str, name: str = "stream") -> None:
+    """Fold a stream into the table published at ``path``, the highest version of a key winning.
+    Each batch publishes a new generation; the stream's own state lies beside them under
+    ``name``, so a later call goes on where this one ended, and a batch that is run twice
+    changes nothing."""
 
     def fold(df: DataFrame, number: int) -> None:
-        both = df if held["now"] is None else df.unionByName(spark.read.parquet(held["now"]))
-        latest = both.groupBy(key).agg(F.max_by(F.struct(*df.columns), version).alias("r")).select("r.*")
-        to = f"{path}/generation-{number:08d}"
-        latest.write.mode("overwrite").parquet(to)
-        held["now"] = to
+        now = files.published(df.sparkSession, path)
+        both = df if now is None else now.unionByName(df)
+        files.publish(both.groupBy(key).agg(F.max_by(F.struct(*df.columns), version).alias("r")).select("r.*"), path)
 
-    stream.writeStream.foreachBatch(fold).option("checkpointLocation", state).trigger(availableNow=True).start().awaitTermination()
+    stream.writeStream.foreachBatch(fold).option("checkpointLocation", f"{path}/_state-{name}").trigger(availableNow=True).start().awaitTermination()
 
 
 class Totals:
