@@ -1,45 +1,45 @@
-"""Python data sources for recording formats: one partition a file, damaged parts as rows.
+"""Readers of recording formats on any file system that Spark reads, damaged parts as rows.
 
-``register(spark)`` makes them known; then for instance
-``spark.read.format("mcap_messages").load(folder)``.  Each has a column
-``problem``: null for a good row, else what was wrong, and reading goes on.
+Spark lists the files and deals them to tasks; small parsers turn a file's bytes
+into rows, which Spark then filters, joins and shuffles.  Each reader has a column
+``problem``: null for a good row, else what was wrong, and reading goes on.  A file
+must fit in a task (and under 2 GB), as its bytes come in one row.
 """
 
 from __future__ import annotations
 
-import glob
-import os
+import io
 import sqlite3
 import struct
 import zipfile
+from contextlib import closing
 
-from pyspark.sql import SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 
 
-class File(InputPartition):
-    def __init__(self, path: str):
-        self.path = path
+def rows_of(spark: SparkSession, path: str, pattern: str, parser, schema: str) -> DataFrame:
+    """``parser(path, data)``'s rows of every file below ``path`` with a name like ``pattern``."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(path)
+    kinds = spark.createDataFrame([], schema).schema
+    names = kinds.names
+    arrow = pa.schema([(n, ARROW[kinds[n].dataType.simpleString()]) for n in names])
 
+    def read(batches):
+        for b in batches:
+            for name, data in zip(b.column(0).to_pylist(), b.column(1)):
+                held = []
+                for row in parser(name, data.as_py()):
+                    held.append(dict(zip(names, row)))
+                    if len(held) == 4096:
+                        yield pa.RecordBatch.from_pylist(held, arrow)
+                        held = []
+                yield pa.RecordBatch.from_pylist(held, arrow)
 
-class FileReader(DataSourceReader):
-    def __init__(self, pattern: str, rows):
-        self.pattern, self.rows = pattern, rows
+    return files.select("path", "content").mapInArrow(read, schema)
 
-    def partitions(self):
-        path = self.pattern.removeprefix("file://")
-        found = [path] if os.path.isfile(path) else sorted(glob.glob(f"{path}/**/*", recursive=True) if os.path.isdir(path) else glob.glob(path, recursive=True))
-        return [File(p) for p in found if os.path.isfile(p)]
 
-    def read(self, partition):
-        yield from self.rows(partition.path)
-
-
-class FileSource(DataSource):
-    rows = None
-
-    def reader(self, schema):
-        return FileReader(self.options["path"], type(self).rows)
+ARROW = {"string": pa.string(), "bigint": pa.int64(), "binary": pa.binary(), "array<double>": pa.list_(pa.float64())}
 
 
 def records(data: bytes):
@@ -63,7 +63,7 @@ MCAP_MAGIC = b"\x89MCAP0\r\n"
 CHANNEL, MESSAGE, CHUNK = 4, 5, 6
 
 
-def mcap_rows(path: str):
+def mcap_rows(path: str, data: bytes):
     channels: dict[int, tuple[str, str]] = {}
 
     def walk(data: bytes):
@@ -90,7 +90,6 @@ def mcap_rows(path: str):
                 yield from walk(body)
 
     try:
-        data = open(path, "rb").read()
         if not data.startswith(MCAP_MAGIC):
             raise ValueError("not an MCAP file")
         yield from walk(data[8:-8] if data.endswith(MCAP_MAGIC) else data[8:])
@@ -98,48 +97,33 @@ def mcap_rows(path: str):
         yield (path, None, None, None, None, None, None, f"{type(e).__name__}: {e}")
 
 
-class McapMessages(FileSource):
-    """Messages of MCAP logs: file, topic, encoding, sequence, log_ns, publish_ns, data, problem."""
-
-    rows = staticmethod(mcap_rows)
-
-    @classmethod
-    def name(cls):
-        return "mcap_messages"
+def mcap_messages(spark: SparkSession, path: str) -> DataFrame:
+    """Messages of MCAP logs; chunks are plain or packed with zstandard."""
+    return rows_of(spark, path, "*.mcap", mcap_rows, "file string, topic string, encoding string, sequence long, log_ns long, publish_ns long, data binary, problem string")
 
-    def schema(self):
-        return "file string, topic string, encoding string, sequence long, log_ns long, publish_ns long, data binary, problem string"
 
-
-def bag_rows(path: str):
+def bag_rows(path: str, data: bytes):
     try:
-        with sqlite3.connect(f"file:{path}?mode=ro", uri=True) as db:
+        with closing(sqlite3.connect(":memory:")) as db:
+            db.deserialize(data)
             topics = {i: (n, t) for i, n, t in db.execute("SELECT id, name, type FROM topics")}
-            for ident, topic, at, data in db.execute("SELECT id, topic_id, timestamp, data FROM messages ORDER BY id"):
+            for ident, topic, at, message in db.execute("SELECT id, topic_id, timestamp, data FROM messages ORDER BY id"):
                 name, kind = topics.get(topic, (None, None))
-                yield (path, ident, name, kind, at, data, None if name else f"no topic {topic}")
+                yield (path, ident, name, kind, at, message, None if name else f"no topic {topic}")
     except sqlite3.Error as e:
         yield (path, None, None, None, None, None, f"{type(e).__name__}: {e}")
 
 
-class BagMessages(FileSource):
-    """Messages of SQLite bags by id: file, id, topic, type, t_ns, data, problem."""
-
-    rows = staticmethod(bag_rows)
-
-    @classmethod
-    def name(cls):
-        return "bag_messages"
-
-    def schema(self):
-        return "file string, id long, topic string, type string, t_ns long, data binary, problem string"
+def bag_messages(spark: SparkSession, path: str) -> DataFrame:
+    """Messages of SQLite bags by id."""
+    return rows_of(spark, path, "*.db3", bag_rows, "file string, id long, topic string, type string, t_ns long, data binary, problem string")
 
 
-def array_rows(path: str):
+def array_rows(path: str, data: bytes):
     import numpy as np
 
     try:
-        held = np.load(path, allow_pickle=False)
+        held = np.load(io.BytesIO(data), allow_pickle=False)
         for key in [None] if path.endswith(".npy") else held.files:
             try:
                 a = held if key is None else held[key]
@@ -152,28 +136,19 @@ def array_rows(path: str):
         yield (path, None, None, None, f"{type(e).__name__}: {e}")
 
 
-class ArrayRows(FileSource):
-    """Rows of NPY and NPZ arrays, other axes flattened: file, name, row, values, problem."""
-
-    rows = staticmethod(array_rows)
-
-    @classmethod
-    def name(cls):
-        return "array_rows"
-
-    def schema(self):
-        return "file string, name string, row long, values array<double>, problem string"
+def array_values(spark: SparkSession, path: str) -> DataFrame:
+    """Rows of NPY and NPZ arrays, other axes flattened."""
+    return rows_of(spark, path, "*.np[yz]", array_rows, "file string, name string, row long, values array<double>, problem string")
 
 
 LOCAL = b"PK\x03\x04"
 
 
-def zip_rows(path: str):
+def zip_rows(path: str, data: bytes):
     """Members by the central directory, checked against the local headers; with
     no readable directory, members found by their local headers alone."""
-    data = open(path, "rb").read()
     try:
-        with zipfile.ZipFile(path) as z:
+        with zipfile.ZipFile(io.BytesIO(data)) as z:
             for m in z.infolist():
                 bad = None
                 if data[m.header_offset : m.header_offset + 4] != LOCAL:
@@ -191,19 +166,6 @@ def zip_rows(path: str):
             at = data.find(LOCAL, at + 30)
 
 
-class ZipMembers(FileSource):
-    """Members of ZIP archives: file, member, offset, packed, bytes, found_by, problem."""
-
-    rows = staticmethod(zip_rows)
-
-    @classmethod
-    def name(cls):
-        return "zip_members"
-
-    def schema(self):
-        return "file string, member string, offset long, packed long, bytes long, found_by string, problem string"
-
-
-def register(spark: SparkSession) -> None:
-    for source in (McapMessages, BagMessages, ArrayRows, ZipMembers):
-        spark.dataSource.register(source)
+def zip_members(spark: SparkSession, path: str) -> DataFrame:
+    """Members of ZIP archives."""
+    return rows_of(spark, path, "*.zip", zip_rows, "file string, member string, offset long, packed long, bytes long, found_by string, problem string")
