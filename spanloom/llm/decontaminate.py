@@ -94,7 +94,8 @@ def overlap(doc: np.ndarray, item: np.ndarray, shift: int, window: int) -> tuple
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = WINDOW, percent: int = PERCENT) -> DataFrame:
     """doc_id, item_id, start, words and equal_words: for each document row and
-    item at most one row, the best overlap that verifies.
+    item at most one row, the best overlap that verifies.  Items with equal texts
+    count as one, under the smallest of their ids.
 
     Words are lower-cased (A-Z) and stripped of punctuation at their ends.  An
     overlap verifies where, laid side by side without shifts, ``window`` words
@@ -105,7 +106,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
     repeat give repeated results.  start counts words from 0.
     """
     spark = docs.sparkSession
-    items = benchmark.select(F.col(item_id).cast("long").alias("item_id"), F.coalesce(F.col(item_text), F.lit("")).alias("text"))
+    # Items of one text are one class: repeats of an item would repeat every hit.
+    items = benchmark.select(F.col(item_id).cast("long").alias("item_id"), F.coalesce(F.col(item_text), F.lit("")).alias("text")).groupBy("text").agg(F.min("item_id").alias("item_id"))
     size = items.agg(F.coalesce(F.sum(F.size(F.split("text", "\\s+"))), F.lit(0))).first()[0]
     blocks = max(1, -(-size // BLOCK_TOKENS))
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
