@@ -54,7 +54,7 @@ def frequent_table(docs: DataFrame, path: str, text: str, entries: int, sample_d
     ``entries`` bounds its size; only speed depends on it."""
     total = docs.count()
     every = max(1, total // sample_docs)
-    some = docs.where(F.pmod(F.xxhash64(text), F.lit(every)) == 0).select(text).limit(2 * sample_docs)
+    some = docs.where(F.pmod(F.xxhash64(text), F.lit(every)) == 0).select(text)
 
     def counted(batches):
         found: Counter = Counter()
