@@ -110,10 +110,11 @@ def key_material(s: Column) -> Column:
 
 
 def mask_private(s: Column) -> Column:
-    """E-mail addresses, bearer tokens and long key material masked."""
-    out = F.regexp_replace(s, "[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\\.[A-Za-z]{2,}", "[email]")
-    out = F.regexp_replace(out, "(?i)bearer\\s+[A-Za-z0-9._-]+", "[token]")
-    return F.regexp_replace(out, "[A-Za-z0-9]{20,}", "[key]")
+    """E-mail addresses, bearer tokens and long key material masked.  Each pattern is
+    tried only where its rare sign is."""
+    out = F.when(F.contains(s, F.lit("@")), F.regexp_replace(s, "[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\\.[A-Za-z]{2,}", "[email]")).otherwise(s)
+    out = F.when(F.contains(F.lower(out), F.lit("bearer")), F.regexp_replace(out, "(?i)bearer\\s+[A-Za-z0-9._-]+", "[token]")).otherwise(out)
+    return F.regexp_replace(out, "[A-Za-z0-9]{20,}+", "[key]")
 
 
 def private_host(host: Column) -> Column:
