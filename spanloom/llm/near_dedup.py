@@ -8,7 +8,7 @@ common bucket but for about one pair in two million.
 In a bucket of more than a few sets, each is compared with one pivot.  Those like it
 are one group.  Those unlike it find partners in that group by their differences from
 the pivot (see ``around_pivots``) and go on as a bucket with a pivot of their own.
-After a few rounds all that are left are held against each other by their differences,
+In the last round all that are left are held against each other by their differences,
 but not members of one component, so that no group is paired out and none is torn.
 """
 
@@ -28,7 +28,7 @@ from spanloom.session import stored
 PERMUTATIONS = 64
 SMALL = 6
 #: Rounds of pivots; the last one holds all that are left against each other.
-ROUNDS = 3
+ROUNDS = 2
 BROADCAST_ROWS = 1_000_000
 _DRAW = np.random.default_rng(7)
 MULTIPLY = _DRAW.integers(1, 1 << 63, PERMUTATIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -116,26 +116,29 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def around_pivots(star: DataFrame, percent: int, of: DataFrame | None = None) -> DataFrame:
     """Pairs of members of one pivot that may be alike, one of them like the pivot
-    and one not; given ``of`` (node, component of what is linked so far) also pairs
-    of two that are not, of different components.
+    and one not; given ``of`` (node and component: equal ones are known to be linked)
+    also pairs of two that are not, of different components.
 
     star: a (member), b (pivot), na, nb, linked and d, the symmetric difference of
     their sets.  Members x and y are alike where |x diff y| <= q (|x| + |y|), and
     |x diff y| = |d(x)| + |d(y)| - 2 |d(x) & d(y)|, so their differences must share
     at least s = (|d(x)| + |d(y)| - q (|x| + |y|)) / 2 elements.  As y is not like
-    the pivot, s exceeds half of |d(x)| (less what x is longer than the pivot), so
-    one of the rarest |d(x)| - s + 1 elements of d(x) is among them, and prefixes
-    in order of rarity find every such pair.  What copies changed each for
-    themselves is rare, so hardly any other pair is found.
+    the pivot, s exceeds half of |d(x)| (less what x is longer than the pivot); as
+    |d(y)| >= |d(x)| - |x diff y|, it is at least |d(x)| - q (|x| + |y|), too.  So one
+    of the rarest |d(x)| - s + 1 elements of d(x) is among them, and prefixes in
+    order of rarity find every such pair.  What copies changed each for themselves
+    is rare, so hardly any other pair is found.
     """
     q = (100 - percent) / (100 + percent)
     apart = star.groupBy("b").agg(F.bool_and("linked").alias("all"), F.bool_or("linked").alias("some")).where("some and not all" if of is None else "not all").select("b")
     long = star.join(apart, "b", "left_semi").select("a", "b", "na", "nb", "linked", F.size("d").alias("nd"), F.explode("d").alias("w"))
     often = long.groupBy("b", "w").agg(F.count("*").alias("f"))
     place = F.row_number().over(Window.partitionBy("b", "a").orderBy("f", "w"))
-    placed = stored(long.join(often, ["b", "w"]).withColumn("k", place).where("f > 1"), "differences")
-    least = F.floor((F.col("nd") - q * F.greatest(F.col("na") - F.col("nb"), F.lit(0))) / 2 - 1e-9) + 1
-    placed = placed.withColumn("first", F.col("k") <= F.col("nd") - least + 1)
+    # Whoever is alike is no longer than na * 100 / percent, which bounds s for either side.
+    either = F.greatest(F.lit(1), F.ceil(F.col("nd") - q * F.col("na") * (1 + 100 / percent) - 1e-9))
+    least = F.greatest(either, F.floor((F.col("nd") - q * F.greatest(F.col("na") - F.col("nb"), F.lit(0))) / 2 - 1e-9) + 1)
+    placed = long.join(often, ["b", "w"]).withColumn("k", place).where((F.col("f") > 1) & (F.col("k") <= F.col("nd") - either + 1))
+    placed = stored(placed.withColumn("first", F.col("k") <= F.col("nd") - least + 1), "differences")
     if of is None:
         sides = [("linked", "not linked")]
         placed = placed.withColumns({"component": F.col("a"), "rest": F.lit(True)})
@@ -156,6 +159,15 @@ def around_pivots(star: DataFrame, percent: int, of: DataFrame | None = None) ->
     return out.distinct()
 
 
+def pivots_of(links: list[DataFrame]) -> DataFrame:
+    """node and component: the least of the nodes that it is linked with as ``b``, itself for
+    those.  Members of a group have the same pivot in most of their buckets."""
+    edges = reduce(DataFrame.unionByName, links)
+    ends = edges.select(F.col("b").alias("node")).distinct().withColumn("component", F.col("node"))
+    rest = edges.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("component"))
+    return rest.join(ends.select("node"), "node", "left_anti").unionByName(ends)
+
+
 def grouped(docs: DataFrame, size: int, percent: int, doc_id: str, text: str) -> DataFrame:
     """doc_id, tie (hash of the text), n, node (null: no words) and leader, the
     first (no_id, doc_id, tie) of the row's group, for every row of ``docs``."""
@@ -185,7 +197,7 @@ def grouped(docs: DataFrame, size: int, percent: int, doc_id: str, text: str) ->
         members = left.withColumnRenamed("node", "a").join(pivots, "key").where("a <> b")
         star = stored(compared(members.select("a", "b").distinct(), sets, percent).select("a", "b", "na", "nb", "linked", difference.alias("d")), "stars")
         near.append(star.where("linked").select("a", "b"))
-        pairs = around_pivots(star, percent, components(joined()) if turn == ROUNDS else None)
+        pairs = around_pivots(star, percent, pivots_of(near) if turn == ROUNDS else None)
         near.append(stored(confirmed(pairs, sets, percent), "links"))
         if turn < ROUNDS:
             apart = members.join(star.where("not linked").select("a", "b"), ["a", "b"]).select("key", F.col("a").alias("node"), "met")
