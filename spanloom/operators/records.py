@@ -75,3 +75,31 @@ def same_multiset(a: DataFrame, b: DataFrame) -> DataFrame:
     cols = a.columns
     both = a.withColumn("_n", F.lit(1)).unionByName(b.withColumn("_n", F.lit(-1)))
     return both.groupBy(*cols).agg(F.sum("_n").alias("surplus")).where("surplus <> 0")
+
+
+def swapped(text: Column, at: Column) -> Column:
+    """``text`` with the closing bracket at a place (from 1) turned into the other kind."""
+    other = F.when(F.substring(text, at, F.lit(1)) == "}", "]").otherwise("}")
+    return F.concat(F.substring(text, F.lit(1), at - 1), other, F.substring(text, at + 1, F.length(text)))
+
+
+def repaired(reply: Column) -> Column:
+    """The JSON of a reply: as it is, without a code fence, or with the one closing bracket
+    mended that makes it whole; null where none or more than one mend does."""
+    bare = F.regexp_replace(F.trim(reply), "^```(json)?\\s*|\\s*```$", "")
+    places = F.filter(F.sequence(F.lit(1), F.length(bare)), lambda i: F.substring(bare, i, F.lit(1)).isin("}", "]"))
+    mends = F.filter(F.transform(places, lambda i: swapped(bare, i)), lambda x: F.try_parse_json(x).isNotNull())
+    return F.when(F.length(bare) == 0, None).when(F.try_parse_json(bare).isNotNull(), bare).when(F.size(mends) == 1, F.get(mends, F.lit(0)))
+
+
+def timeline(steps: Column, arms: list[str], number) -> Column:
+    """Steps (t, p and arm as text) with their source rows, typed and in time order; a step
+    without a time is left out, an arm that is none of ``arms`` is unclear."""
+    typed = F.transform(
+        steps,
+        lambda s, i: F.struct(
+            number(s["t"]).alias("t"), i.alias("source_row"), number(s["p"]).alias("p"),
+            F.when(F.lower(s["arm"]).isin(arms), F.lower(s["arm"])).otherwise("unclear").alias("arm"),
+        ),
+    )
+    return F.array_sort(F.filter(typed, lambda s: s["t"].isNotNull()))

@@ -6,7 +6,7 @@ from pyspark.sql import Window, functions as F
 
 from spanloom.functions import text as tx
 from spanloom.operators import records, sequences as seq
-from spanloom.plans.registry import query, table
+from spanloom.plans.registry import micros, query, table
 
 
 @query("""SELECT page_id, regexp_extract(url, '^([a-z]+)://', 1) AS scheme, regexp_extract(url, '://([^/?#]+)', 1) AS host, regexp_extract(url, '://[^/?#]+([^?#]*)', 1) AS path, CASE WHEN contains(url, '?') THEN regexp_extract(url, '\\?([^#]*)', 1) END AS query FROM pages""")
@@ -101,3 +101,41 @@ def open_json(spark, sf_dir):
     v = F.try_parse_json("props")
     d = table(spark, sf_dir, "events").withColumn("v", v)
     return d.select("event_id", F.try_variant_get("v", "$.k", "double").alias("k"), F.try_variant_get("v", "$.absent", "string").alias("absent"), F.size(F.json_object_keys("props")).alias("fields"))
+
+
+@query("""WITH e AS (SELECT user_id, event_id, '{"t":' || CASE WHEN event_id % 7 = 0 THEN 'null' ELSE CAST(epoch_us(ts) // 1000000 - 1704067200 AS VARCHAR) END || ',"p":' || CASE WHEN event_id % 2 = 0 THEN '"0.' || event_id % 10 || '"' ELSE '0.' || event_id % 10 END || ',"arm":"' || ['LEFT', 'right', 'Both', '?'][event_id % 4 + 1] || '"}' AS s FROM events),
+j AS (SELECT user_id, '{"steps":[' || string_agg(s, ',' ORDER BY event_id) || ']}' AS x FROM e GROUP BY 1),
+r AS (SELECT user_id, CASE user_id % 4 WHEN 0 THEN x WHEN 1 THEN '```json' || chr(10) || x || chr(10) || '```' WHEN 2 THEN substr(x, 1, length(x) - 2) || '}}' ELSE substr(x, 1, length(x) - 5) END AS reply FROM j),
+b AS (SELECT user_id, regexp_replace(trim(reply), '^```(json)?\\s*|\\s*```$', '', 'g') AS b FROM r),
+m AS (SELECT user_id, b, list_filter(list_transform(list_filter(range(1, length(b) + 1), lambda i: substr(b, i, 1) IN ('}', ']')), lambda i: substr(b, 1, i - 1) || CASE substr(b, i, 1) WHEN '}' THEN ']' ELSE '}' END || substr(b, i + 1)), lambda y: json_valid(y)) AS mends FROM b WHERE NOT json_valid(b)),
+f AS (SELECT b.user_id, CASE WHEN json_valid(b.b) THEN b.b WHEN len(mends) = 1 THEN mends[1] END AS j FROM b LEFT JOIN m USING (user_id)),
+s AS (SELECT user_id, unnest(from_json(json_extract(j, '$.steps'), '[{"t":"VARCHAR","p":"VARCHAR","arm":"VARCHAR"}]')) AS s, generate_subscripts(from_json(json_extract(j, '$.steps'), '[{"t":"VARCHAR","p":"VARCHAR","arm":"VARCHAR"}]'), 1) - 1 AS i FROM f WHERE j IS NOT NULL),
+t AS (SELECT user_id, i, TRY_CAST(s.t AS DOUBLE) AS t, CAST(round(TRY_CAST(s.p AS DOUBLE) * 10) AS BIGINT) AS p, CASE WHEN lower(s.arm) IN ('left', 'right', 'both') THEN lower(s.arm) ELSE 'unclear' END AS arm FROM s)
+SELECT f.user_id, f.j IS NOT NULL AS read, count(t.t) AS steps, count(t.i) - count(t.t) AS dropped, coalesce(md5(string_agg(CAST(CAST(t.t AS BIGINT) AS VARCHAR) || ':' || t.i || ':' || t.p || ':' || arm, ';' ORDER BY t.t, t.i) FILTER (t.t IS NOT NULL)), '') AS timeline FROM f LEFT JOIN t USING (user_id) GROUP BY 1, 2""")
+def typed_timelines(spark, sf_dir):
+    """Replies with fences, a wrong bracket or a cut, read back as typed, ordered steps."""
+    k = F.col("event_id")
+    t = F.when(k % 7 == 0, "null").otherwise((F.floor(micros("ts") / 1000000) - 1704067200).cast("string"))
+    p = F.concat(F.lit("0."), (k % 10).cast("string"))
+    p = F.when(k % 2 == 0, F.concat(F.lit('"'), p, F.lit('"'))).otherwise(p)
+    arm = F.get(F.array(*map(F.lit, ["LEFT", "right", "Both", "?"])), (k % 4).cast("int"))
+    step = F.concat(F.lit('{"t":'), t, F.lit(',"p":'), p, F.lit(',"arm":"'), arm, F.lit('"}'))
+    made = table(spark, sf_dir, "events").select("user_id", "event_id", step.alias("s")).groupBy("user_id").agg(F.sort_array(F.collect_list(F.struct("event_id", "s"))).alias("a"))
+    x = F.concat(F.lit('{"steps":['), F.array_join(F.transform("a", lambda r: r["s"]), ","), F.lit("]}"))
+    u, n = F.col("user_id") % 4, F.length("x")
+    reply = F.when(u == 0, F.col("x")).when(u == 1, F.concat(F.lit("```json\n"), "x", F.lit("\n```"))).when(u == 2, F.concat(F.substring("x", F.lit(1), n - 2), F.lit("}}"))).otherwise(F.substring("x", F.lit(1), n - 5))
+    d = made.select("user_id", x.alias("x")).select("user_id", records.repaired(reply).alias("j"))
+    d = d.withColumn("steps", F.from_json("j", "steps array<struct<t: string, p: string, arm: string>>")["steps"])
+    d = d.withColumn("line", F.coalesce(records.timeline(F.col("steps"), ["left", "right", "both"], tx.number), F.array()))
+    text = F.array_join(F.transform("line", lambda s: F.concat_ws(":", s["t"].cast("long").cast("string"), s["source_row"].cast("string"), F.round(s["p"] * 10).cast("long").cast("string"), s["arm"])), ";")
+    kept = F.size("line").cast("long")
+    return d.select("user_id", F.col("j").isNotNull().alias("read"), kept.alias("steps"), (F.coalesce(F.size("steps"), F.lit(0)) - kept).alias("dropped"), F.when(kept > 0, F.md5(text)).otherwise("").alias("timeline"))
+
+
+@query("""WITH a AS (SELECT conv_id, turn, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS source_row, role, text FROM conversations)
+SELECT conv_id, CAST(source_row AS INTEGER) AS source_row, concat_ws(',', CASE WHEN role NOT IN ('user', 'assistant') THEN 'role' END, CASE WHEN length(text) < 40 THEN 'text' END) AS departures FROM a""")
+def checked_items(spark, sf_dir):
+    """Every item of a nested record with its source row and what departs from the rules."""
+    d = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("turns"))
+    out = records.checked_items(d, ["conv_id"], "turns", lambda r: [("role", "enum", ~r["role"].isin("user", "assistant"), r["role"]), ("text", "too_short", F.length(r["text"]) < 40, F.length(r["text"]))])
+    return out.select("conv_id", "source_row", F.array_join(F.transform("departures", lambda x: x["field"]), ",").alias("departures"))

@@ -4,7 +4,8 @@ import random
 
 from pyspark.sql import functions as F
 
-from spanloom.operators import labels
+from spanloom.functions import text as tx
+from spanloom.operators import labels, records
 
 FIELDS = "outcome string, relation string, matches boolean, goal double, undone double, done double, last_change double, peak double, first_full double, first_goal double, mismatch boolean"
 
@@ -61,3 +62,13 @@ def test_order_pages_and_outlines_of_few_rows(spark):
     got = {(r.g, r.k): r.why for r in labels.outline(line, ["g"], "k", ["v"], 6).collect()}
     assert got[1, 0] == got[1, 9] == got[2, 0] == "end" and got[1, 5] == "peak" and got[1, 4] == got[1, 6] == "neighbour" and len(got) == 7
     assert labels.outline(line.limit(0), ["g"], "k", ["v"], 6).count() == 0
+
+
+def test_replies_are_mended_where_one_bracket_is_wrong(spark):
+    replies = ['{"a": [1, 2]}', ' ```json\n{"a": 1}\n``` ', '{"a": [1, 2}}', '{"a": [1, 2]]', '{"a": [1, 2', "", None, "no json } at all", '{"a": "}"]']
+    df = spark.createDataFrame([(k, r) for k, r in enumerate(replies)], "k int, r string")
+    got = [r.j for r in df.select("k", records.repaired(F.col("r")).alias("j")).orderBy("k").collect()]
+    assert got == ['{"a": [1, 2]}', '{"a": 1}', '{"a": [1, 2]}', '{"a": [1, 2]}', None, None, None, None, '{"a": "}"}']
+    steps = spark.createDataFrame([([("2", "x", "LEFT"), (None, "1", None), ("1.5s", "0.5", "up"), ("2", "0.1", None)],)], "s array<struct<t: string, p: string, arm: string>>")
+    line = steps.select(records.timeline(F.col("s"), ["left"], tx.number).alias("x")).first().x
+    assert [tuple(s) for s in line] == [(1.5, 2, 0.5, "unclear"), (2.0, 0, None, "left"), (2.0, 3, 0.1, "unclear")]
