@@ -106,3 +106,25 @@ def roots(edges: DataFrame) -> DataFrame:
     open_ = stored(start.join(members, "node", "left_anti"), "map")
     chains = doubled(open_, open_.count())
     return chains.select("node", F.col("to").alias("root")).unionByName(members.select("node", F.col("node").alias("root")))
+
+
+def part_windows(frames: DataFrame, cuts: DataFrame, keys: list[str], place: str, t: str, overlap: float) -> DataFrame:
+    """keys, cut (its frame), first and last: the frames that the two parts at a cut share,
+    those within half of ``overlap`` of the cut's time and no further than halfway to the
+    cut before and after it.
+
+    frames: ``place`` (from 0 in its key) and ``t``, both ascending; cuts: keys and
+    ``place``.  Times are counted by one union and one window, not by pairs.
+    """
+    c = cuts.join(frames.select(*keys, place, t), [*keys, place]).select(*keys, F.col(place).alias("cut"), F.col(t).alias("_t"))
+    probe = lambda by, side: c.select(*keys, "cut", (F.col("_t") + by).alias("_at"), F.lit(side).alias("_side"))
+    marks = frames.select(*keys, F.lit(None).cast("long").alias("cut"), F.col(t).alias("_at"), F.lit(0).alias("_side"))
+    both = marks.unionByName(probe(-overlap / 2 - 1e-9, -1)).unionByName(probe(overlap / 2 + 1e-9, 1))
+    w = Window.partitionBy(*keys).orderBy("_at", "_side").rowsBetween(Window.unboundedPreceding, 0)
+    counted = both.withColumn("_n", F.count(F.when(F.col("_side") == 0, 1)).over(w)).where("_side <> 0")
+    near = counted.groupBy(*keys, "cut").agg(F.max(F.when(F.col("_side") < 0, F.col("_n"))).alias("_a"), (F.max(F.when(F.col("_side") > 0, F.col("_n"))) - 1).alias("_b"))
+    order = Window.partitionBy(*keys).orderBy("cut")
+    half = lambda other: F.floor((F.col("cut") + other) / 2)
+    a = F.least(F.col("cut"), F.greatest(F.col("_a"), half(F.lag("cut").over(order))))
+    b = F.greatest(F.col("cut"), F.least(F.col("_b"), half(F.lead("cut").over(order))))
+    return near.select(*keys, "cut", a.alias("first"), b.alias("last"))

@@ -123,3 +123,15 @@ def asserted_families(spark, sf_dir):
     found = F.array(*(F.struct(F.lit(k).alias("family"), says(v).alias("said"), F.col("whole").rlike(v).alias("named")) for k, v in FAMILIES.items()))
     f = d.select("source", F.explode(found).alias("f"))
     return f.groupBy("source", F.col("f.family").alias("family")).agg(F.count_if("f.said").alias("asserted"), F.count_if(F.col("f.named") & ~F.col("f.said")).alias("denied"))
+
+
+@query(EVENTS + """, f AS (SELECT user_id, t, row_number() OVER (PARTITION BY user_id ORDER BY t) - 1 AS k FROM ev), c AS (SELECT user_id, min(k) AS cut FROM f WHERE t >= 432000 GROUP BY user_id, floor(t / 432000)),
+x AS (SELECT c.user_id, cut, t, lag(cut) OVER w AS was, lead(cut) OVER w AS later FROM c JOIN f ON c.user_id = f.user_id AND k = cut WINDOW w AS (PARTITION BY c.user_id ORDER BY cut)),
+n AS (SELECT x.user_id, cut, was, later, min(f.k) FILTER (f.t >= x.t - 43200 - 1e-9) AS a, max(f.k) FILTER (f.t <= x.t + 43200 + 1e-9) AS b FROM x JOIN f USING (user_id) GROUP BY 1, 2, 3, 4)
+SELECT user_id, cut, CAST(least(cut, greatest(a, floor((was + cut) / 2))) AS BIGINT) AS first, CAST(greatest(cut, least(b, floor((cut + later) / 2))) AS BIGINT) AS last FROM n""")
+def part_spans(spark, sf_dir):
+    """The frames that parts of five days share around their cuts: half a day to either side."""
+    w = Window.partitionBy("user_id").orderBy("t")
+    f = timed_events(spark, sf_dir).select("user_id", "t", (F.row_number().over(w) - 1).cast("long").alias("k"))
+    cuts = f.where(F.col("t") >= PART).groupBy("user_id", F.floor(F.col("t") / PART).alias("p")).agg(F.min("k").alias("k")).drop("p")
+    return parts.part_windows(f, cuts, ["user_id"], "k", "t", 2 * OVERLAP)
