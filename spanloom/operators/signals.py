@@ -264,3 +264,35 @@ def fair_shares(df: DataFrame, keys: list[str], order: list[str], size: str, bud
     short = Window.partitionBy(*keys, (F.col("_own") < F.col(size))).orderBy(*order)
     extra = (F.col("_own") < F.col(size)) & (F.row_number().over(short) <= F.col("_spare"))
     return d.withColumn("share", (F.col("_own") + extra.cast("int")).cast("long")).drop("_k", "_before", "_n", "_all", "_level", "_cut", "_own", "_spare")
+
+
+#: The narrow band that holds a level, the least share of active (and of resting) readings.
+HELD, LEAST = 0.02, 0.02
+
+
+def behaviour(df: DataFrame, keys: list[str], value: str, levels: DataFrame, swings: DataFrame) -> DataFrame:
+    """keys and how a signal behaves about its rest: direction (up, down or null: the way of
+    four fifths of its active readings, if it hardly passes its rest the other way),
+    has_rest (holds one level when at rest), touch_like (both, at rest and active often enough)."""
+    d = df.join(levels.select(*keys, "level"), keys).join(swings.select(*keys, "swing"), keys).withColumn("_d", reading(F.col(value)) - F.col("level"))
+    far, sw = F.abs("_d"), F.col("swing")
+    away = far > BAND * sw
+    top = d.groupBy(*keys, "swing").agg(
+        F.count("_d").alias("_n"), F.count_if(away).alias("_act"), F.count_if(away & (F.col("_d") > 0)).alias("_up"), F.max("_d").alias("_hi"), F.min("_d").alias("_lo"),
+        F.percentile(F.greatest("_d", F.lit(0.0)), 0.99).alias("_over"), F.percentile(F.greatest(-F.col("_d"), F.lit(0.0)), 0.99).alias("_under"),
+        F.count_if(far <= BAND * sw).alias("_near"), F.count_if(far <= HELD * sw).alias("_in"), F.max(F.when(away, far).otherwise(0.0)).alias("_most"),
+    )
+    on = d.join(top.select(*keys, "_most"), keys).groupBy(*keys).agg(F.count_if(away & (far >= BAND * F.col("_most"))).alias("_on"))
+    up, down = F.col("_up") * 5 >= F.col("_act") * 4, F.col("_up") * 5 <= F.col("_act")
+    moves = (sw > 0) & (F.col("_act") > 0)
+    direction = F.when(moves & up & (F.col("_under") <= BAND * F.col("_hi")), "up").when(moves & ~up & down & (F.col("_over") <= -BAND * F.col("_lo")), "down")
+    rests = (sw > 0) & (F.col("_near") > 0) & (F.col("_near") >= LEAST * F.col("_n")) & (F.col("_in") >= HOLD * F.col("_near"))
+    both = (F.col("_n") >= 5) & (F.col("_most") > 0) & (F.col("_n") - F.col("_on") >= LEAST * F.col("_n")) & (F.col("_on") >= LEAST * F.col("_n"))
+    named = top.join(on, keys).withColumns({"direction": direction, "has_rest": F.coalesce(rests, F.lit(False))})
+    return named.select(*keys, "direction", "has_rest", (F.col("has_rest") & F.col("direction").isNotNull() & F.coalesce(both, F.lit(False))).alias("touch_like"))
+
+
+def on_log_scale(x: Column, near: float, far: float) -> Column:
+    """1 at ``near`` and less, 0 at ``far`` and more, by the logarithm between."""
+    held = F.greatest(F.lit(near), F.least(F.lit(far), x))
+    return 1 - (F.ln(held) - F.ln(F.lit(near))) / (F.ln(F.lit(far)) - F.ln(F.lit(near)))

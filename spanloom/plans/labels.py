@@ -252,3 +252,34 @@ def padded_rows(spark, sf_dir):
     most = e.agg(F.max("k")).first()[0] or 0
     every = e.select("user_id").distinct().withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(max(1, most)))))
     return every.join(e, ["user_id", "k"], "left")
+
+
+DISPOSITIONS = [("view", "note"), ("click", "flag"), ("purchase", "not assessed")]
+
+
+@query("WITH d(event_type, disposition) AS (VALUES " + ", ".join(f"('{a}', '{b}')" for a, b in DISPOSITIONS) + """)
+SELECT user_id, count(*) FILTER (disposition = 'flag') AS flags, count(*) FILTER (disposition = 'note') AS notes, count(*) FILTER (disposition = 'not assessed') AS unassessed, count(*) FILTER (disposition IS NULL) AS listed, count(*) FILTER (disposition = 'flag') * 2 < count(*) AND count(*) > 1 AS withheld FROM events LEFT JOIN d USING (event_type) GROUP BY 1""")
+def dispositions(spark, sf_dir):
+    """Results told apart by a small table of what each kind leads to."""
+    d = spark.createDataFrame(DISPOSITIONS, "event_type string, disposition string")
+    met = table(spark, sf_dir, "events").join(F.broadcast(d), "event_type", "left")
+    n = lambda v: F.count_if(F.col("disposition") == v)
+    return met.groupBy("user_id").agg(n("flag").alias("flags"), n("note").alias("notes"), n("not assessed").alias("unassessed"), F.count_if(F.col("disposition").isNull()).alias("listed"), ((n("flag") * 2 < F.count("*")) & (F.count("*") > 1)).alias("withheld"))
+
+
+@query("""WITH t AS (SELECT l_orderkey, CASE l_returnflag WHEN 'A' THEN 'success' WHEN 'R' THEN 'partial' ELSE 'unclear' END AS outcome, CASE WHEN l_quantity > 40 THEN 3 WHEN l_quantity > 20 THEN 2 WHEN l_quantity > 5 THEN 1 ELSE 0 END AS rank FROM lineitem),
+g AS (SELECT l_orderkey, count(*) AS tasks, max(outcome) AS one, max(rank) AS rank, bool_and(outcome = 'success') AS all_done, bool_or(outcome = 'partial') AS missed FROM t GROUP BY 1)
+SELECT l_orderkey, CASE WHEN tasks = 1 THEN CASE one WHEN 'partial' THEN 'failure' ELSE one END END AS verdict, CASE WHEN tasks = 1 THEN 0 ELSE tasks END AS shown, [NULL, 'low', 'medium', 'high'][rank + 1] AS severity,
+  CASE WHEN tasks = 1 THEN 'verdict' WHEN all_done THEN 'complete' WHEN missed THEN 'incomplete' ELSE 'open' END AS completion FROM g""")
+def verdicts(spark, sf_dir):
+    """The verdict of a record with one task, else its tasks; the highest severity; what is complete."""
+    outcome = F.when(F.col("l_returnflag") == "A", "success").when(F.col("l_returnflag") == "R", "partial").otherwise("unclear")
+    q = F.col("l_quantity")
+    rank = F.when(q > 40, 3).when(q > 20, 2).when(q > 5, 1).otherwise(0)
+    g = table(spark, sf_dir, "lineitem").select("l_orderkey", outcome.alias("outcome"), rank.alias("rank")).groupBy("l_orderkey").agg(
+        F.count("*").alias("tasks"), F.max("outcome").alias("one"), F.max("rank").alias("rank"), F.bool_and(F.col("outcome") == "success").alias("done"), F.bool_or(F.col("outcome") == "partial").alias("missed"))
+    one = F.col("tasks") == 1
+    verdict = F.when(one, F.when(F.col("one") == "partial", "failure").otherwise(F.col("one")))
+    completion = F.when(one, "verdict").when(F.col("done"), "complete").when(F.col("missed"), "incomplete").otherwise("open")
+    severity = F.when(F.col("rank") == 3, "high").when(F.col("rank") == 2, "medium").when(F.col("rank") == 1, "low")
+    return g.select("l_orderkey", verdict.alias("verdict"), F.when(one, 0).otherwise(F.col("tasks")).alias("shown"), severity.alias("severity"), completion.alias("completion"))

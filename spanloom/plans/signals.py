@@ -231,3 +231,46 @@ def quiet_spans(spark, sf_dir):
     """Spans of frames of a recording in which the first three components stay within 1."""
     d = table(spark, sf_dir, "embeddings").select("label", "vec_id", *(F.col("embedding")[j].alias(f"p{j}") for j in range(3)))
     return signals.calm_spans(d, ["label"], ["vec_id"], ["p0", "p1", "p2"], [1.0, 1.0, 1.0], 3, complete=True)
+
+
+@query(EVENTS + REST + """, sw AS (SELECT user_id, any_value(level) AS level, quantile_cont(abs(value - level), 0.99) AS swing FROM ev JOIN l USING (user_id) GROUP BY 1),
+d AS (SELECT user_id, swing, value - level AS d, abs(value - level) > 0.1 * swing AS away FROM ev JOIN sw USING (user_id)),
+a AS (SELECT user_id, swing, count(*) AS n, count(*) FILTER (away) AS act, count(*) FILTER (away AND d > 0) AS up, max(d) AS hi, min(d) AS lo, quantile_cont(greatest(d, 0), 0.99) AS over_, quantile_cont(greatest(-d, 0), 0.99) AS under_,
+  count(*) FILTER (abs(d) <= 0.1 * swing) AS near, count(*) FILTER (abs(d) <= 0.02 * swing) AS held, max(CASE WHEN away THEN abs(d) ELSE 0 END) AS most FROM d GROUP BY 1, 2),
+o AS (SELECT user_id, count(*) FILTER (away AND abs(d) >= 0.1 * most) AS act_on FROM d JOIN (SELECT user_id, most FROM a) USING (user_id) GROUP BY 1),
+b AS (SELECT user_id, CASE WHEN swing > 0 AND act > 0 AND up * 5 >= act * 4 AND under_ <= 0.1 * hi THEN 'up' WHEN swing > 0 AND act > 0 AND NOT up * 5 >= act * 4 AND up * 5 <= act AND over_ <= -0.1 * lo THEN 'down' END AS direction,
+  coalesce(swing > 0 AND near > 0 AND near >= 0.02 * n AND held >= 0.3 * near, false) AS has_rest, n >= 5 AND most > 0 AND n - act_on >= 0.02 * n AND act_on >= 0.02 * n AS often FROM a JOIN o USING (user_id))
+SELECT user_id, direction, has_rest, has_rest AND direction IS NOT NULL AND coalesce(often, false) AS touch_like FROM b""")
+def signal_behaviour(spark, sf_dir):
+    ev = timed_events(spark, sf_dir)
+    levels = signals.rest(ev, ["user_id"], ["event_id"], "value")
+    return signals.behaviour(ev, ["user_id"], "value", levels, signals.swing(ev, ["user_id"], "value", levels))
+
+
+@query(LONG + """, s AS (SELECT label, i, x, abs(x - lag(x) OVER (PARTITION BY label, i ORDER BY vec_id)) AS step FROM l),
+m AS (SELECT label, i, max(x) - min(x) AS r, quantile_cont(step, 0.5) FILTER (step > 0) AS m FROM s GROUP BY 1, 2), z AS (SELECT label, vec_id, sum(greatest(x - 0.1, 0)) AS response, avg(CASE WHEN abs(x) > 0.5 THEN 1.0 ELSE 0.0 END) AS share FROM l GROUP BY 1, 2),
+q AS (SELECT label, quantile_cont(share, 0.5) FILTER (share > 0) AS share, avg(response) AS response FROM z GROUP BY 1)
+SELECT label, round(avg(coalesce(r / m, 0)), 5) AS movements, any_value(share) < 0.5 AS localized, round(any_value(response), 5) AS response FROM m JOIN q USING (label) GROUP BY 1""")
+def recording_activity(spark, sf_dir):
+    """How much the values of a recording move for the size of a move, whether few are active at once,
+    and the mean response above a declared zero."""
+    d = components(spark, sf_dir)
+    step = F.abs(F.col("x") - F.lag("x").over(Window.partitionBy("label", "i").orderBy("vec_id")))
+    per = d.withColumn("step", step).groupBy("label", "i").agg((F.max("x") - F.min("x")).alias("r"), F.percentile(F.when(F.col("step") > 0, F.col("step")), 0.5).alias("m"))
+    moved = per.groupBy("label").agg(F.round(F.avg(F.coalesce(F.try_divide("r", "m"), F.lit(0.0))), 5).alias("movements"))
+    v = table(spark, sf_dir, "embeddings").select("label", F.transform("embedding", lambda x: x.cast("double")).alias("v"))
+    share = F.size(F.filter("v", lambda x: F.abs(x) > 0.5)) / F.size("v")
+    response = F.aggregate("v", F.lit(0.0), lambda s, x: s + F.greatest(x - 0.1, F.lit(0.0)))
+    active = v.select("label", share.alias("share"), response.alias("response")).groupBy("label").agg((F.percentile(F.when(F.col("share") > 0, F.col("share")), 0.5) < 0.5).alias("localized"), F.round(F.avg("response"), 5).alias("response"))
+    return moved.join(active, "label")
+
+
+@query("""SELECT l_orderkey, l_linenumber, isfinite(l_extendedprice) AND l_extendedprice > 0 AND l_extendedprice <> 65535 AS valid, round(1 - (ln(greatest(100, least(50000, l_extendedprice))) - ln(100)) / (ln(50000) - ln(100)), 9) AS place,
+  CASE WHEN l_quantity < 10 THEN 'dark ' ELSE '' END || CASE WHEN l_partkey % 360 < 30 THEN 'red' WHEN l_partkey % 360 < 90 THEN 'yellow' WHEN l_partkey % 360 < 160 THEN 'green' WHEN l_partkey % 360 < 270 THEN 'blue' ELSE 'purple' END AS colour FROM lineitem""")
+def reading_scale(spark, sf_dir):
+    """Whether a reading counts, its place on a log scale, and the word of its hue."""
+    x, hue = F.col("l_extendedprice"), F.col("l_partkey") % 360
+    word = F.when(hue < 30, "red").when(hue < 90, "yellow").when(hue < 160, "green").when(hue < 270, "blue").otherwise("purple")
+    dark = F.when(F.col("l_quantity") < 10, "dark ").otherwise("")
+    ok = signals.reading(x).isNotNull() & (x > 0) & (x != 65535)
+    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", ok.alias("valid"), F.round(signals.on_log_scale(x, 100.0, 50000.0), 9).alias("place"), F.concat(dark, word).alias("colour"))
