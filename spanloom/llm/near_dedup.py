@@ -131,7 +131,8 @@ def around_pivots(star: DataFrame, percent: int, of: DataFrame | None = None) ->
     """
     q = (100 - percent) / (100 + percent)
     apart = star.groupBy("b").agg(F.bool_and("linked").alias("all"), F.bool_or("linked").alias("some")).where("some and not all" if of is None else "not all").select("b")
-    long = star.join(apart, "b", "left_semi").select("a", "b", "na", "nb", "linked", F.size("d").alias("nd"), F.explode("d").alias("w"))
+    star = star.withColumn("component", F.col("a")) if of is None else star.join(of.withColumnRenamed("node", "a"), "a", "left").withColumn("component", F.coalesce("component", "a"))
+    long = star.join(apart, "b", "left_semi").select("a", "b", "na", "nb", "linked", "component", F.size("d").alias("nd"), F.explode("d").alias("w"))
     often = long.groupBy("b", "w").agg(F.count("*").alias("f"))
     place = F.row_number().over(Window.partitionBy("b", "a").orderBy("f", "w"))
     # Whoever is alike is no longer than na * 100 / percent, which bounds s for either side.
@@ -141,12 +142,11 @@ def around_pivots(star: DataFrame, percent: int, of: DataFrame | None = None) ->
     placed = stored(placed.withColumn("first", F.col("k") <= F.col("nd") - least + 1), "differences")
     if of is None:
         sides = [("linked", "not linked")]
-        placed = placed.withColumns({"component": F.col("a"), "rest": F.lit(True)})
     else:
         # Of an element's holders the largest component is not paired with itself.
-        placed = placed.join(of.withColumnRenamed("node", "a"), "a", "left").withColumn("component", F.coalesce("component", "a"))
-        largest = placed.groupBy("b", "w", "component").agg(F.count("*").alias("n")).groupBy("b", "w").agg(F.max(F.struct("n", "component")).alias("most"))
-        placed = placed.join(largest, ["b", "w"]).withColumn("rest", F.col("component") != F.col("most.component"))
+        size = F.count("*").over(Window.partitionBy("b", "w", "component"))
+        most = F.max(F.struct("n", "component")).over(Window.partitionBy("b", "w"))
+        placed = placed.repartition("b", "w").withColumn("n", size).withColumn("rest", F.col("component") != most["component"])
         sides = [("rest", "not linked"), ("not rest", "not linked and rest")]
     s = F.ceil((F.col("dx") + F.col("dy") - q * (F.col("nx") + F.col("ny"))) / 2 - 1e-9)
     fits = (F.col("kx") <= F.col("dx") - s + 1) & (F.col("ky") <= F.col("dy") - s + 1) & (F.least("nx", "ny") * 100 >= F.greatest("nx", "ny") * percent) & (F.col("cx") != F.col("cy"))
