@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from spanloom.llm import decontaminate, language_id, lm_score, near_dedup, packing, preferences, token_counts, token_files, top_k, url_filter
+from spanloom.llm import decontaminate, divergence, language_id, lm_score, near_dedup, packing, preferences, spelling, token_counts, token_files, top_k, url_filter, warc
 from spanloom.session import new_folder
 
 
@@ -81,6 +81,20 @@ def op10_language_id_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "language", F.round("confidence", 6).alias("confidence"), "text_language", "accepted")
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_folder(spark, "warc")
+    warc.write_archives(table(spark, sf_dir, "pages"), path)
+    return warc.read_archives(spark, path, payload=False).drop("url", "payload")
+
+
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.source_divergence(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_score": op1_lm_score,
     "op2_packing": op2_packing,
@@ -93,6 +107,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_token_counts": op9_token_counts,
     "op10_language_id": op10_language_id,
     "op10_language_id_pages": op10_language_id_pages,
+    "op11_spelling": op11_spelling,
+    "op12_warc": op12_warc,
+    "op13_divergence": op13_divergence,
 }
 ORACLE_SQL: dict[str, str] = {
     "op6_preferences": """
@@ -124,5 +141,60 @@ s AS (
   FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 100 = 0),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS k FROM s)
 SELECT query_id, CAST(k AS INTEGER) AS rank, vec_id, score FROM r WHERE k <= 10
+""",
+    # crc32 bit by bit: a byte comes in with the first of its eight steps.
+    "op11_spelling": r"""
+WITH RECURSIVE
+a AS (SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{00C0}-\x{00FF}]+')) AS run FROM documents),
+b AS (SELECT coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run AS s, run, count(*) AS n FROM a WHERE length(run) >= 6 GROUP BY ALL),
+c AS (
+  SELECT run, n, flatten(list_transform(string_split(s, ''), lambda x: CASE WHEN unicode(x) < 128 THEN [unicode(x)] ELSE [192 + unicode(x) // 64, 128 + unicode(x) % 64] END)) AS bytes FROM b),
+d AS (
+  SELECT run, n, xor(4294967295, list_reduce(flatten(list_transform(bytes, lambda x: [x, 0, 0, 0, 0, 0, 0, 0])),
+    lambda h, x: xor(xor(h, x) >> 1, 3988292384 * (xor(h, x) & 1)), 4294967295::BIGINT)) AS h FROM c),
+e AS (SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run)) || substr(run, 2 + h % length(run)) ELSE run END AS word, n FROM d),
+w AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM e WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+i AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM w),
+cut AS (SELECT DISTINCT word, n, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM i),
+holes AS (SELECT word, n, i, substr(word, 1, i - 1) AS h, substr(word, i + 1) AS t FROM i),
+near AS (
+  SELECT x.word, x.n, y.word AS near, y.n AS near_n FROM holes x JOIN holes y ON x.i = y.i AND x.h = y.h AND x.t = y.t AND x.word <> y.word
+  UNION ALL SELECT x.word, x.n, y.word, y.n FROM cut x JOIN w y ON x.rest = y.word
+  UNION ALL SELECT y.word, y.n, x.word, x.n FROM cut x JOIN w y ON x.rest = y.word),
+best AS (SELECT word, n, near AS form, near_n AS form_n, count(*) OVER (PARTITION BY word) AS n_near FROM near QUALIFY row_number() OVER (PARTITION BY word ORDER BY near_n DESC, near) = 1),
+f AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN form_n >= 5 * w.n THEN form END AS form, CASE WHEN form_n >= 5 * w.n THEN form_n END AS form_n FROM w LEFT JOIN best USING (word)),
+chain AS (SELECT word, word AS root, 0 AS k FROM f UNION ALL SELECT c.word, f.form, k + 1 FROM chain c JOIN f ON c.root = f.word WHERE f.form IS NOT NULL),
+last AS (SELECT word, arg_max(root, k) AS root FROM chain GROUP BY word)
+SELECT word, form, root, n, n_near, form_n FROM f JOIN last USING (word)
+""",
+    "op12_warc": """
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 100 AND first IS DISTINCT FROM page_id AND first IS NOT NULL THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 100 AND first IS DISTINCT FROM page_id THEN first END AS refers_to
+FROM f
+""",
+    "op13_divergence": r"""
+WITH d AS (SELECT row_number() OVER () AS doc, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents),
+t AS (SELECT doc, lang, source, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS whole FROM t GROUP BY lang, term HAVING count(DISTINCT doc) >= 3),
+v AS (SELECT lang, count(*) AS v, sum(whole) AS whole_n FROM kept GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT lang, source, term, count(*) AS n FROM t GROUP BY ALL),
+n AS (SELECT lang, source, sum(n) AS total FROM c JOIN kept USING (lang, term) GROUP BY ALL),
+p AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, CAST(1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 1)) // (coalesce(n.total, 0) + v) AS BIGINT) AS p,
+    CAST(1 + (1000000000::HUGEINT * (whole + 1)) // (whole_n + v) AS BIGINT) AS q
+  FROM g JOIN kept k USING (lang) JOIN v USING (lang) LEFT JOIN n USING (lang, source) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // b.p) AS value FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+every AS (SELECT a.lang, a.source, b.source AS item FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source),
+u AS (
+  SELECT lang, source, 'pair' AS part, item, CAST(coalesce(value, 0) AS BIGINT) AS value FROM every LEFT JOIN pairs USING (lang, source, item)
+  UNION ALL SELECT lang, source, 'term', term, CAST(((p - q) * (p - q)) // q AS BIGINT) FROM p WHERE n > 0 AND p > q)
+SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM u
+QUALIFY part = 'pair' OR rank <= 200
 """,
 }
