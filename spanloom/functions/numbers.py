@@ -56,3 +56,24 @@ def window_starts(length: Column, width: int, stride: int) -> Column:
     """Starts of sliding windows, the last flush with the end."""
     last = F.greatest(length - width, F.lit(0))
     return F.array_sort(F.array_union(F.sequence(F.lit(0).cast("long"), last.cast("long"), F.lit(stride).cast("long")), F.array(last.cast("long"))))
+
+
+#: The digits of base 64, five bits a digit and one that says whether more follow.
+DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+
+
+def number_text(n: Column) -> Column:
+    """A whole number as a text of base 64 digits: the sign in the lowest bit, low digits first."""
+    v = F.when(n < 0, -2 * n + 1).otherwise(2 * n).cast("long")
+    last = F.ceil(F.length(F.bin(v)) / 5).cast("int") - 1
+    digit = lambda i: F.call_function("div", v, F.pow(F.lit(32.0), i).cast("long")) % 32 + F.when(i < last, 32).otherwise(0)
+    return F.array_join(F.transform(F.sequence(F.lit(0), last), lambda i: F.substring(F.lit(DIGITS), (digit(i) + 1).cast("int"), F.lit(1))), "")
+
+
+def text_numbers(s: Column) -> Column:
+    """The whole numbers of a text that ``number_text`` made of several, one after the other."""
+    value = lambda c: F.call_function("instr", F.lit(DIGITS), c) - 1
+    digits = lambda w: F.transform(F.sequence(F.lit(1), F.length(w)), lambda i: (value(F.substring(w, i, F.lit(1))) % 32).cast("long") * F.pow(F.lit(32.0), i - 1).cast("long"))
+    whole = lambda w: F.aggregate(digits(w), F.lit(0).cast("long"), lambda a, x: a + x)
+    signed = lambda v: F.when(v % 2 == 1, -F.call_function("div", v, F.lit(2))).otherwise(F.call_function("div", v, F.lit(2)))
+    return F.transform(F.regexp_extract_all(s, F.lit("[g-z0-9+/]*[A-Za-f]"), F.lit(0)), lambda w: signed(whole(w)))

@@ -10,6 +10,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from spanloom.functions.numbers import DIGITS, number_text, text_numbers
 from spanloom.operators.scans import Kernel, streamed
 from spanloom.operators.signals import reading
 from spanloom.session import stored
@@ -272,8 +273,6 @@ def curl(points: Column, chain: list[int], dims: int = 3) -> Column:
 
 # Variable-length numbers and the codec of sampled points.
 
-#: The digits of base 64, five bits a digit and one that says whether more follow.
-DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
 VALUE_OF = {c: k for k, c in enumerate(DIGITS)}
 
 
@@ -388,3 +387,26 @@ def decoded_column(width: int, step: int):
         return pd.Series([[{"k": k, "x": x} for k, x in decoded_points(d, f, m, width, step)] for d, f, m in zip(data, first, n)])
 
     return decoded
+
+
+def encode_times(df: DataFrame, keys: list[str], t: str, most: int = 4096) -> DataFrame:
+    """keys, chunk, first (milliseconds), step (the commonest gap, the least of equals), n and
+    data: what every gap differs from the step, as text; at most ``most`` times a chunk.
+    Rows without a time are left out, repeated times stay."""
+    ms = F.round(reading(F.col(t)) * 1000).cast("long")
+    d = df.select(*keys, ms.alias("_ms")).where("_ms is not null")
+    d = d.withColumn("_k", F.row_number().over(Window.partitionBy(*keys).orderBy("_ms")) - 1).withColumn("chunk", F.floor(F.col("_k") / most).cast("int"))
+    d = d.withColumn("_gap", F.col("_ms") - F.lag("_ms").over(Window.partitionBy(*keys, "chunk").orderBy("_k")))
+    # A chunk is bounded, and so is what is gathered of it in one row.
+    g = d.groupBy(*keys, "chunk").agg(F.min("_ms").alias("first"), F.coalesce(F.mode("_gap", True), F.lit(0)).alias("step"), F.count("*").alias("n"), F.array_sort(F.collect_list(F.when(F.col("_gap").isNotNull(), F.struct("_k", "_gap")))).alias("_g"))
+    text = F.array_join(F.transform("_g", lambda r: number_text(r["_gap"] - F.col("step"))), "")
+    return g.select(*keys, "chunk", "first", "step", "n", text.alias("data"))
+
+
+def decode_times(coded: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, chunk, k (place in the chunk) and ms of every time; a text whose numbers are not
+    those of ``n`` times is an error."""
+    gaps = text_numbers(F.col("data"))
+    sound = F.when((F.size(gaps) == F.col("n") - 1) & ~F.col("data").rlike("[g-z0-9+/]$"), gaps).otherwise(F.raise_error(F.lit("a text of times lacks numbers or has some left over")).cast("array<bigint>"))
+    back = F.aggregate(sound, F.array(F.col("first")), lambda a, g: F.concat(a, F.array(F.element_at(a, -1) + F.col("step") + g)))
+    return coded.select(*keys, "chunk", F.posexplode(back).alias("k", "ms"))

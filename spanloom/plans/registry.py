@@ -42,5 +42,5 @@ def timed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 #: The same in SQL.
 EVENTS = "WITH ev AS (SELECT *, (epoch_us(ts) - 1704067200000000) / 1e6 AS t FROM events)"
 
-for _name in ("events", "signals", "parts", "labels", "relational", "scoring", "documents", "nested", "arrays", "outputs"):
+for _name in ("kernels", "events", "signals", "parts", "labels", "relational", "scoring", "documents", "nested", "arrays", "outputs"):
     importlib.import_module(f"spanloom.plans.{_name}")

@@ -179,6 +179,25 @@ def test_numbers_in_text():
         tracks.unpacked_numbers("g")
 
 
+def test_times_come_back(spark):
+    draw = random.Random(1)
+    rows = [(key, round(float(x) / 1000, 3)) for key in range(5) for x in np.cumsum([draw.choice([33, 33, 34, 0, 5000, -0]) for _ in range(50 * key + 1)])]
+    df = spark.createDataFrame([*rows, (9, None), (9, float("nan")), (9, 1e9), (0, -5.0)], "key int, t double")
+    coded = tracks.encode_times(df, ["key"], "t", most=40).cache()
+    got = {}
+    for r in tracks.decode_times(coded, ["key"]).orderBy("key", "chunk", "k").collect():
+        got.setdefault(r.key, []).append(r.ms)
+    want = {}
+    for k, t in [*rows, (9, 1e9), (0, -5.0)]:
+        want.setdefault(k, []).append(round(t * 1000))
+    assert got == {k: sorted(v) for k, v in want.items()}
+    one = coded.where("key = 1 and chunk = 0").first()
+    assert one.n == 40 and one.step == 33 and tracks.unpacked_numbers(one.data) == [b - a - 33 for a, b in zip(sorted(want[1])[:39], sorted(want[1])[1:40])]
+    for broken in ("A", "g"):
+        with pytest.raises(Exception, match="left over"):
+            tracks.decode_times(coded.withColumn("data", F.concat("data", F.lit(broken))), ["key"]).collect()
+
+
 def test_points_come_back_within_the_tolerance(spark):
     draw = np.random.default_rng(4)
     rows = []
