@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from spanloom.operators.components import components
+from spanloom.operators.scans import Kernel, streamed
 
 #: Outcomes that reach the goal or don't, relations to another task, full progress.
 REACHED, MISSED, OTHER = ["success", "success_then_undone"], ["failure", "partial", "unclear"], ["different", "unrelated"]
 FULL = 1.0 - 1e-9
 #: Share of a part that makes an issue wide, seconds that make two near, words of a lasting condition.
 WIDE, NEAR = 0.5, 15.0
-LASTING = r"\b(again|still|persist\w*|throughout|entire(ly)?|continu\w*|recurr\w*|intermittent\w*|once more)\b"
+LASTING = r"\b(again|still|persist\w*|throughout|entire(ly)?|the whole (take|recording|episode|window|part)|continu\w*|recurr\w*|intermittent\w*|for the rest|all along|once more)\b"
 
 
 def named(rules: dict[str, Column]) -> Column:
@@ -52,23 +54,62 @@ def condition(t: Column, end: Column, part_seconds: Column, words: Column) -> Co
     return F.when(t.isNull() | end.isNull(), "untimed").when((part_seconds > 0) & (end - t >= WIDE * part_seconds), "wide").when(F.lower(words).rlike(LASTING), "wording")
 
 
+class Meeting(Kernel):
+    """Issues of one key by their starts: each is tied to one member of every group it meets.
+
+    A group is alone while what is left of it is of one part; an issue meets all groups in
+    which another part goes on.  Groups that it meets are one from then on, so every
+    issue is tied, looked at and let go once.
+    """
+
+    def __init__(self, near: float):
+        self.near, self.mixed, self.alone, self.held = near, [], {}, 0
+
+    def add(self, ident, part, start, end):
+        pairs = []
+        for i, p, s, e in zip(ident.tolist(), part.tolist(), start.tolist(), end.tolist()):
+            met, due = [], s - self.near
+            for g in self.mixed:  # (ident, latest end, its part, latest end of another part, that part)
+                if g[3] >= due:
+                    met.append(g)
+                elif g[1] >= due:
+                    self.alone.setdefault(g[2], []).append((*g[:3], float("-inf"), None))
+            for q in [q for q in self.alone if q != p]:
+                met += [g for g in self.alone.pop(q) if g[1] >= due]
+            pairs += [(i, g[0]) for g in met]
+            ends = {p: e}
+            for g in met:
+                for end_, q in ((g[1], g[2]), (g[3], g[4])):
+                    if q is not None:
+                        ends[q] = max(end_, ends.get(q, end_))
+            top = sorted(((v, q) for q, v in ends.items()), reverse=True)[:2]
+            self.mixed = [(i, *top[0], *top[1])] if len(top) > 1 else []
+            if len(top) == 1:
+                own = self.alone.setdefault(p, [])
+                own.append((i, e, p, float("-inf"), None))
+                if len(own) > 2 * self.held + 1000:
+                    own[:] = [g for g in own if g[1] >= due]
+                    self.held = len(own)
+        return tuple(np.array(c) for c in zip(*pairs)) if pairs else None
+
+
 def linked_issues(issues: DataFrame, keys: list[str], ident: str, part: str, start: str, end: str, signal: str, near: float = NEAR) -> DataFrame:
     """ident and group (the smallest ident of it) of issues of one key: those with a
     condition ``signal`` are one group, and two of different parts are linked where their
     spans lie within ``near`` of each other.
 
-    The signalled ones are tied to the first of their key, the near ones by a join on
-    buckets of time, so neither is paired out.  Idents are longs, unique in the table.
+    The signalled ones are tied to the first of their key.  The others stream by their
+    starts and are tied to one member of each group that they meet (see ``Meeting``), so
+    there are about as many ties as issues however many lie near each other.  Idents
+    are longs, unique in the table.
     """
     first = issues.where(F.col(signal).isNotNull()).groupBy(*keys).agg(F.min(ident).alias("b"))
     tied = issues.where(F.col(signal).isNotNull()).join(first, keys).select(F.col(ident).alias("a"), "b")
-    hi = F.greatest(F.col(start), F.coalesce(F.col(end), F.col(start)))
-    timed = issues.where(F.col(start).isNotNull()).select(*keys, F.col(ident).alias("i"), F.col(part).alias("p"), F.col(start).alias("s"), hi.alias("e"))
-    width = max(4 * near, 1.0)
-    dealt = timed.withColumn("c", F.explode(F.sequence(F.floor((F.col("s") - near / 2) / width), F.floor((F.col("e") + near / 2) / width))))
-    other = dealt.select(*keys, "c", *(F.col(x).alias(x + "2") for x in "ipse"))
-    close = dealt.join(other, [*keys, "c"]).where((F.col("i") < F.col("i2")) & (F.col("p") != F.col("p2")) & (F.greatest("s", "s2") - F.least("e", "e2") <= near))
-    of = components(tied.unionByName(close.select(F.col("i").alias("a"), F.col("i2").alias("b"))))
+    hi = F.greatest(F.col(start), F.coalesce(F.col(end), F.col(start))).cast("double")
+    timed = issues.where(F.col(start).isNotNull() & F.col(part).isNotNull())
+    columns = {"i": F.col(ident).cast("long"), "p": F.xxhash64(part), "s": F.col(start).cast("double"), "e": hi}
+    close = streamed(timed, keys, [start, ident], columns, lambda: Meeting(near), "a bigint, b bigint").select("a", "b")
+    of = components(tied.unionByName(close))
     return issues.join(of, F.col(ident) == F.col("node"), "left").select(F.col(ident), F.coalesce("component", F.col(ident)).alias("group"))
 
 
@@ -129,8 +170,12 @@ def outline(df: DataFrame, keys: list[str], order: str, values: list[str], most:
 
 
 def one_case(texts: Column) -> Column:
-    """Texts with one case of their first letters, the one that most of them have (upper on a tie)."""
-    n = F.size(F.filter(texts, lambda t: F.substring(t, 1, 1) != F.lower(F.substring(t, 1, 1))))
-    lower = F.size(F.filter(texts, lambda t: F.substring(t, 1, 1) != F.upper(F.substring(t, 1, 1))))
-    rest = lambda t: F.substring(t, F.lit(2), F.length(t))
-    return F.transform(texts, lambda t: F.concat(F.when(n >= lower, F.upper(F.substring(t, 1, 1))).otherwise(F.lower(F.substring(t, 1, 1))), rest(t)))
+    """Texts with one case of their first letters, that of most of their first words (lower on a
+    tie).  Only ordinary words count and change: letters in lower case after the first, so
+    "UMI" and "X3" stay, and a single capital does too."""
+    rest = r"($|[^\p{L}\p{N}_])"
+    upper, lower = (lambda t: t.rlike("^[A-Z][a-z]+" + rest)), (lambda t: t.rlike("^[a-z]+" + rest))
+    more = F.size(F.filter(texts, upper)) > F.size(F.filter(texts, lower))
+    tail = lambda t: F.substring(t, F.lit(2), F.length(t))
+    first = lambda t: F.substring(t, 1, 1)
+    return F.transform(texts, lambda t: F.when(more & lower(t), F.concat(F.upper(first(t)), tail(t))).when(~more & upper(t), F.concat(F.lower(first(t)), tail(t))).otherwise(t))

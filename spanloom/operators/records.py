@@ -77,19 +77,38 @@ def same_multiset(a: DataFrame, b: DataFrame) -> DataFrame:
     return both.groupBy(*cols).agg(F.sum("_n").alias("surplus")).where("surplus <> 0")
 
 
-def swapped(text: Column, at: Column) -> Column:
-    """``text`` with the closing bracket at a place (from 1) turned into the other kind."""
-    other = F.when(F.substring(text, at, F.lit(1)) == "}", "]").otherwise("}")
-    return F.concat(F.substring(text, F.lit(1), at - 1), other, F.substring(text, at + 1, F.length(text)))
+#: A JSON text as a whole string, a stretch without brackets and quotes, or one of these signs.
+TOKENS = r'"(?:[^"\\]++|\\[\s\S])*+"|[^"{}\[\]()]++|["{}\[\]()]'
+
+
+def mended(text: Column) -> Column:
+    """``text`` with its one closing bracket of the wrong kind put right; null where, outside
+    of strings, the brackets don't pair up but for exactly one.  One pass over the
+    brackets with a stack, so work is linear in the text."""
+    tokens = F.regexp_extract_all(text, F.lit(TOKENS), F.lit(0))
+    signs = F.filter(F.transform(tokens, lambda t, i: F.struct(t.alias("t"), i.alias("i"))), lambda x: x["t"].isin("{", "[", "}", "]", ")", '"'))
+    start = F.struct(F.lit("").alias("stack"), F.lit(True).alias("ok"), F.lit(0).alias("wrong"), F.lit(-1).alias("at"), F.lit("").alias("right"))
+
+    def step(a: Column, x: Column) -> Column:
+        opens = x["t"].isin("{", "[")
+        due = F.substring(a["stack"], -1, 1)
+        off = ~opens & (due != x["t"])
+        stack = F.when(opens, F.concat(a["stack"], F.when(x["t"] == "{", "}").otherwise("]"))).otherwise(F.substring(a["stack"], F.lit(1), F.greatest(F.length(a["stack"]) - 1, F.lit(0))))
+        # A quote that stands alone begins a string without an end.
+        ok = a["ok"] & (x["t"] != '"') & (opens | (F.length(a["stack"]) > 0))
+        return F.struct(stack.alias("stack"), ok.alias("ok"), (a["wrong"] + off.cast("int")).alias("wrong"), F.when(off, x["i"]).otherwise(a["at"]).alias("at"), F.when(off, due).otherwise(a["right"]).alias("right"))
+
+    end = F.aggregate(signs, start, step)
+    one = end["ok"] & (end["stack"] == "") & (end["wrong"] == 1)
+    return F.when(one, F.array_join(F.concat(F.slice(tokens, F.lit(1), end["at"]), F.array(end["right"]), F.slice(tokens, end["at"] + 2, F.size(tokens))), ""))
 
 
 def repaired(reply: Column) -> Column:
-    """The JSON of a reply: as it is, without a code fence, or with the one closing bracket
-    mended that makes it whole; null where none or more than one mend does."""
+    """The JSON of a reply: as it is, without a code fence, or with its one wrong closing
+    bracket put right; null where that gives none."""
     bare = F.regexp_replace(F.trim(reply), "^```(json)?\\s*|\\s*```$", "")
-    places = F.filter(F.sequence(F.lit(1), F.length(bare)), lambda i: F.substring(bare, i, F.lit(1)).isin("}", "]"))
-    mends = F.filter(F.transform(places, lambda i: swapped(bare, i)), lambda x: F.try_parse_json(x).isNotNull())
-    return F.when(F.length(bare) == 0, None).when(F.try_parse_json(bare).isNotNull(), bare).when(F.size(mends) == 1, F.get(mends, F.lit(0)))
+    new = mended(bare)
+    return F.when(F.length(bare) == 0, None).when(F.try_parse_json(bare).isNotNull(), bare).when(F.try_parse_json(new).isNotNull(), new)
 
 
 def timeline(steps: Column, arms: list[str], number) -> Column:

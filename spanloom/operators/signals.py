@@ -69,11 +69,11 @@ def swing(df: DataFrame, keys: list[str], value: str, levels: DataFrame) -> Data
 
 def change_threshold(df: DataFrame, keys: list[str], column: str, order: list[str], value: str) -> DataFrame:
     """keys and threshold: the greater of a tenth of the 99 % point of the columns' ranges
-    and the median of the columns' median steps that are not zero."""
+    and the median of the columns' median steps, those that are zero among them."""
     w = Window.partitionBy(*keys, column).orderBy(*order)
     rows = df.withColumn("_x", reading(F.col(value)))
     rows = rows.withColumn("_step", F.abs(F.col("_x") - F.lag("_x").over(w)))
-    per = rows.groupBy(*keys, column).agg((F.max("_x") - F.min("_x")).alias("_range"), F.percentile(F.when(F.col("_step") > 0, F.col("_step")), 0.5).alias("_step"))
+    per = rows.groupBy(*keys, column).agg((F.max("_x") - F.min("_x")).alias("_range"), F.percentile("_step", 0.5).alias("_step"))
     return per.groupBy(*keys).agg(F.greatest(0.1 * F.percentile("_range", 0.99), F.percentile("_step", 0.5)).alias("threshold"))
 
 
@@ -180,8 +180,11 @@ def sped_up(lag_s: Column, skipped: Column, repeated: Column, neighbours_s: Colu
 
 
 def supported_rate(stated: Column, own: Column, factor: float = 10.0) -> Column:
-    """The stated rate, unless it is more than ``factor`` times off the measured one."""
-    return F.when((own / factor <= stated) & (stated <= own * factor) | own.isNull(), stated).otherwise(F.round(own, 3))
+    """The stated rate, unless it is more than ``factor`` times off the measured one.  One that
+    is missing or not positive stays as it is: nothing was stated to be off."""
+    said = stated.isNotNull() & ~F.isnan(stated) & (stated > 0) & (stated < float("inf"))
+    off = said & own.isNotNull() & ~((own / factor <= stated) & (stated <= own * factor))
+    return F.when(off, F.round(own, 3)).otherwise(stated)
 
 
 def placed_clock(df: DataFrame, keys: list[str], order: list[str], t: str, rate: Column) -> DataFrame:
@@ -292,6 +295,17 @@ def behaviour(df: DataFrame, keys: list[str], value: str, levels: DataFrame, swi
     return named.select(*keys, "direction", "has_rest", (F.col("has_rest") & F.col("direction").isNotNull() & F.coalesce(both, F.lit(False))).alias("touch_like"))
 
 
+def localized(df: DataFrame, keys: list[str], frame: str, value: str, levels: DataFrame, swings: DataFrame, rests: DataFrame) -> DataFrame:
+    """keys and localized: whether a signal of many values has a rest (``rests``: keys, has_rest)
+    and in the median of the frames with an active value fewer than half of them are active,
+    those further from rest than a tenth of the swing."""
+    d = df.join(levels.select(*keys, "level"), keys).join(swings.select(*keys, "swing"), keys)
+    away = F.coalesce(F.abs(reading(F.col(value)) - F.col("level")) > BAND * F.col("swing"), F.lit(False))
+    share = d.groupBy(*keys, frame).agg(F.avg(away.cast("double")).alias("_share")).where("_share > 0")
+    middle = share.groupBy(*keys).agg(F.percentile("_share", 0.5).alias("_middle"))
+    return rests.join(middle, keys, "left").select(*keys, (F.coalesce("has_rest", F.lit(False)) & F.coalesce(F.col("_middle") < 0.5, F.lit(False))).alias("localized"))
+
+
 def on_log_scale(x: Column, near: float, far: float) -> Column:
     """1 at ``near`` and less, 0 at ``far`` and more, by the logarithm between."""
     held = F.greatest(F.lit(near), F.least(F.lit(far), x))

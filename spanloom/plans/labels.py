@@ -83,7 +83,7 @@ def issues(spark, sf_dir):
 
 
 ISSUES = EVENTS + """, i AS (SELECT user_id, event_type, event_id, CAST(floor(t / 86400) AS BIGINT) AS part, CASE WHEN event_id % 101 > 0 THEN t END AS s, t + value * 20 AS e, ['low', 'medium', 'high'][event_id % 4 + 1] AS severity, CASE WHEN event_id % 97 = 0 THEN 'It slips again.' ELSE 'It slips.' END AS issue FROM ev),
-c AS (SELECT *, CASE WHEN s IS NULL THEN 'untimed' WHEN e - s >= 9000 THEN 'wide' WHEN regexp_matches(lower(issue), '\\b(again|still|persist\\w*|throughout|entire(ly)?|continu\\w*|recurr\\w*|intermittent\\w*|once more)\\b') THEN 'wording' END AS why FROM i)"""
+c AS (SELECT *, CASE WHEN s IS NULL THEN 'untimed' WHEN e - s >= 9000 THEN 'wide' WHEN regexp_matches(lower(issue), '""" + labels.LASTING + """') THEN 'wording' END AS why FROM i)"""
 
 
 @query(ISSUES + " SELECT event_id, why FROM c")
@@ -139,8 +139,8 @@ def recording_outline(spark, sf_dir):
     return labels.outline(d, ["label"], "vec_id", ["x", "y"], 24).select("label", "vec_id", "why")
 
 
-@query("""WITH t AS (SELECT conv_id, list(text ORDER BY turn) AS a FROM conversations GROUP BY 1), n AS (SELECT *, len(list_filter(a, lambda t: t[1] <> lower(t[1]))) >= len(list_filter(a, lambda t: t[1] <> upper(t[1]))) AS up FROM t)
-SELECT conv_id, md5(array_to_string(list_transform(a, lambda t: CASE WHEN up THEN upper(t[1]) ELSE lower(t[1]) END || substr(t, 2)), chr(10))) AS texts FROM n""")
+@query("""WITH t AS (SELECT conv_id, list(text ORDER BY turn) AS a FROM conversations GROUP BY 1), n AS (SELECT *, len(list_filter(a, lambda t: regexp_matches(t, '^[A-Z][a-z]+($|[^\\p{L}\\p{N}_])'))) > len(list_filter(a, lambda t: regexp_matches(t, '^[a-z]+($|[^\\p{L}\\p{N}_])'))) AS up FROM t)
+SELECT conv_id, md5(array_to_string(list_transform(a, lambda t: CASE WHEN up AND regexp_matches(t, '^[a-z]+($|[^\\p{L}\\p{N}_])') THEN upper(t[1]) || substr(t, 2) WHEN NOT up AND regexp_matches(t, '^[A-Z][a-z]+($|[^\\p{L}\\p{N}_])') THEN lower(t[1]) || substr(t, 2) ELSE t END), chr(10))) AS texts FROM n""")
 def one_case(spark, sf_dir):
     """The turns of a conversation with one case of their first letters, that of most."""
     d = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", "text"))).alias("a"))

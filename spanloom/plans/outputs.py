@@ -87,8 +87,8 @@ def stream_upsert(spark, sf_dir):
 
 @query("SELECT user_id, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1")
 def stream_running_totals(spark, sf_dir):
-    out = streams.run_to_end(streams.running_totals(stream_of(spark, sf_dir)), "update")
-    return out.groupBy("user_id").agg(F.max("n").alias("n"), F.round(F.max_by("total", "n"), 4).alias("total"))
+    out = streams.run_to_end(streams.running_totals(stream_of(spark, sf_dir)), "update", ["user_id"])
+    return out.withColumn("total", F.round("total", 4))
 
 
 @query("""SELECT o_orderpriority, count(*) AS n, count(o_custkey) AS customers FROM orders GROUP BY 1""")

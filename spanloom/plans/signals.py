@@ -42,7 +42,7 @@ LONG = "WITH l AS (SELECT label, vec_id, CAST(i - 1 AS INTEGER) AS i, CAST(embed
 
 
 @query(LONG + """, s AS (SELECT *, abs(x - lag(x) OVER (PARTITION BY label, i ORDER BY vec_id)) AS step FROM l),
-c AS (SELECT label, i, max(x) - min(x) AS r, quantile_cont(step, 0.5) FILTER (step > 0) AS m FROM s GROUP BY 1, 2)
+c AS (SELECT label, i, max(x) - min(x) AS r, quantile_cont(step, 0.5) AS m FROM s GROUP BY 1, 2)
 SELECT label, round(greatest(0.1 * quantile_cont(r, 0.99), quantile_cont(m, 0.5)), 6) AS threshold FROM c GROUP BY 1""")
 def change_threshold(spark, sf_dir):
     d = signals.change_threshold(components(spark, sf_dir), ["label"], "i", ["vec_id"], "x")
@@ -137,7 +137,7 @@ def timebase_check(spark, sf_dir):
 
 
 @query(EVENTS + """, b AS (SELECT user_id, count(*) AS n, min(t) AS a, max(t) AS z, CASE WHEN max(t) > min(t) THEN (count(*) - 1) / (max(t) - min(t)) END AS own FROM ev GROUP BY 1), s AS (SELECT *, CASE user_id % 3 WHEN 0 THEN 30.0 WHEN 1 THEN own * 2 END AS stated FROM b)
-SELECT user_id, round(CASE WHEN own IS NULL OR own / 10 <= stated AND stated <= own * 10 THEN stated ELSE round(own, 3) END, 6) AS rate, round(coalesce(n / own, n / stated), 3) AS seconds, round(z - a + 1 / own, 3) AS captured FROM s""")
+SELECT user_id, round(CASE WHEN own IS NULL OR stated IS NULL OR stated <= 0 OR own / 10 <= stated AND stated <= own * 10 THEN stated ELSE round(own, 3) END, 6) AS rate, round(coalesce(n / own, n / stated), 3) AS seconds, round(z - a + 1 / own, 3) AS captured FROM s""")
 def supported_rate(spark, sf_dir):
     """The stated rate (absent, near or far off), the recording's length and that of its captures."""
     b = seq.clock_report(timed_events(spark, sf_dir), ["user_id"], "t").join(timed_events(spark, sf_dir).groupBy("user_id").agg(F.min("t").alias("a"), F.max("t").alias("z")), "user_id")
@@ -248,21 +248,26 @@ def signal_behaviour(spark, sf_dir):
 
 
 @query(LONG + """, s AS (SELECT label, i, x, abs(x - lag(x) OVER (PARTITION BY label, i ORDER BY vec_id)) AS step FROM l),
-m AS (SELECT label, i, max(x) - min(x) AS r, quantile_cont(step, 0.5) FILTER (step > 0) AS m FROM s GROUP BY 1, 2), z AS (SELECT label, vec_id, sum(greatest(x - 0.1, 0)) AS response, avg(CASE WHEN abs(x) > 0.5 THEN 1.0 ELSE 0.0 END) AS share FROM l GROUP BY 1, 2),
-q AS (SELECT label, quantile_cont(share, 0.5) FILTER (share > 0) AS share, avg(response) AS response FROM z GROUP BY 1)
-SELECT label, round(avg(coalesce(r / m, 0)), 5) AS movements, any_value(share) < 0.5 AS localized, round(any_value(response), 5) AS response FROM m JOIN q USING (label) GROUP BY 1""")
+m AS (SELECT label, i, max(x) - min(x) AS r, quantile_cont(step, 0.5) FILTER (step > 0) AS m FROM s GROUP BY 1, 2), z AS (SELECT label, vec_id, sum(greatest(x - 0.1, 0)) AS response, 0 AS unused FROM l GROUP BY 1, 2),
+qq AS (SELECT label, avg(response) AS response FROM z GROUP BY 1), ev AS (SELECT label, x AS value, vec_id * 64 + i AS event_id, vec_id FROM l)""" + REST.replace("user_id", "label").replace("l AS (SELECT label, lo", "lv AS (SELECT label, lo").replace(", s AS (", ", s2 AS (").replace("s AS (SELECT *, CASE WHEN mid", "s2 AS (SELECT *, CASE WHEN mid").replace("AS side FROM s)", "AS side FROM s2)") + """,
+sw AS (SELECT label, any_value(level) AS level, quantile_cont(abs(value - level), 0.99) AS swing FROM ev JOIN lv USING (label) GROUP BY 1),
+hr AS (SELECT label, any_value(swing) > 0 AND count(*) FILTER (abs(value - level) <= 0.1 * swing) > 0 AND count(*) FILTER (abs(value - level) <= 0.1 * swing) >= 0.02 * count(*) AND count(*) FILTER (abs(value - level) <= 0.02 * swing) >= 0.3 * count(*) FILTER (abs(value - level) <= 0.1 * swing) AS has_rest FROM ev JOIN sw USING (label) GROUP BY 1),
+sh AS (SELECT label, vec_id, avg(CASE WHEN abs(value - level) > 0.1 * swing THEN 1.0 ELSE 0.0 END) AS share FROM ev JOIN sw USING (label) GROUP BY 1, 2), md AS (SELECT label, quantile_cont(share, 0.5) AS middle FROM sh WHERE share > 0 GROUP BY 1)
+SELECT label, round(avg(coalesce(r / m, 0)), 5) AS movements, any_value(has_rest) AND coalesce(any_value(middle) < 0.5, false) AS localized, round(any_value(response), 5) AS response FROM m JOIN qq USING (label) JOIN hr USING (label) LEFT JOIN md USING (label) GROUP BY 1""")
 def recording_activity(spark, sf_dir):
-    """How much the values of a recording move for the size of a move, whether few are active at once,
-    and the mean response above a declared zero."""
+    """How much the values of a recording move for the size of a move, whether it rests and few are
+    active at once, and the mean response above a declared zero."""
     d = components(spark, sf_dir)
     step = F.abs(F.col("x") - F.lag("x").over(Window.partitionBy("label", "i").orderBy("vec_id")))
     per = d.withColumn("step", step).groupBy("label", "i").agg((F.max("x") - F.min("x")).alias("r"), F.percentile(F.when(F.col("step") > 0, F.col("step")), 0.5).alias("m"))
     moved = per.groupBy("label").agg(F.round(F.avg(F.coalesce(F.try_divide("r", "m"), F.lit(0.0))), 5).alias("movements"))
     v = table(spark, sf_dir, "embeddings").select("label", F.transform("embedding", lambda x: x.cast("double")).alias("v"))
-    share = F.size(F.filter("v", lambda x: F.abs(x) > 0.5)) / F.size("v")
     response = F.aggregate("v", F.lit(0.0), lambda s, x: s + F.greatest(x - 0.1, F.lit(0.0)))
-    active = v.select("label", share.alias("share"), response.alias("response")).groupBy("label").agg((F.percentile(F.when(F.col("share") > 0, F.col("share")), 0.5) < 0.5).alias("localized"), F.round(F.avg("response"), 5).alias("response"))
-    return moved.join(active, "label")
+    active = v.select("label", response.alias("response")).groupBy("label").agg(F.round(F.avg("response"), 5).alias("response"))
+    levels = signals.rest(d, ["label"], ["vec_id", "i"], "x")
+    swings = signals.swing(d, ["label"], "x", levels)
+    local = signals.localized(d, ["label"], "vec_id", "x", levels, swings, signals.behaviour(d, ["label"], "x", levels, swings))
+    return moved.join(active, "label").join(local, "label")
 
 
 @query("""SELECT l_orderkey, l_linenumber, isfinite(l_extendedprice) AND l_extendedprice > 0 AND l_extendedprice <> 65535 AS valid, round(1 - (ln(greatest(100, least(50000, l_extendedprice))) - ln(100)) / (ln(50000) - ln(100)), 9) AS place,

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from spanloom.session import new_folder
 from spanloom.sources import files
@@ -29,18 +29,29 @@ def without_repeats(events: DataFrame, ident: str, ts: str, late: str = "1 hour"
     return events.withWatermark(ts, late).dropDuplicatesWithinWatermark([ident])
 
 
-def run_to_end(stream: DataFrame, mode: str = "append") -> DataFrame:
-    """All that is there now, through a file sink or, in complete mode, as a table
-    that each batch replaces; then the result as a batch."""
+def run_to_end(stream: DataFrame, mode: str = "append", keys: list[str] | None = None) -> DataFrame:
+    """All that is there now, through a file sink or, in complete mode, as a table that each
+    batch replaces; then the result as a batch.  In update mode a batch holds only the
+    ``keys`` that have changed: each is kept under its number, and the last row of a key
+    is the result; a batch that is run twice writes the same place."""
     spark = stream.sparkSession
     out, state = new_folder(spark, "stream"), new_folder(spark, "stream-state")
+    if mode == "update" and not keys:
+        raise ValueError("update mode needs the keys of a row")
     writer = stream.writeStream.outputMode(mode).option("checkpointLocation", state).trigger(availableNow=True)
     if mode == "append":
         query = writer.format("parquet").start(out)
+    elif mode == "update":
+        query = writer.foreachBatch(lambda df, k: df.withColumn("_batch", F.lit(k).cast("long")).write.mode("overwrite").parquet(f"{out}/{k:012d}")).start()
     else:
         query = writer.foreachBatch(lambda df, _: df.write.mode("overwrite").parquet(out)).start()
     query.awaitTermination()
-    return spark.read.schema(stream.schema).parquet(out)
+    if mode != "update":
+        return spark.read.schema(stream.schema).parquet(out)
+    rows = spark.read.schema(StructType([*stream.schema.fields, StructField("_batch", LongType())])).option("recursiveFileLookup", True).parquet(out)
+    # A batch may give a key several rows, in no order but that of what they say; the greatest of the last batch stays.
+    last = rows.groupBy(*keys).agg(F.max(F.struct("_batch", *(c for c in stream.columns if c not in keys))).alias("_r"))
+    return last.select(*(F.col(c) if c in keys else F.col("_r").getField(c).alias(c) for c in stream.columns))
 
 
 def upsert(stream: DataFrame, path: str, key: str, version: str, name: str = "stream") -> None:
