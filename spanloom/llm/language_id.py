@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from spanloom.llm.tokens import groups
+from spanloom.llm.words import quoted
 from spanloom.session import stored
 
 SAMPLE_ROWS = 400
@@ -132,11 +133,11 @@ def identify(df: DataFrame, model: tuple[list[str], np.ndarray], text: str = "te
     kept = [c for c in (df.columns if columns is None else columns) if c not in added]
     if not names:
         none = {"language": F.lit(None).cast("string"), "confidence": F.lit(0.0), "text_language": F.lit(None).cast("string"), "accepted": F.lit(False)}
-        return df.select(*kept).withColumns(none)
+        return df.select(*map(quoted, kept)).withColumns(none)
     size = len(names)
     null = F.lit(None).cast("string")
     # The caller's columns travel as one, so that no name can clash.
-    row = F.struct(*(F.col(c) for c in kept)) if kept else F.struct(F.lit(0).alias("none"))
+    row = F.struct(*(F.col(quoted(c)) for c in kept)) if kept else F.struct(F.lit(0).alias("none"))
     base = df.select(row.alias("row"), (null if declared is None else declared).alias("d"), (null if suffix is None else suffix).alias("s"), (null if host is None else host).alias("h"), F.col(text).alias("text"))
     scored = stored(text_posteriors(base, model), "language-posteriors").withColumn("p", softmax(F.slice("t", 1, size)))
     sums = [F.sum(F.when(F.col("n") > 0, F.col("p")[k]).otherwise(0.0)).alias(f"p{k}") for k in range(size)]

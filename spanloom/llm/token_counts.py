@@ -14,9 +14,10 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from spanloom.llm.tokens import Chunks, groups
+from spanloom.llm.words import quoted
 
 
 @lru_cache(maxsize=4)
@@ -54,7 +55,7 @@ def frequent_table(docs: DataFrame, path: str, text: str, entries: int, sample_d
     ``entries`` bounds its size; only speed depends on it."""
     total = docs.count()
     every = max(1, total // sample_docs)
-    some = docs.where(F.pmod(F.xxhash64(text), F.lit(every)) == 0).select(text)
+    some = docs.where(F.pmod(F.xxhash64(quoted(text)), F.lit(every)) == 0).select(F.col(quoted(text)).alias("text"))
 
     def counted(batches):
         found: Counter = Counter()
@@ -98,7 +99,9 @@ def count_tokens(docs: DataFrame, path: str, text: str = "text", limit: int = 40
                 n += [len(pieces(path).encode(t)) if p is None else sum(map(get, p)) for t, p in zip(some, parts)]
             n_bytes = pa.compute.fill_null(pa.compute.binary_length(b.column(len(keep)).cast(pa.binary())), 0).cast(pa.int64())
             tokens = pa.array(n, pa.int64())
-            yield pa.RecordBatch.from_arrays([*b.columns[: len(keep)], n_bytes, tokens, pa.compute.greater(tokens, limit)], [*keep, *out])
+            yield pa.RecordBatch.from_arrays([*b.columns[: len(keep)], n_bytes, tokens, pa.compute.greater(tokens, limit)], [*b.schema.names[: len(keep)], *out])
 
-    schema = ", ".join([*(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep), "n_bytes long, n_tokens long, over_limit boolean"])
-    return docs.select(*keep, text).mapInArrow(count, schema)
+    # Any name is allowed in ``docs``, so its columns go by number.
+    numbered = docs.select(*(F.col(quoted(c)).alias(f"c{k}") for k, c in enumerate(keep)), F.col(quoted(text)).alias("text"))
+    added = [T.StructField("n_bytes", T.LongType()), T.StructField("n_tokens", T.LongType()), T.StructField("over_limit", T.BooleanType())]
+    return numbered.mapInArrow(count, T.StructType([*numbered.schema.fields[:-1], *added])).toDF(*keep, *out)

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from spanloom.llm.words import free
+from spanloom.llm.words import free, quoted
 from spanloom.session import stored
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -121,4 +121,4 @@ def with_scores(base: DataFrame, url: str, scores: DataFrame) -> DataFrame:
     alone = F.concat(F.lit("\0"), F.monotonically_increasing_id().cast("string"))
     met = base.join(F.broadcast(hot), F.col(url) == F.col(hot_url), "left")
     keyed = met.withColumn(key, F.when(F.col(url).isNotNull() & F.col(hot_url).isNull(), F.col(url)).otherwise(alone))
-    return keyed.join(rest, key, "left").withColumn("score", F.coalesce("score", hot_score)).select(*base.columns, "score")
+    return keyed.join(rest, key, "left").withColumn("score", F.coalesce("score", hot_score)).select(*map(quoted, base.columns), "score")

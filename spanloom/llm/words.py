@@ -77,3 +77,8 @@ def free(df, name: str) -> str:
     while name.lower() in held:
         name += "_"
     return name
+
+
+def quoted(name: str) -> str:
+    """A column's name as Spark reads it whatever its signs."""
+    return "`" + name.replace("`", "``") + "`"
