@@ -35,3 +35,50 @@ def round_robin(df: DataFrame, key: str, order: list[Column], name: str = "turn"
 def latest(df: DataFrame, keys: list[str], precedence: list[Column]) -> DataFrame:
     """The one authoritative row of each key."""
     return top_per(df, keys, precedence, 1, "_k").drop("_k")
+
+
+def spread_depth(i: Column, n: Column) -> Column:
+    """How often 0..n-1 is halved until ``i`` is the middle of its part: rows ordered by this
+    and then by ``i`` are spread over the whole however few are taken.  At most 63 halvings."""
+    start = F.struct(F.lit(0).cast("long").alias("lo"), (n - 1).cast("long").alias("hi"), F.lit(0).alias("depth"), F.lit(False).alias("done"))
+
+    def halve(a: Column, _: Column) -> Column:
+        mid = F.floor((a["lo"] + a["hi"]) / 2).cast("long")
+        done = a["done"] | (mid == i)
+        return F.struct(F.when(~done & (i > mid), mid + 1).otherwise(a["lo"]).alias("lo"), F.when(~done & (i < mid), mid - 1).otherwise(a["hi"]).alias("hi"), (a["depth"] + (~done).cast("int")).alias("depth"), done.alias("done"))
+
+    return F.aggregate(F.sequence(F.lit(1), F.ceil(F.log2(n + 1)).cast("int") + 1), start, halve)["depth"]
+
+
+def spread_turns(df: DataFrame, key: str, order: list[str], name: str = "turn") -> DataFrame:
+    """``df`` with turn: the place (from 1) of each row of a key in the order in which rows far
+    apart come first."""
+    w = Window.partitionBy(key).orderBy(*order)
+    d = df.withColumns({"_i": F.row_number().over(w) - 1, "_n": F.count("*").over(Window.partitionBy(key))})
+    d = d.withColumn("_d", spread_depth(F.col("_i"), F.col("_n")))
+    return d.withColumn(name, F.row_number().over(Window.partitionBy(key).orderBy("_d", "_i"))).drop("_i", "_n", "_d")
+
+
+def sampled_to_target(df: DataFrame, key: str, order: list[str], amount: str, target: float, cap: float | None = None) -> DataFrame:
+    """Rows of all keys in turn, those of a key spread over it, until they make up ``target``;
+    a key stops once it has ``cap``.  spent is the sum with each row.
+
+    Only turns are summed over all keys, one row a turn; within a turn rows are summed by key.
+    """
+    d = spread_turns(df, key, order)
+    if cap is not None:
+        own = Window.partitionBy(key).orderBy("turn").rowsBetween(Window.unboundedPreceding, -1)
+        d = d.withColumn("_own", F.coalesce(F.sum(amount).over(own), F.lit(0.0))).where(F.col("_own") < cap).drop("_own")
+    turns = d.groupBy("turn").agg(F.sum(amount).alias("_s"))
+    before = F.coalesce(F.sum("_s").over(Window.orderBy("turn").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
+    turns = turns.select("turn", before.alias("_before"))
+    d = d.join(turns, "turn").withColumn("spent", F.col("_before") + F.sum(amount).over(Window.partitionBy("turn").orderBy(key).rowsBetween(Window.unboundedPreceding, 0)))
+    return d.where(F.col("spent") - F.col(amount) < target).drop("_before")
+
+
+def sampled_packs(df: DataFrame, key: str, pack: list[str], amount: str, target: float) -> DataFrame:
+    """Rows of whole packs: packs of all keys in turn, those of a key spread over it, until
+    their rows make up ``target``."""
+    packs = df.groupBy(key, *pack).agg(F.sum(amount).alias("_a"))
+    chosen = sampled_to_target(packs, key, pack, "_a", target).select(key, *pack, "turn")
+    return df.join(chosen, [key, *pack])

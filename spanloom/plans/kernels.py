@@ -7,8 +7,10 @@ from pyspark.sql import Window, functions as F
 
 from spanloom.functions import assertions
 from spanloom.functions.numbers import DIGITS
-from spanloom.operators import documents, readout, seams, tracks
+from spanloom.operators import documents, readout, sampling, seams, tracks
 from spanloom.plans.registry import EVENTS, query, table, timed_events
+from spanloom.session import new_folder
+from spanloom.sources import index
 
 DAY = 86400.0
 
@@ -138,3 +140,62 @@ def withheld_values(spark, sf_dir):
     d = nested_orders(spark, sf_dir).select("o_orderkey", "o")
     kept = documents.rewritten_rows(d, lambda path, name: name == "token" or path == "o.lines[].part.key", lambda path, v: F.when(v == "R", documents.WITHHELD).otherwise(v))
     return kept.select("o_orderkey", F.col("o.customer.key").alias("customer"), F.array_join(F.transform("o.lines", lambda x: x["part"]["flag"]), ",").alias("flags"))
+
+
+def written_frames(spark, sf_dir):
+    """Events as frames of recordings in files of many users each."""
+    frame = F.row_number().over(Window.partitionBy("user_id").orderBy("event_id")) - 1
+    path = new_folder(spark, "frames")
+    d = table(spark, sf_dir, "events").select("user_id", frame.alias("frame"), "event_id", "value", "props")
+    d.repartitionByRange("user_id").sortWithinPartitions("user_id", "frame").write.parquet(path)
+    return path, index.recording_index(spark.read.parquet(path), "user_id", "frame")
+
+
+@query("SELECT user_id, count(*) AS n, CAST(NULL AS VARCHAR) AS problem FROM events GROUP BY 1")
+def recording_index(spark, sf_dir):
+    """Recordings as an index of their files tells them, with what is wrong with their frames."""
+    return index.recordings(written_frames(spark, sf_dir)[1], "user_id").select("user_id", "n", "problem")
+
+
+@query("SELECT user_id, event_id, round(value, 6) AS value FROM events WHERE user_id IN (SELECT user_id FROM events GROUP BY 1 HAVING max(value) > (SELECT 0.9 * max(value) FROM events))")
+def recordings_asked_for(spark, sf_dir):
+    """The frames of the users with a value near the greatest, read from their files alone."""
+    path, ix = written_frames(spark, sf_dir)
+    e = table(spark, sf_dir, "events")
+    most = e.agg((F.max("value") * 0.9).alias("most"))
+    asked = e.groupBy("user_id").agg(F.max("value").alias("v")).join(F.broadcast(most), F.col("v") > F.col("most")).select("user_id")
+    return index.read_recordings(spark, path, ix, "user_id", asked, ["user_id", "event_id", "value"]).withColumn("value", F.round("value", 6))
+
+
+@query("""SELECT l_partkey AS code, CASE WHEN count(DISTINCT l_returnflag) = 1 THEN min(l_returnflag) END AS label, CASE WHEN count(DISTINCT l_returnflag) > 1 THEN 'conflicting rows' END AS why, count(*) AS rows FROM lineitem GROUP BY 1""")
+def table_labels(spark, sf_dir):
+    """What lines say of each part as a recorded code: one label where all agree."""
+    return index.table_labels(table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("code"), "l_returnflag"), "code", ["l_returnflag"])
+
+
+WORDS = "WITH w AS (SELECT DISTINCT lower(w) AS r FROM (SELECT unnest(regexp_extract_all(text, '\\p{L}+')) AS w FROM conversations) WHERE length(w) >= 5)"
+
+
+@query(WORDS + """, k AS (SELECT r, unnest(range(1, length(r))) AS k FROM w), s AS (SELECT DISTINCT substr(r, 1, k - 1) || substr(r, k + 1, 1) || substr(r, k, 1) || substr(r, k + 2) AS wrong FROM k), x AS (SELECT wrong FROM s ANTI JOIN w ON wrong = r),
+p AS (SELECT doc_id, unnest(regexp_extract_all(text, '\\p{L}+')) AS p FROM documents) SELECT doc_id, count(*) AS swaps FROM p JOIN x ON lower(p) = wrong WHERE length(p) >= 4 GROUP BY 1""")
+def swapped_words(spark, sf_dir):
+    """Documents with words that two swapped letters keep from being words of the conversations."""
+    words = table(spark, sf_dir, "conversations").select(F.explode(F.regexp_extract_all("text", F.lit("\\p{L}+"), F.lit(0))).alias("w")).where(F.length("w") >= 5)
+    d = index.spelled(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id", "text", words, "w")
+    return d.where("swaps > 0").select("doc_id", "swaps")
+
+
+@query(EVENTS.replace("WITH ev", "WITH RECURSIVE ev") + """, n AS (SELECT user_id, count(*) AS n FROM ev GROUP BY 1), h(user_id, lo, hi, depth) AS (SELECT user_id, 0, n - 1, 1 FROM n UNION ALL SELECT user_id, CASE WHEN side = 0 THEN lo ELSE (lo + hi) // 2 + 1 END, CASE WHEN side = 0 THEN (lo + hi) // 2 - 1 ELSE hi END, depth + 1 FROM h, (VALUES (0), (1)) v(side) WHERE CASE WHEN side = 0 THEN lo <= (lo + hi) // 2 - 1 ELSE (lo + hi) // 2 + 1 <= hi END),
+k AS (SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS i FROM ev)
+SELECT k.user_id, event_id, CAST(row_number() OVER (PARTITION BY k.user_id ORDER BY depth, i) AS INTEGER) AS turn FROM k JOIN h ON k.user_id = h.user_id AND i = (lo + hi) // 2""")
+def spread_turns(spark, sf_dir):
+    """Each user's events in the order in which those far apart come first."""
+    return sampling.spread_turns(table(spark, sf_dir, "events").select("user_id", "event_id"), "user_id", ["event_id"])
+
+
+@query()
+def spread_sample(spark, sf_dir):
+    """Orders of all customers in turn, spread over each one's, until they make up a tenth of the whole price."""
+    o = table(spark, sf_dir, "orders")
+    target = (o.agg(F.sum("o_totalprice")).first()[0] or 0.0) / 10
+    return sampling.sampled_to_target(o, "o_custkey", ["o_orderkey"], "o_totalprice", target).select("o_orderkey", "turn")
