@@ -45,9 +45,11 @@ def set_groups(df: DataFrame, item: str, tokens: str, threshold: float) -> DataF
 def like_names(names: DataFrame, name: str, used: str, grams: str, words: str, k: int = 8) -> DataFrame:
     """For each name its k most alike names (Jaccard of trigram sets) among more
     used ones that share a word; ties to the more used, then by name."""
-    one = names.select(F.col(name).alias("a"), F.col(used).alias("ua"), F.col(grams).alias("ga"), F.explode(words).alias("w"))
-    two = names.select(F.col(name).alias("b"), F.col(used).alias("ub"), F.col(grams).alias("gb"), F.explode(words).alias("w"))
-    met = one.join(two, "w").where("ub > ua and a <> b").drop("w").dropDuplicates(["a", "b"])
+    # Pairs are found by words and use alone; the trigrams of each side join them afterwards.
+    one = names.select(F.col(name).alias("a"), F.col(used).alias("ua"), F.explode(words).alias("w"))
+    two = names.select(F.col(name).alias("b"), F.col(used).alias("ub"), F.explode(words).alias("w"))
+    pairs = one.join(two, "w").where("ub > ua and a <> b").select("a", "b", "ub").distinct()
+    met = pairs.join(names.select(F.col(name).alias("a"), F.col(grams).alias("ga")), "a").join(names.select(F.col(name).alias("b"), F.col(grams).alias("gb")), "b")
     i = F.size(F.array_intersect("ga", "gb"))
     scored = met.withColumn("jaccard", i / (F.size("ga") + F.size("gb") - i))
     rank = Window.partitionBy("a").orderBy(F.desc("jaccard"), F.desc("ub"), "b")

@@ -157,12 +157,11 @@ def stamped_changes(spark, sf_dir):
     return now.join(o.select(digest(F.col("o_orderstatus")).alias("digest")), "digest", "left_anti").select("o_orderkey", "digest")
 
 
-@query("""WITH f AS (SELECT event_id, event_type, array_to_string(list_sort(json_keys(props)), ',') || ':' || json_type(props) AS descriptor FROM events)
+@query("""WITH f AS (SELECT event_id, event_type, 'OBJECT<' || array_to_string(list_transform(list_sort(json_keys(props)), lambda k: k || ': ' || CASE json_type(props, '$.' || k) WHEN 'UBIGINT' THEN 'BIGINT' WHEN 'VARCHAR' THEN 'STRING' ELSE json_type(props, '$.' || k) END), ', ') || '>' AS descriptor FROM events)
 SELECT sha256(descriptor) AS descriptor, count(*) AS n, min(event_id) AS first, count(DISTINCT event_type) AS kinds FROM f GROUP BY 1""")
 def field_inventory(spark, sf_dir):
-    """Fields of nested records, grouped by a digest of what they declare."""
-    keys = F.array_join(F.array_sort(F.json_object_keys("props")), ",")
-    d = table(spark, sf_dir, "events").withColumn("descriptor", F.sha2(F.concat(keys, F.lit(":OBJECT")), 256))
+    """Fields of nested records, grouped by a digest of their names and types."""
+    d = table(spark, sf_dir, "events").withColumn("descriptor", F.sha2(F.schema_of_variant(F.parse_json("props")), 256))
     return d.groupBy("descriptor").agg(F.count("*").alias("n"), F.min("event_id").alias("first"), F.countDistinct("event_type").alias("kinds"))
 
 

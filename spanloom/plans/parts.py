@@ -6,6 +6,7 @@ from pyspark.sql import Window, functions as F
 
 from spanloom.functions import text as tx
 from spanloom.operators import intervals, parts
+from spanloom.session import stored
 from spanloom.plans.registry import EVENTS, query, table, timed_events
 
 PART, OVERLAP = 432000.0, 43200.0
@@ -80,19 +81,28 @@ def subgoal_stretches(spark, sf_dir):
 m AS (SELECT a.p_partkey, b.p_retailprice FROM p a JOIN p b ON a.p_brand = b.p_brand AND a.p_partkey <> b.p_partkey WHERE len(list_intersect(a.w, b.w)) >= 0.3 * (len(a.w) + len(b.w) - len(list_intersect(a.w, b.w))))
 SELECT p_partkey, count(*) AS peers, round(quantile_cont(p_retailprice, 0.5), 4) AS peer_median FROM m GROUP BY 1""")
 def similar_pools(spark, sf_dir):
-    """Of each part the others of its brand with a like name, and their median price.  Names of one
-    word set stand together, so a common name isn't paired with itself row by row."""
-    p = table(spark, sf_dir, "part").withColumn("w", F.array_sort(F.array_distinct(F.split("p_name", " "))))
-    prices = p.groupBy("p_brand", "w").agg(F.sort_array(F.collect_list(F.struct("p_retailprice", "p_partkey"))).alias("own"))
-    one = prices.select("p_brand", F.col("w").alias("a"), F.explode("w").alias("x"))
-    two = prices.select("p_brand", F.col("w").alias("b"), F.explode("w").alias("x"))
+    """Of each part the others of its brand with a like name, and their median price.
+
+    Names of one word set stand together, so pairs are of names and not of parts.  A
+    pool's prices are ranked as rows; a part's own rank says which of the pool's middle
+    prices are the middle of the others.
+    """
+    p = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_retailprice", F.array_sort(F.array_distinct(F.split("p_name", " "))).alias("w"))
+    names = p.select("p_brand", "w").distinct()
+    one = names.select("p_brand", F.col("w").alias("a"), F.explode("w").alias("x"))
+    two = names.select("p_brand", F.col("w").alias("b"), F.explode("w").alias("x"))
     met = one.join(two, ["p_brand", "x"]).groupBy("p_brand", "a", "b").agg(F.count("*").alias("i"))
     like = met.where(F.col("i") >= 0.3 * (F.size("a") + F.size("b") - F.col("i"))).select("p_brand", "a", "b")
-    pools = like.join(prices.select("p_brand", F.col("w").alias("b"), "own"), ["p_brand", "b"]).groupBy("p_brand", "a").agg(F.flatten(F.collect_list("own")).alias("pool"))
-    out = p.join(pools, (p["p_brand"] == pools["p_brand"]) & (p["w"] == pools["a"])).select("p_partkey", F.array_sort(F.transform(F.filter("pool", lambda r: r["p_partkey"] != F.col("p_partkey")), lambda r: r["p_retailprice"])).alias("others"))
-    n = F.size("others")
-    median = (F.element_at("others", F.floor((n + 1) / 2).cast("int")) + F.element_at("others", F.floor(n / 2 + 1).cast("int"))) / 2
-    return out.where(n > 0).select("p_partkey", n.cast("long").alias("peers"), F.round(median, 4).alias("peer_median"))
+    pool = like.join(p.withColumnRenamed("w", "b"), ["p_brand", "b"])
+    whole = Window.partitionBy("p_brand", "a")
+    pool = stored(pool.withColumns({"r": F.row_number().over(whole.orderBy("p_retailprice", "p_partkey")), "n": F.count("*").over(whole)}).select("p_brand", "a", (F.col("a") == F.col("b")).alias("own"), "p_partkey", "p_retailprice", "r", "n"), "pools")
+    # Of n - 1 others the middle ones are lo and hi; a part at or before them moves them on by one.
+    lo, hi = F.floor(F.col("n") / 2), F.floor((F.col("n") - 1) / 2) + 1
+    at = lambda k: F.max(F.when(F.col("r") == k, F.col("p_retailprice")))
+    middle = pool.where("n > 1").groupBy("p_brand", "a", "n").agg(at(lo).alias("l0"), at(lo + 1).alias("l1"), at(hi).alias("h0"), at(hi + 1).alias("h1")).drop("n")
+    d = pool.where("own").join(middle, ["p_brand", "a"])
+    median = (F.when(F.col("r") <= lo, F.col("l1")).otherwise(F.col("l0")) + F.when(F.col("r") <= hi, F.col("h1")).otherwise(F.col("h0"))) / 2
+    return d.select("p_partkey", (F.col("n") - 1).alias("peers"), F.round(median, 4).alias("peer_median"))
 
 
 @query("""SELECT l_orderkey, CASE WHEN count(DISTINCT l_returnflag) = 1 THEN min(l_returnflag) END AS l_returnflag, count(DISTINCT l_returnflag) AS claims FROM lineitem GROUP BY 1""")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Window, functions as F
 
-from spanloom.operators import sampling
+from spanloom.operators import places, sampling
 from spanloom.plans.registry import query, table
 
 
@@ -169,10 +169,18 @@ def distinct_rows(spark, sf_dir):
 @query("""WITH s AS (SELECT l_suppkey, sum(l_extendedprice * (1 - l_discount)) AS revenue FROM lineitem GROUP BY 1)
 SELECT l_suppkey, round(revenue, 2) AS revenue, CAST(ntile(10) OVER (ORDER BY revenue DESC, l_suppkey) AS INTEGER) AS decile, round(revenue / sum(revenue) OVER (), 9) AS share FROM s""")
 def revenue_deciles(spark, sf_dir):
-    """Shares and deciles of suppliers; one row a supplier is all that one task orders."""
+    """Shares and deciles of suppliers by their places in a table cut into ranges."""
     s = table(spark, sf_dir, "lineitem").groupBy("l_suppkey").agg(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("revenue"))
-    w = Window.orderBy(F.desc("revenue"), "l_suppkey")
-    return s.select("l_suppkey", F.round("revenue", 2).alias("revenue"), F.ntile(10).over(w).alias("decile"), F.round(F.col("revenue") / F.sum("revenue").over(Window.partitionBy()), 9).alias("share"))
+    d = places.placed(s, [F.desc("revenue"), F.col("l_suppkey")])
+    whole = F.broadcast(d.agg(F.count("*").alias("n"), F.sum("revenue").alias("all")))
+    return d.join(whole).select("l_suppkey", F.round("revenue", 2).alias("revenue"), places.tile(F.col("place"), F.col("n"), 10).alias("decile"), F.round(F.col("revenue") / F.col("all"), 9).alias("share"))
+
+
+@query("SELECT o_orderkey, row_number() OVER (ORDER BY o_orderdate, o_orderkey) - 1 AS place, round(sum(o_totalprice) OVER (ORDER BY o_orderdate, o_orderkey), 2) AS so_far FROM orders")
+def running_revenue(spark, sf_dir):
+    """Every order's place in time and the revenue up to it, over the whole table."""
+    d = places.placed(table(spark, sf_dir, "orders"), ["o_orderdate", "o_orderkey"], {"so_far": "o_totalprice"})
+    return d.select("o_orderkey", "place", F.round("so_far", 2).alias("so_far"))
 
 
 @query("""WITH RECURSIVE c(k, depth) AS (SELECT r_regionkey, 0 FROM region WHERE r_regionkey = 0 UNION ALL SELECT k + 1, depth + 1 FROM c WHERE k < 4) SELECT CAST(k AS BIGINT) AS k, CAST(depth AS BIGINT) AS depth, r_name FROM c JOIN region ON k = r_regionkey""")

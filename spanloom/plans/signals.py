@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Window, functions as F
 
-from spanloom.operators import sequences as seq, signals
+from spanloom.operators import places, sequences as seq, signals
 from spanloom.plans.registry import EVENTS, query, table, timed_events
 
 REST = """, q AS (SELECT user_id, quantile_cont(value, 0.01) AS lo, quantile_cont(value, 0.5) AS mid, quantile_cont(value, 0.99) AS hi, count(*) AS n FROM ev GROUP BY 1),
@@ -127,9 +127,10 @@ j AS (SELECT user_id, avg(CASE WHEN step / ((a + b) / 2) >= 1.5 THEN 1.0 ELSE 0.
 nb AS (SELECT user_id, quantile_cont(peak, 0.5) OVER (ORDER BY user_id ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING) AS neighbours FROM pk)
 SELECT pk.user_id, round(peak / 30, 6) AS lag_s, round(skipped, 6) AS skipped, round(repeated, 6) AS repeated, coalesce(skipped + repeated >= 0.02 AND peak / 30 <= 3.4 / 30 AND neighbours / 30 <= 3.4 / 30, false) AS sped_up FROM pk JOIN nb USING (user_id) LEFT JOIN j USING (user_id)""")
 def timebase_check(spark, sf_dir):
-    """Lag, faulty steps and neighbours' lags together; one row a recording is what one task orders."""
-    lags = follower(spark, sf_dir).withColumn("task", F.lit(1))
-    lags = seq.rolling_median(lags, ["task"], ["user_id"], "peak", 3, "neighbours")
+    """Lag, faulty steps and neighbours' lags together; recordings are ordered in ranges, and
+    neighbours looked up in chunks that overlap."""
+    lags = places.in_chunks(places.placed(follower(spark, sf_dir), ["user_id"]), 1024, 3)
+    lags = seq.rolling_median(lags, ["chunk"], ["user_id"], "peak", 3, "neighbours").where("inner")
     j = seq.jitter(timed_events(spark, sf_dir), ["user_id"], ["event_id"], "value", 1.0)
     d = lags.join(j, "user_id", "left")
     rule = signals.sped_up(F.col("peak") / 30, F.col("skipped"), F.col("repeated"), F.col("neighbours") / 30)

@@ -108,8 +108,9 @@ def generation(path: str) -> tuple[int, str] | None:
 
 def publish(df: DataFrame, path: str) -> None:
     """Write ``df`` as a new generation of the table at ``path`` and then one small file that
-    points to it.  Readers (``published``) see one generation whole, never none; of two
-    writers at once one wins, and neither harms the other's files."""
+    points to it.  Readers (``published``) see one generation whole, never none.  Of two
+    writers that start from one generation at most one succeeds: who finds another's
+    pointer of the same number beside its own takes its own back and raises."""
     now = generation(path)
     number, own = (now[0] + 1 if now else 0), uuid.uuid4().hex
     name = f"generation-{number:08d}-{own}"
@@ -118,6 +119,10 @@ def publish(df: DataFrame, path: str) -> None:
     with store.open_output_stream(f"{at}/.{own}") as f:
         f.write(name.encode())
     store.move(f"{at}/.{own}", f"{at}/pointer-{number:08d}-{own}")
+    found = store.get_file_info(fs.FileSelector(at))
+    if any(f.base_name.startswith(f"pointer-{number:08d}-") and not f.base_name.endswith(own) for f in found):
+        store.delete_file(f"{at}/pointer-{number:08d}-{own}")
+        raise RuntimeError(f"another writer has published generation {number} of {path}")
 
 
 def published(spark: SparkSession, path: str) -> DataFrame | None:

@@ -93,3 +93,37 @@ def test_running_totals_over_several_files(spark):
     assert got == {u: (20, 40.0) if u == 999 else (5, 10.0) for _, u, _ in rows}
     with pytest.raises(ValueError):
         streams.run_to_end(stream, "update")
+
+
+def test_places_and_sums_over_ranges(spark):
+    from spanloom.operators import places
+
+    draw = np.random.default_rng(3)
+    rows = [(k, int(draw.integers(0, 50)), None if k % 11 == 0 else float(draw.integers(0, 9))) for k in range(3000)]
+    df = spark.createDataFrame(rows, "k int, g int, v double").repartition(7)
+    got = {r.k: (r.place, r.so_far) for r in places.placed(df, [F.desc("g"), F.col("k")], {"so_far": "v"}).collect()}
+    want, total = {}, 0.0
+    for place, (k, _, v) in enumerate(sorted(rows, key=lambda r: (-r[1], r[0]))):
+        total += v or 0
+        want[k] = (place, total)
+    assert got == want and places.placed(df.limit(0), ["k"]).count() == 0
+    n = spark.range(23).withColumn("n", F.lit(23))
+    assert [r[0] for r in n.select(places.tile(F.col("id"), F.col("n"), 10)).collect()] == [t for t, c in enumerate([3, 3, 3, *[2] * 7], 1) for _ in range(c)]
+    chunks = places.in_chunks(spark.range(10).withColumnRenamed("id", "place"), 4, 1).collect()
+    assert sorted((r.chunk, r.place) for r in chunks if not r.inner) == [(0, 4), (1, 3), (1, 8), (2, 7)] and sum(r.inner for r in chunks) == 10
+
+
+def test_the_second_writer_of_a_generation_fails(spark, monkeypatch):
+    from spanloom.sources import files
+
+    path = new_folder(spark, "published")
+    files.publish(spark.range(3), path)
+    before = files.generation(path)
+    files.publish(spark.range(5), path)
+    monkeypatch.setattr(files, "generation", lambda _: before)
+    with pytest.raises(RuntimeError):
+        files.publish(spark.range(7), path)
+    monkeypatch.undo()
+    assert files.published(spark, path).count() == 5
+    files.publish(spark.range(9), path)
+    assert files.published(spark, path).count() == 9
