@@ -22,7 +22,7 @@ FIRST = 16
 #: At most as many blocks of queries are broadcast by their numbers (20 bytes each).
 NUMBERS = 1_000_000
 EXACT = 2.0**53
-PACKED = "block long, dim int, most double, n int, ids binary, rows binary"
+PACKED = "block long, dim int, most double, n int, ids binary, rows binary, asks binary"
 
 
 def integers(vector: Column) -> Column:
@@ -105,7 +105,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, vec_id: str = "vec_
     """
     spark = vectors.sparkSession
     rows = vectors.select(F.col(vec_id).cast("long").alias("vec_id"), integers(F.col(embedding)).alias("v")).where("vec_id is not null and v is not null")
-    rows = rows.withColumns({"dim": F.size("v"), "norm": F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))})
+    rows = rows.withColumns({"asks": F.coalesce(is_query, F.lit(False)), "dim": F.size("v"), "norm": F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))})
 
     def pack(batches):
         part, count, held = TaskContext.get().partitionId(), 0, []
@@ -113,9 +113,9 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, vec_id: str = "vec_
         def block():
             nonlocal count, held
             dim = held[0][2]
-            out = {"block": part << 32 | count, "dim": dim, "most": held[0][3], "n": len(held), "ids": np.array([h[0] for h in held], np.int64).tobytes(), "rows": np.array([h[1] for h in held], np.int64).reshape(-1, dim).tobytes()}
+            out = {"block": part << 32 | count, "dim": dim, "most": held[0][3], "n": len(held), "ids": np.array([h[0] for h in held], np.int64).tobytes(), "rows": np.array([h[1] for h in held], np.int64).reshape(-1, dim).tobytes(), "asks": np.array([h[4] for h in held]).tobytes()}
             count, held = count + 1, []
-            return pa.RecordBatch.from_pylist([out], pa.schema([("block", pa.int64()), ("dim", pa.int32()), ("most", pa.float64()), ("n", pa.int32()), ("ids", pa.binary()), ("rows", pa.binary())]))
+            return pa.RecordBatch.from_pylist([out], pa.schema([("block", pa.int64()), ("dim", pa.int32()), ("most", pa.float64()), ("n", pa.int32()), ("ids", pa.binary()), ("rows", pa.binary()), ("asks", pa.binary())]))
 
         for b in batches:
             for row in zip(*(c.to_pylist() for c in b.columns)):
@@ -127,7 +127,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, vec_id: str = "vec_
 
     # Equal lengths are dealt by id, so a vector that fills a third of the rows spreads.
     ordered = rows.repartitionByRange("dim", F.desc("norm"), "vec_id").sortWithinPartitions("dim", F.desc("norm"), "vec_id")
-    blocks = stored(ordered.select("vec_id", "v", "dim", "norm").mapInArrow(pack, PACKED), "vectors")
+    blocks = stored(ordered.select("vec_id", "v", "dim", "norm", "asks").mapInArrow(pack, PACKED), "vectors")
     sizes = blocks.groupBy("dim").agg(F.sum("n").alias("n"), F.count("*").alias("b")).collect()
     turns, heads = {}, {}
     for dim, in {(s["dim"],) for s in sizes}:
@@ -139,15 +139,17 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, vec_id: str = "vec_
     turns, heads = spark.sparkContext.broadcast(turns), spark.sparkContext.broadcast(heads)
 
     def queries(batches):
-        """The rows of blocks; ``at``, the block's number and the place in it, tells rows apart."""
+        """The rows of blocks that ask; ``at``, the block's number and the place in it, tells rows apart."""
         for b in batches:
-            for block, dim, ids, data in zip(*(c.to_pylist() for c in b.columns)):
+            for block, dim, ids, data, asks in zip(*(c.to_pylist() for c in b.columns)):
                 own, m = unpack(dim, ids, data)
-                yield pa.RecordBatch.from_arrays([pa.array(own), pa.array([dim] * len(own), pa.int32()), pa.array(block * BLOCK + np.arange(len(own))), pa.array([r.tobytes() for r in m], pa.binary())], ["vec_id", "dim", "at", "row"])
+                k = np.flatnonzero(np.frombuffer(asks, bool))
+                if len(k):
+                    yield pa.RecordBatch.from_arrays([pa.array(own[k]), pa.array([dim] * len(k), pa.int32()), pa.array(block * BLOCK + k), pa.array([r.tobytes() for r in m[k]], pa.binary())], ["vec_id", "dim", "at", "row"])
 
     # A first pass finds each query's bound among the longest vectors; queries of like
     # reach (the length that a vector must have to matter) then share a block.
-    asked = blocks.select("block", "dim", "ids", "rows").mapInArrow(queries, "vec_id long, dim int, at long, row binary").where(is_query)
+    asked = blocks.select("block", "dim", "ids", "rows", "asks").mapInArrow(queries, "vec_id long, dim int, at long, row binary")
 
     def bounded(batches):
         for b in batches:
