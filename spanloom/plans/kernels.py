@@ -7,7 +7,7 @@ from pyspark.sql import Window, functions as F
 
 from spanloom.functions import assertions
 from spanloom.functions.numbers import DIGITS
-from spanloom.operators import documents, readout, sampling, seams, tracks
+from spanloom.operators import clocks, documents, exports, readout, sampling, seams, tracks
 from spanloom.plans.registry import EVENTS, query, table, timed_events
 from spanloom.session import new_folder
 from spanloom.sources import index
@@ -199,3 +199,36 @@ def spread_sample(spark, sf_dir):
     o = table(spark, sf_dir, "orders")
     target = (o.agg(F.sum("o_totalprice")).first()[0] or 0.0) / 10
     return sampling.sampled_to_target(o, "o_custkey", ["o_orderkey"], "o_totalprice", target).select("o_orderkey", "turn")
+
+
+@query("""WITH e AS (SELECT label, vec_id, row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1 AS j, CAST(embedding[1] AS DOUBLE) AS x FROM embeddings), s AS (SELECT label, j, x, sum(x) OVER (PARTITION BY label ORDER BY j) AS c, count(*) OVER (PARTITION BY label) AS n FROM e),
+a AS (SELECT label, j AS frame, least(greatest((j * 7) // 10 - 1, 0), n) AS pl, n FROM s), m AS (SELECT a.label, frame, pl, coalesce(c, 0) AS c FROM a LEFT JOIN s ON a.label = s.label AND s.j = pl - 1),
+d AS (SELECT label, frame, pl, c, lead(pl) OVER w AS na, lead(c) OVER w AS nc FROM m WINDOW w AS (PARTITION BY label ORDER BY frame)) SELECT label, frame, round(CASE WHEN na > pl THEN nc - c END, 6) AS change FROM d WHERE na IS NOT NULL""")
+def changes_on_anchor(spark, sf_dir):
+    """A component's steps summed between the frames that a slower anchor shows."""
+    d = frames(spark, sf_dir)
+    own = d.select("label", F.col("frame").alias("j"), F.col("embedding")[0].cast("double").alias("x"))
+    anchor = d.select("label", "frame", (F.floor(F.col("frame") * 7 / 10) - 1).alias("shown"))
+    return clocks.onto_anchor(anchor, own, ["label"], "frame", "shown", "j", "x").withColumn("change", F.round("change", 6))
+
+
+@query(EVENTS + """, p AS (SELECT user_id, t, value AS ml, lag(value) OVER w AS mr, value * 2 + CASE WHEN event_type = 'view' THEN 30 ELSE 0 END AS vr, lag(value) OVER w + 1 AS vl FROM ev WINDOW w AS (PARTITION BY user_id ORDER BY event_id)),
+c AS (SELECT user_id, corr(ml, vl) AS ll, corr(mr, vr) AS rr, corr(ml, vr) AS lr, corr(mr, vl) AS rl FROM p WHERE vl IS NOT NULL GROUP BY 1), f AS (SELECT user_id, corr(ml, vr) AS lr FROM p GROUP BY 1)
+SELECT user_id, round(ll, 6) AS left_left, round(f.lr, 6) AS left_right, least(f.lr, rl) > greatest(ll, rr) AS crossed FROM c JOIN f USING (user_id)""")
+def crossed_streams(spark, sf_dir):
+    """Whether two made streams of each user follow each other's actor: here they do."""
+    w = Window.partitionBy("user_id").orderBy("event_id")
+    d = timed_events(spark, sf_dir).withColumns({"ml": F.col("value"), "mr": F.lag("value").over(w), "vr": F.col("value") * 2 + F.when(F.col("event_type") == "view", 30).otherwise(0)}).withColumn("vl", F.col("mr") + 1)
+    r = clocks.crossed(d, ["user_id"], ("ml", "mr"), ("vl", "vr"))
+    return r.select("user_id", F.round("left_left", 6).alias("left_left"), F.round("left_right", 6).alias("left_right"), "crossed")
+
+
+@query("""WITH o AS (SELECT o_custkey, o_orderkey, epoch(o_orderdate) / 86400 AS d FROM orders), f AS (SELECT DISTINCT o_custkey, d FROM o WHERE o_orderkey % 2 = 0), i AS (SELECT o_custkey, o_orderkey, d AS t FROM o WHERE o_orderkey % 2 = 1),
+e AS (SELECT o_custkey, min(d) AS lo, max(d) AS hi FROM f GROUP BY 1), n AS (SELECT o_orderkey, arg_min(f.d, (abs(f.d - t), f.d)) AS pl, min(abs(f.d - t)) AS off FROM i JOIN f USING (o_custkey) GROUP BY 1)
+SELECT i.o_orderkey, CASE WHEN pl IS NULL THEN 'refused' WHEN off <= 30 THEN 'placed' WHEN t BETWEEN lo AND hi THEN 'far' ELSE 'refused' END AS fate, CAST(CASE WHEN off <= 30 OR t BETWEEN lo AND hi THEN pl END AS BIGINT) AS day FROM i LEFT JOIN n USING (o_orderkey) LEFT JOIN e USING (o_custkey)""")
+def labels_on_frames(spark, sf_dir):
+    """Odd orders placed on the days of the customer's even ones, a month off at most."""
+    o = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", (F.unix_micros(F.col("o_orderdate").cast("timestamp")) / 86400e6).alias("t"))
+    days = o.where("o_orderkey % 2 = 0").select("o_custkey", F.col("t").alias("ts")).distinct()
+    d = exports.snapped(o.where("o_orderkey % 2 = 1"), days, ["o_custkey"], "t", "ts", 30.0)
+    return d.select("o_orderkey", "fate", F.col("at").cast("long").alias("day"))
