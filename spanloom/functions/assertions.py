@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -58,6 +59,7 @@ FILLING = EXISTENCE | MATTERS | AUXILIARY | words("at all really here either so
 PREFIXES = ("non-", "non", "un")
 RETURNS = {"back": words("turn turns turned put puts move moves moved bring brings brought come comes came set sets go goes went gone get gets got rotate rotates rotated swing swings swung placed returned"), "away": words("go goes went gone")}
 
+FIRSTS = frozenset(a for a, _ in PAIRS)
 LINKS, STOPS = words("is are was were 's it's that's"), frozenset(".!;\n?|")
 NEGATIVE = NEGATED | DETERMINER | AFTER | NO | {"0"}
 
@@ -70,6 +72,13 @@ def negative(w: str) -> bool:
     return w in NEGATIVE or w.endswith("n't")
 
 
+@lru_cache(maxsize=1 << 16)
+def plain(w: str) -> bool:
+    """Whether no sign of denial begins with a word."""
+    sign = w in DETERMINER or w in AFTER or w in WITHDRAW or w in WITHDRAWN or w in SEARCH or w in FIRSTS or negated(w) or w.endswith("-free")
+    return not (sign or any(w.startswith(p) and len(w) > len(p) + 3 for p in PREFIXES))
+
+
 class Reading:
     """A text's words, their places and which of them are denied."""
 
@@ -255,13 +264,17 @@ class Reading:
 
     def clause(self, a: int, b: int) -> None:
         some = self.w[a:b]
-        if some[0] in SUPPOSED or any(w in NAMING for w in some) and any(w in WRONG for w in some):
+        if some[0] in SUPPOSED or not NAMING.isdisjoint(some) and not WRONG.isdisjoint(some):
             self.deny(a, b)
             return
         # Subjects are not sought further back than the last sign, so that no word is walked over twice.
         i, floor, cancelled = a, a, -1
         while i < b:
-            w, then = self.w[i], self.w[i + 1] if i + 1 < b else ""
+            w = self.w[i]
+            if plain(w):
+                i += 1
+                continue
+            then = self.w[i + 1] if i + 1 < b else ""
             for p in PREFIXES:
                 if w.startswith(p) and len(w) > len(p) + 3:
                     self.partly.append((self.at[i][0] + len(p), self.at[i][1]))

@@ -117,7 +117,7 @@ def nested_orders(spark, sf_dir):
 
 
 @query("""WITH b AS (SELECT * FROM orders JOIN lineitem ON o_orderkey = l_orderkey), o AS (SELECT o_orderkey, any_value(o_custkey) AS c, count(*) AS n FROM b GROUP BY 1), m AS (SELECT max(n) - 1 AS place, count(*) AS n, count(*) FILTER (c % 2 = 0) AS even FROM o), l AS (SELECT count(*) AS n FROM b)
-SELECT 'key' AS field, 'integer' AS kinds, n, 0 AS nulls, 1 AS depth, NULL::BIGINT AS place FROM m UNION ALL SELECT 'status', 'string', n, 0, 1, NULL FROM m UNION ALL SELECT 'customer.key', 'integer', n, 0, 2, NULL FROM m
+SELECT 'key' AS field, 'integer' AS kinds, n, 0::BIGINT AS nulls, 1 AS depth, NULL::BIGINT AS place FROM m UNION ALL SELECT 'status', 'string', n, 0, 1, NULL FROM m UNION ALL SELECT 'customer.key', 'integer', n, 0, 2, NULL FROM m
 UNION ALL SELECT 'customer.token', 'string', even, 0, 2, NULL FROM m UNION ALL SELECT 'lines[].n', 'integer', l.n, 0, 3, m.place FROM l, m UNION ALL SELECT 'lines[].part.key', 'integer', l.n, 0, 4, m.place FROM l, m UNION ALL SELECT 'lines[].part.flag', 'string', l.n, 0, 4, m.place FROM l, m""")
 def nested_fields(spark, sf_dir):
     """The fields of orders as JSON documents: kinds, how often, how deep."""
