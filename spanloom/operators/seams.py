@@ -9,7 +9,7 @@ taken in order: a recording streams through a task, which holds two of its parts
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from spanloom.operators.components import components
 from spanloom.operators.scans import Kernel, streamed
@@ -157,3 +157,39 @@ def join_objects(objects: DataFrame, named: DataFrame, joined: DataFrame, keys:
     sure = pairs.join(pairs.groupBy("x").count().where("count = 1").select("x"), "x", "left_semi").join(pairs.groupBy("y").count().where("count = 1").select("y"), "y", "left_semi")
     of = components(sure.select(F.col("x").alias("a"), F.col("y").alias("b")))
     return objects.select("object").join(of, F.col("object") == F.col("node"), "left").select("object", F.coalesce("component", "object").alias("root"))
+
+
+def overlap_for(most_s: float, wanted_s: float = 15.0) -> float:
+    """Seconds that neighbouring parts share: those wanted if four times as many fit a part, else none."""
+    if not 0 <= wanted_s < float("inf"):
+        raise ValueError("a shared window is finite and not negative")
+    return wanted_s if 0 < wanted_s and 4 * wanted_s <= most_s else 0.0
+
+
+def cut_layout(parts: DataFrame, keys: list[str], part: str, t0: str, t1: str, windows: str) -> DataFrame:
+    """keys, ``part`` (the one after the cut), before, cut, w0 and w1 of the cuts between a recording's
+    parts in time order, as ``join_across_cuts`` takes them.
+
+    windows: an array of (t0, t1, cut) that a part was written with.  The first one of the
+    two parts that ends where the part before does and starts where the next one does is the
+    shared window; without one the cut is where the next part starts.
+    """
+    w = Window.partitionBy(*keys).orderBy(F.col(t0).cast("double"))
+    d = parts.withColumns({"_p": F.lag(part).over(w), "_end": F.lag(t1).over(w), "_ws": F.lag(windows).over(w)}).where(F.col("_p").isNotNull())
+    none = F.array().cast(parts.schema[windows].dataType)
+    fits = lambda x: (F.abs(x["t1"] - F.col("_end")) <= SAME_S) & (F.abs(x["t0"] - F.col(t0)) <= SAME_S)
+    found = F.get(F.filter(F.concat(F.coalesce("_ws", none), F.coalesce(windows, none)), fits), F.lit(0))
+    d = d.withColumn("_w", found)
+    return d.select(*keys, part, F.col("_p").alias("before"), F.coalesce("_w.cut", t0).alias("cut"), F.col("_w.t0").alias("w0"), F.col("_w.t1").alias("w1"))
+
+
+def seam_candidates(tasks: DataFrame, cuts: DataFrame, keys: list[str], part: str, ident: str, start: str, end: str, open_: str) -> DataFrame:
+    """keys, ``part``, cut, left and right: at every cut without a shared window the one task still
+    open where the part before ends and the one that starts there, if either side has just one."""
+    bare = cuts.where("w0 is null or w1 is null").select(*keys, part, F.col("cut").cast("double").alias("cut"))
+    ends = tasks.select(*keys, (F.col(part) + 1).alias(part), F.col(ident).alias("left"), F.col(end).cast("double").alias("_e"), F.col(open_).alias("_o"))
+    starts = tasks.select(*keys, part, F.col(ident).alias("right"), F.col(start).cast("double").alias("_s"))
+    one = bare.join(ends, [*keys, part]).where(F.col("_o") & (F.col("cut") - F.col("_e")).between(-SAME_S, GUARD_S))
+    two = bare.join(starts, [*keys, part]).where((F.col("_s") - F.col("cut")).between(-SAME_S, GUARD_S))
+    only = lambda d, c: d.groupBy(*keys, part, "cut").agg(F.count("*").alias("_n"), F.min(c).alias(c)).where("_n = 1").drop("_n")
+    return only(one, "left").join(only(two, "right"), [*keys, part, "cut"])

@@ -7,7 +7,7 @@ from pyspark.sql import Window, functions as F
 
 from spanloom.functions import assertions
 from spanloom.functions.numbers import DIGITS
-from spanloom.operators import clocks, documents, exports, readout, sampling, seams, tracks
+from spanloom.operators import clocks, documents, exports, readout, sampling, seams, summaries, tracks
 from spanloom.plans.registry import EVENTS, query, table, timed_events
 from spanloom.session import new_folder
 from spanloom.sources import index
@@ -232,3 +232,30 @@ def labels_on_frames(spark, sf_dir):
     days = o.where("o_orderkey % 2 = 0").select("o_custkey", F.col("t").alias("ts")).distinct()
     d = exports.snapped(o.where("o_orderkey % 2 = 1"), days, ["o_custkey"], "t", "ts", 30.0)
     return d.select("o_orderkey", "fate", F.col("at").cast("long").alias("day"))
+
+
+@query("""WITH v AS (SELECT label, vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v, lag(list_transform(embedding, lambda x: CAST(x AS DOUBLE))) OVER (PARTITION BY label ORDER BY vec_id) AS w FROM embeddings),
+d AS (SELECT label, vec_id, list_transform(list_zip(v, w), lambda p: p[1] - p[2]) AS d FROM v WHERE w IS NOT NULL)
+SELECT label, vec_id, len(list_filter(d, lambda x: abs(x) > 0.2)) AS changed, len(list_filter(d, lambda x: x > 0.2)) AS rising, round(list_avg(d), 6) AS mean_change, round(list_aggregate(list_transform(d, lambda x: abs(x)), 'quantile_cont', 0.5), 6) AS median, round(list_aggregate(list_transform(d, lambda x: abs(x)), 'quantile_cont', 0.9), 6) AS p90, round(list_sum(list_transform(d, lambda x: abs(x))), 6) AS moved FROM d""")
+def array_changes(spark, sf_dir):
+    """How the components of each frame differ from those of the one before."""
+    d = frames(spark, sf_dir)
+    c = summaries.instant_changes(d, ["label"], "vec_id", "embedding", F.lit(True), 0.2).where("change is not null")
+    moved = summaries.row_steps(d, ["label"], "vec_id", "embedding").withColumn("moved", F.round("moved", 6))
+    r = lambda n: F.round(f"change.{n}", 6).alias(n)
+    return c.select("label", "vec_id", "change.changed", "change.rising", r("mean_change"), r("median"), r("p90")).join(moved, ["label", "vec_id"])
+
+
+@query()
+def spaced_peaks(spark, sf_dir):
+    """The greatest values of each user, none within a day of a greater one, ten at most."""
+    return summaries.spaced_peaks(timed_events(spark, sf_dir), ["user_id"], "t", "value", DAY, 10).select("user_id", "event_id")
+
+
+@query(EVENTS + """, p AS (SELECT user_id, event_id, t, value AS a, CASE WHEN event_type = 'purchase' THEN value * 5 ELSE value * 2 + 3 END AS b FROM ev), f AS (SELECT user_id, regr_slope(b, a) AS s, regr_intercept(b, a) AS i, count(*) AS n FROM p GROUP BY 1)
+SELECT user_id, event_id, coalesce(n >= 10 AND abs(b - (s * a + i)) <= 0.2 * abs(s * a + i), false) AS observed FROM p JOIN f USING (user_id)""")
+def agreeing_rows(spark, sf_dir):
+    """Events whose second value lies near the line that the first one foretells it by."""
+    b = F.when(F.col("event_type") == "purchase", F.col("value") * 5).otherwise(F.col("value") * 2 + 3)
+    d = summaries.agreeing_rows(timed_events(spark, sf_dir).withColumn("b", b), ["user_id"], "event_id", "t", "value", "b", 0.2)
+    return d.select("user_id", "event_id", "observed")
