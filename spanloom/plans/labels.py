@@ -230,17 +230,17 @@ def export_invariants(spark, sf_dir):
     return rows.unionByName(twice.select(F.lit("starts are distinct").alias("invariant"), "broken"))
 
 
-@query("""WITH m AS (SELECT event_type, event_id, CAST(epoch_us(ts) // 1000 AS BIGINT) AS ms, CAST(epoch_us(ts) // 1000 AS BIGINT) - lag(CAST(epoch_us(ts) // 1000 AS BIGINT)) OVER (PARTITION BY event_type ORDER BY event_id) AS gap FROM events),
-c AS (SELECT event_type, gap // 60000 AS gap, count(*) AS n FROM m WHERE gap IS NOT NULL GROUP BY 1, 2), g AS (SELECT event_type, arg_min(gap, (-n, gap)) AS modal FROM c GROUP BY 1)
-SELECT event_id, gap // 60000 - modal AS residual FROM m JOIN g USING (event_type)""")
+@query("""WITH m AS (SELECT user_id, event_id, CAST(epoch_us(ts) // 1000 AS BIGINT) AS ms, CAST(epoch_us(ts) // 1000 AS BIGINT) - lag(CAST(epoch_us(ts) // 1000 AS BIGINT)) OVER (PARTITION BY user_id ORDER BY event_id) AS gap FROM events),
+c AS (SELECT user_id, gap // 60000 AS gap, count(*) AS n FROM m WHERE gap IS NOT NULL GROUP BY 1, 2), g AS (SELECT user_id, arg_min(gap, (-n, gap)) AS modal FROM c GROUP BY 1)
+SELECT event_id, gap // 60000 - modal AS residual FROM m JOIN g USING (user_id)""")
 def coded_times(spark, sf_dir):
-    """Times as what their gaps (in minutes) differ from the commonest gap of their stream."""
+    """Times as what their gaps (in minutes) differ from the commonest gap of their user."""
     ms = F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / 1000)
-    d = table(spark, sf_dir, "events").select("event_type", "event_id", ms.alias("ms"))
-    d = d.withColumn("gap", F.floor((F.col("ms") - F.lag("ms").over(Window.partitionBy("event_type").orderBy("event_id"))) / 60000))
-    n = d.where("gap is not null").groupBy("event_type", "gap").agg(F.count("*").alias("n"))
-    modal = n.groupBy("event_type").agg(F.min(F.struct((-F.col("n")).alias("n"), "gap")).alias("m")).select("event_type", F.col("m.gap").alias("modal"))
-    return d.join(modal, "event_type").select("event_id", (F.col("gap") - F.col("modal")).alias("residual"))
+    d = table(spark, sf_dir, "events").select("user_id", "event_id", ms.alias("ms"))
+    d = d.withColumn("gap", F.floor((F.col("ms") - F.lag("ms").over(Window.partitionBy("user_id").orderBy("event_id"))) / 60000))
+    n = d.where("gap is not null").groupBy("user_id", "gap").agg(F.count("*").alias("n"))
+    modal = n.groupBy("user_id").agg(F.min(F.struct((-F.col("n")).alias("n"), "gap")).alias("m")).select("user_id", F.col("m.gap").alias("modal"))
+    return d.join(modal, "user_id").select("event_id", (F.col("gap") - F.col("modal")).alias("residual"))
 
 
 @query("""WITH n AS (SELECT user_id, count(*) AS n FROM events GROUP BY 1), m AS (SELECT max(n) AS m FROM n), k AS (SELECT user_id, value, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS k FROM events),

@@ -95,15 +95,29 @@ def write_grouped(df: DataFrame, path: str, key: str, order: list[str]) -> DataF
     return ordered.mapInArrow(write, "file string, key string, n_rows long")
 
 
-def generation(path: str) -> tuple[int, str] | None:
-    """The number and folder of a published table's newest generation."""
+def generation(path: str) -> tuple[int, dict[str, str]] | None:
+    """The number of a published table's newest generation and its folders: one under "" or one
+    for each bucket of keys."""
     store, at = fs.FileSystem.from_uri(path) if ":" in path else (fs.LocalFileSystem(), path)
     found = store.get_file_info(fs.FileSelector(at, allow_not_found=True))
     names = sorted(f.base_name for f in found if f.base_name.startswith("pointer-"))
     if not names:
         return None
     with store.open_input_file(f"{at}/{names[-1]}") as f:
-        return int(names[-1].split("-")[1]), f"{path}/{f.read().decode()}"
+        folders = dict(line.split("\t") for line in f.read().decode().split("\n"))
+    return int(names[-1].split("-")[1]), {k: f"{path}/{v}" for k, v in folders.items()}
+
+
+def point(path: str, number: int, own: str, folders: dict[str, str]) -> None:
+    """Write the pointer of a generation, or raise where another writer's is there already."""
+    store, at = fs.FileSystem.from_uri(path) if ":" in path else (fs.LocalFileSystem(), path)
+    with store.open_output_stream(f"{at}/.{own}") as f:
+        f.write("\n".join(f"{k}\t{v}" for k, v in folders.items()).encode())
+    store.move(f"{at}/.{own}", f"{at}/pointer-{number:08d}-{own}")
+    found = store.get_file_info(fs.FileSelector(at))
+    if any(f.base_name.startswith(f"pointer-{number:08d}-") and not f.base_name.endswith(own) for f in found):
+        store.delete_file(f"{at}/pointer-{number:08d}-{own}")
+        raise RuntimeError(f"another writer has published generation {number} of {path}")
 
 
 def publish(df: DataFrame, path: str) -> None:
@@ -115,17 +129,36 @@ def publish(df: DataFrame, path: str) -> None:
     number, own = (now[0] + 1 if now else 0), uuid.uuid4().hex
     name = f"generation-{number:08d}-{own}"
     df.write.parquet(f"{path}/{name}")
+    point(path, number, own, {"": name})
+
+
+def merge(df: DataFrame, path: str, key: str, version: str, buckets: int = 64) -> None:
+    """Fold rows into the table at ``path``, the highest ``version`` of a key winning, as a new
+    generation: only the buckets (by a hash of ``key``) that have new rows are read and written
+    again, the others are pointed to where they lie.  Of two writers at most one succeeds."""
+    spark, now = df.sparkSession, generation(path)
+    number, own = (now[0] + 1 if now else 0), uuid.uuid4().hex
+    name = f"generation-{number:08d}-{own}"
+    held = now[1] if now else {}
+    bucket = F.pmod(F.xxhash64(key), F.lit(buckets))
+    touched = {str(r[0]) for r in df.select(bucket).distinct().collect()}
+    if not touched:
+        return None if held else publish(df.limit(0), path)
+    if "" in held:  # a table that was published whole: all of it is dealt into buckets
+        old = [held[""]]
+    else:
+        old = [v for k, v in held.items() if k in touched]
+    both = spark.read.schema(df.schema).parquet(*old).unionByName(df) if old else df
+    last = both.groupBy(key).agg(F.max_by(F.struct(*df.columns), version).alias("r")).select("r.*")
+    last.withColumn("_b", bucket.cast("string")).repartition("_b").write.partitionBy("_b").parquet(f"{path}/{name}")
+    written = touched if "" not in held else {str(k) for k in range(buckets)}
     store, at = fs.FileSystem.from_uri(path) if ":" in path else (fs.LocalFileSystem(), path)
-    with store.open_output_stream(f"{at}/.{own}") as f:
-        f.write(name.encode())
-    store.move(f"{at}/.{own}", f"{at}/pointer-{number:08d}-{own}")
-    found = store.get_file_info(fs.FileSelector(at))
-    if any(f.base_name.startswith(f"pointer-{number:08d}-") and not f.base_name.endswith(own) for f in found):
-        store.delete_file(f"{at}/pointer-{number:08d}-{own}")
-        raise RuntimeError(f"another writer has published generation {number} of {path}")
+    there = {f.base_name[3:] for f in store.get_file_info(fs.FileSelector(f"{at}/{name}")) if f.base_name.startswith("_b=")}
+    kept = {k: v[len(path) + 1 :] for k, v in held.items() if k and k not in written}
+    point(path, number, own, kept | {k: f"{name}/_b={k}" for k in sorted(there)})
 
 
 def published(spark: SparkSession, path: str) -> DataFrame | None:
     """The table at ``path`` as last published, None where nothing is."""
     now = generation(path)
-    return spark.read.parquet(now[1]) if now else None
+    return spark.read.parquet(*now[1].values()) if now else None

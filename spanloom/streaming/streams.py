@@ -56,15 +56,10 @@ def run_to_end(stream: DataFrame, mode: str = "append", keys: list[str] | None =
 
 def upsert(stream: DataFrame, path: str, key: str, version: str, name: str = "stream") -> None:
     """Fold a stream into the table published at ``path``, the highest version of a key winning.
-    Each batch publishes a new generation; the stream's own state lies beside them under
-    ``name``, so a later call goes on where this one ended, and a batch that is run twice
-    changes nothing."""
-
-    def fold(df: DataFrame, number: int) -> None:
-        now = files.published(df.sparkSession, path)
-        both = df if now is None else now.unionByName(df)
-        files.publish(both.groupBy(key).agg(F.max_by(F.struct(*df.columns), version).alias("r")).select("r.*"), path)
-
+    Each batch publishes a new generation in which only the buckets of its keys are new; the
+    stream's own state lies beside them under ``name``, so a later call goes on where
+    this one ended, and a batch that is run twice changes nothing."""
+    fold = lambda df, _: files.merge(df, path, key, version)
     stream.writeStream.foreachBatch(fold).option("checkpointLocation", f"{path}/_state-{name}").trigger(availableNow=True).start().awaitTermination()
 
 

@@ -127,3 +127,25 @@ def test_the_second_writer_of_a_generation_fails(spark, monkeypatch):
     assert files.published(spark, path).count() == 5
     files.publish(spark.range(9), path)
     assert files.published(spark, path).count() == 9
+
+
+def test_merges_write_only_the_buckets_of_their_keys(spark):
+    from spanloom.sources import files
+
+    path = new_folder(spark, "merged")
+    table = lambda rows: spark.createDataFrame(rows, "k long, v int, x string")
+    files.merge(table([(k, 1, "a") for k in range(200)]), path, "k", "v", 16)
+    first = files.generation(path)[1]
+    files.merge(table([(5, 2, "b"), (5, 3, "c"), (7, 0, "old"), (1000, 1, "new")]), path, "k", "v", 16)
+    second = files.generation(path)[1]
+    assert sum(first[k] != second[k] for k in first) <= 3 and set(first) <= set(second)
+    want = {k: (1, "a") for k in range(200)} | {5: (3, "c"), 1000: (1, "new")}
+    assert {r.k: (r.v, r.x) for r in files.published(spark, path).collect()} == want
+    files.merge(table([]), path, "k", "v", 16)
+    assert files.published(spark, path).count() == 201
+    files.publish(table([(k, 1, "whole") for k in range(9)]), path)
+    files.merge(table([(3, 5, "m")]), path, "k", "v", 16)
+    assert {r.k: r.x for r in files.published(spark, path).collect()} == {k: "m" if k == 3 else "whole" for k in range(9)}
+    empty = new_folder(spark, "merged")
+    files.merge(table([]), empty, "k", "v")
+    assert files.published(spark, empty).count() == 0
