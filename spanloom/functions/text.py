@@ -142,12 +142,3 @@ def said(s: Column) -> Column:
 def asserted(s: Column, pattern: str) -> Column:
     """Whether a clause says ``pattern`` (of plain text) where it isn't denied."""
     return F.exists(said(s), lambda c: c.rlike(pattern))
-
-
-def said_text(s: Column) -> Column:
-    """The clauses of ``said`` in one text, a bar between two of them: three passes over a text
-    instead of several over every clause."""
-    bars = F.regexp_replace(F.translate(F.lower(s), "|", " "), CLAUSE_ENDS, "|")
-    clauses = F.regexp_replace(F.regexp_replace(bars, "[^a-z0-9|]+", " "), " ?\\| ?", " | ")
-    whole = F.concat(F.lit(" "), F.trim(clauses), F.lit(" "))
-    return F.regexp_replace(whole, f" ({'|'.join(DENIALS)}) [^|]*", " ")

@@ -128,8 +128,11 @@ SAID = "WITH s AS (SELECT doc_id, source, text, list_transform(string_split_rege
 @query(SAID + ", f AS (" + " UNION ALL ".join(f"SELECT doc_id, source, '{k}' AS family, len(list_filter(said, lambda c: regexp_matches(c, '{v}'))) > 0 AS said, regexp_matches(whole, '{v}') AS named FROM s" for k, v in FAMILIES.items()) + ") SELECT source, family, count(*) FILTER (said) AS asserted, count(*) FILTER (named AND NOT said) AS denied FROM f GROUP BY 1, 2")
 def asserted_families(spark, sf_dir):
     """Documents of each source that assert a family's words, and those that only deny them."""
-    d = table(spark, sf_dir, "documents").select("source", tx.said_text(F.col("text")).alias("said"), F.concat(F.lit(" "), tx.plain(F.col("text")), F.lit(" ")).alias("whole"))
-    found = F.array(*(F.struct(F.lit(k).alias("family"), F.col("said").rlike(v).alias("said"), F.col("whole").rlike(v).alias("named")) for k, v in FAMILIES.items()))
+    d = table(spark, sf_dir, "documents").select("source", "text", F.concat(F.lit(" "), tx.plain(F.col("text")), F.lit(" ")).alias("whole"))
+    # Only a text that names a family is read clause by clause.
+    d = d.withColumn("said", F.when(F.col("whole").rlike("|".join(FAMILIES.values())), tx.said(F.col("text"))))
+    says = lambda v: F.coalesce(F.exists("said", lambda c: c.rlike(v)), F.lit(False))
+    found = F.array(*(F.struct(F.lit(k).alias("family"), says(v).alias("said"), F.col("whole").rlike(v).alias("named")) for k, v in FAMILIES.items()))
     f = d.select("source", F.explode(found).alias("f"))
     return f.groupBy("source", F.col("f.family").alias("family")).agg(F.count_if("f.said").alias("asserted"), F.count_if(F.col("f.named") & ~F.col("f.said")).alias("denied"))
 

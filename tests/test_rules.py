@@ -149,14 +149,3 @@ def test_merges_write_only_the_buckets_of_their_keys(spark):
     empty = new_folder(spark, "merged")
     files.merge(table([]), empty, "k", "v")
     assert files.published(spark, empty).count() == 0
-
-
-def test_clauses_in_one_text_are_those_taken_apart(spark):
-    from spanloom.functions import text as tx
-
-    said = ["It slipped. It did not slip here, there it fell", "no a, b | c but not d; e", "", None, "...", "never  ! Here!", "x if y. z\nnone w: v", "a but b although not c whereas d", "|not| here", "not"]
-    df = spark.createDataFrame([(t,) for t in said], "t string")
-    for word in ("slip", "here", "b", "c", "d", "e", "z", "v", "x", "a", "it", "w"):
-        pattern = f" {word} "
-        got = df.select(tx.asserted(F.col("t"), pattern).alias("a"), tx.said_text(F.col("t")).rlike(pattern).alias("b")).collect()
-        assert [r.a for r in got] == [r.b for r in got], word
