@@ -83,14 +83,17 @@ def spelled(texts: DataFrame, key: str, text: str, vocabulary: DataFrame, word:
 
     Distinct words of a text meet the vocabulary's swaps by equality, so work grows with
     the texts and not with their words' lengths or the vocabulary.  Words in capitals or with a
-    capital first are put right in that form.  ``key`` is unique; a null text stays null.
+    capital first are put right in that form, but for letters whose capital is longer than they
+    are (ß), which stay.  ``key`` is unique; a null text stays null.
     """
     pieces = F.regexp_extract_all(F.col(text), F.lit("\\p{L}+|[^\\p{L}]+"), F.lit(0))
     long = F.array_distinct(F.filter(pieces, lambda p: (F.length(p) >= shortest) & p.rlike("^\\p{L}")))
     swaps = same_length_swaps(vocabulary, word)
     said = texts.select(key, F.explode(long).alias("_w")).withColumn("wrong", F.lower("_w"))
     hit = said.join(swaps, "wrong")
-    form = F.when(F.col("_w") == F.upper("_w"), F.upper("right")).when(F.substring("_w", 1, 1) != F.lower(F.substring("_w", 1, 1)), F.concat(F.upper(F.substring("right", 1, 1)), F.substring("right", F.lit(2), F.length("right")))).otherwise(F.col("right"))
+    capital = lambda x: F.when(F.length(F.upper(x)) == F.length(x), F.upper(x)).otherwise(x)
+    letters = F.array_join(F.transform(F.split("right", ""), capital), "")
+    form = F.when(F.col("_w") == F.upper("_w"), letters).when(F.substring("_w", 1, 1) != F.lower(F.substring("_w", 1, 1)), F.concat(capital(F.substring("right", 1, 1)), F.substring("right", F.lit(2), F.length("right")))).otherwise(F.col("right"))
     found = hit.where(F.length(form) == F.length("_w")).groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct(F.col("_w"), form.alias("r")))).alias("_m"))
     d = texts.join(found, key, "left")
     new = F.array_join(F.transform(pieces, lambda p: F.coalesce(F.try_element_at("_m", p), p)), "")

@@ -108,3 +108,9 @@ def test_samples_to_a_target(spark):
     packs = df.withColumn("pack", F.floor(F.col("i") / 3))
     got = sampling.sampled_packs(packs, "task", ["pack"], "s", 12.0).collect()
     assert {(r.task, r.pack) for r in got} >= {("a", 1)} and all(len([x for x in rows if x[0] == t and x[1] // 3 == p]) == sum(r.task == t and r.pack == p for r in got) for t, p in {(r.task, r.pack) for r in got})
+
+
+def test_swaps_that_put_a_letter_without_a_capital_first(spark):
+    df = spark.createDataFrame([(1, "Üßung, üßung"), (2, "ÜẞUNG")], "id long, text string")
+    got = {r.id: (r.fixed, r.swaps) for r in index.spelled(df, "id", "text", spark.createDataFrame([("ßüung",)], "w string"), "w").collect()}
+    assert got == {1: ("ßüung, ßüung", 2), 2: ("ßÜUNG", 1)}
