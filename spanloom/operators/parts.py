@@ -87,7 +87,8 @@ def roots(edges: DataFrame) -> DataFrame:
 
     Pointers double, so a chain of n nodes takes about log n joins.  What is left after
     as many steps as there are nodes leads into circles, and the nodes reached there
-    are their members; with these as ends the doubling runs once more.
+    are their members; with these as ends the doubling runs once more.  No join broadcasts:
+    in every round the map would pass through the driver once more.
     """
     start = stored(edges.where("node <> to").select("node", "to"), "map")
 
@@ -95,15 +96,15 @@ def roots(edges: DataFrame) -> DataFrame:
         step = 1
         while step < 2 * most:
             ahead = pointers.select(F.col("node").alias("_n"), F.col("to").alias("_t"))
-            met = pointers.join(ahead, F.col("to") == F.col("_n"), "left")
+            met = pointers.join(ahead.hint("merge"), F.col("to") == F.col("_n"), "left")
             if met.where("_t is not null and _t <> to").isEmpty():
                 break
             pointers, step = stored(met.select("node", F.coalesce("_t", "to").alias("to")), "map"), 2 * step
         return pointers
 
     ends = doubled(start, start.count())
-    members = stored(ends.join(start.select(F.col("node").alias("to")), "to", "left_semi").select(F.col("to").alias("node")).distinct(), "circles")
-    open_ = stored(start.join(members, "node", "left_anti"), "map")
+    members = stored(ends.join(start.select(F.col("node").alias("to")).hint("merge"), "to", "left_semi").select(F.col("to").alias("node")).distinct(), "circles")
+    open_ = stored(start.join(members.hint("merge"), "node", "left_anti"), "map")
     chains = doubled(open_, open_.count())
     return chains.select("node", F.col("to").alias("root")).unionByName(members.select("node", F.col("node").alias("root")))
 

@@ -4,7 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from spanloom.operators import asof, components, intervals, sampling, scores, sequences, similarity
+from spanloom.operators import asof, components, intervals, parts, sampling, scores, sequences, similarity
 
 SPANS = "k string, s double, e double"
 
@@ -82,3 +82,12 @@ def test_rows_of_one_place_are_spent_together(spark):
     df = spark.createDataFrame([("a", 1, 6.0), ("a", 2, 3.0), ("a", 2, 2.0), ("a", 3, 1.0), ("b", 1, 20.0), ("b", 1, 1.0)], "k string, i int, x double")
     got = sampling.until_cap(df, ["k"], [F.col("i")], "x", 9.0).collect()
     assert sorted(tuple(r) for r in got) == [("a", 1, 6.0, 6.0), ("a", 2, 3.0, 11.0), ("b", 1, 20.0, 21.0)]
+
+
+def test_maps_are_followed_without_broadcasts(spark, monkeypatch):
+    plans, kept = [], parts.stored
+    monkeypatch.setattr(parts, "stored", lambda d, name: (plans.append(d._jdf.queryExecution().executedPlan().toString()), kept(d, name))[1])
+    edges = spark.createDataFrame([(k, k + 1) for k in range(40)] + [(100, 101), (101, 102), (102, 101)], "node long, to long")
+    got = {r.node: r.root for r in parts.roots(edges).collect()}
+    assert got == {k: 40 for k in range(40)} | {100: 101, 101: 101, 102: 102}
+    assert any("Join" in p for p in plans) and not any("Broadcast" in p for p in plans)
