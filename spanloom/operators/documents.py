@@ -1,7 +1,7 @@
 """Documents of unknown depth: their fields, what a schema leaves out, rewritten copies.
 
-JSON is parsed once to VARIANT.  ``leaves`` opens one level of all documents at a time,
-so its number of passes is the depth of the deepest and no document meets another.
+JSON is parsed once to VARIANT.  ``leaves`` opens LEVELS levels of all documents in one pass
+and goes on with what is deeper still; no document meets another.
 """
 
 from __future__ import annotations
@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from spanloom.session import stored
 
 WITHHELD = "[withheld]"
+#: Levels that one pass opens; deeper documents take more passes.
+LEVELS = 4
 
 
 def kind_of(v: Column) -> Column:
@@ -28,6 +30,25 @@ def kind_of(v: Column) -> Column:
     return F.when(whole, "integer").otherwise(F.coalesce(*(F.when(s == k, n) for k, n in names.items()), F.lower(s)))
 
 
+def full(v: str) -> Column:
+    """Whether a VARIANT is an object or array with parts."""
+    size = lambda kind: F.coalesce(F.size(F.try_variant_get(v, "$", kind)), F.lit(0))
+    return (size("map<string,variant>") > 0) | (size("array<variant>") > 0)
+
+
+def opened(level: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, path, pointer, depth, v and open (whether v holds others) with the parts of every
+    open value in its place."""
+    # Only what stays goes on beside the parts, not the whole beside each of them.
+    d = level.withColumns({"_own": F.when(~F.col("open"), F.col("v")), "v": F.when(F.col("open"), F.col("v"))})
+    inner = d.lateralJoin(d.sparkSession.tvf.variant_explode_outer(F.col("v").outer()))
+    part = F.col("pos").isNotNull()
+    step = F.when(F.col("key").isNull(), F.concat(F.lit("["), F.col("pos").cast("string"), F.lit("]"))).otherwise(F.concat(F.when(F.col("path") == "", "").otherwise("."), "key"))
+    token = F.coalesce(F.replace(F.replace("key", F.lit("~"), F.lit("~0")), F.lit("/"), F.lit("~1")), F.col("pos").cast("string"))
+    path, pointer = F.when(part, F.concat("path", step)).otherwise(F.col("path")), F.when(part, F.concat("pointer", F.lit("/"), token)).otherwise(F.col("pointer"))
+    return inner.select(*keys, path.alias("path"), pointer.alias("pointer"), (F.col("depth") + part.cast("int")).alias("depth"), F.when(part, F.col("value")).otherwise(F.col("_own")).alias("v"), F.when(part, full("value")).otherwise(False).alias("open"))
+
+
 def leaves(df: DataFrame, keys: list[str], document: Column) -> DataFrame:
     """keys, path ("a.b[0]"), pointer ("/a/b/0"), depth, kind and value (text, null for null
     and for what is empty) of every leaf of each document.
@@ -36,43 +57,43 @@ def leaves(df: DataFrame, keys: list[str], document: Column) -> DataFrame:
     array.  The document itself is one if it is a plain value.  A text that is no JSON
     has no leaves, and neither has a null.  Repeated rows give repeated leaves.
     """
-    level = df.select(*keys, F.lit("").alias("path"), F.lit("").alias("pointer"), F.lit(0).alias("depth"), F.try_parse_json(document).alias("v")).where("v is not null")
+    level = df.select(*keys, F.lit("").alias("path"), F.lit("").alias("pointer"), F.lit(0).alias("depth"), F.try_parse_json(document).alias("v")).withColumn("open", full("v"))
     found = []
     while True:
-        level = stored(level.withColumn("kind", kind_of(F.col("v"))), "nested")
-        opened = level.where(F.col("kind").isin("object", "array"))
-        text = F.when(F.col("kind") != "null", F.try_variant_get("v", "$", "string"))
-        found.append(level.where(~F.col("kind").isin("object", "array")).select(*keys, "path", "pointer", "depth", "kind", text.alias("value")))
-        if opened.isEmpty():
+        for _ in range(LEVELS):
+            level = opened(level, keys)
+        level = level.where("v is not null").withColumn("kind", kind_of(F.col("v")))
+        text = F.when(~F.col("kind").isin("object", "array", "null"), F.try_variant_get("v", "$", "string"))
+        level = stored(level.withColumns({"value": text, "v": F.when(F.col("open"), F.col("v"))}), "nested")
+        found.append(level.where("not open").select(*keys, "path", "pointer", "depth", "kind", "value"))
+        level = level.where("open").select(*keys, "path", "pointer", "depth", "v", "open")
+        if level.isEmpty():
             break
-        inner = opened.lateralJoin(df.sparkSession.tvf.variant_explode_outer(F.col("v").outer()))
-        none = inner.where("pos is null")
-        found.append(none.select(*keys, "path", "pointer", "depth", "kind", F.lit(None).cast("string").alias("value")))
-        step = F.when(F.col("key").isNull(), F.concat(F.lit("["), F.col("pos").cast("string"), F.lit("]"))).otherwise(F.concat(F.when(F.col("path") == "", "").otherwise("."), "key"))
-        token = F.coalesce(F.replace(F.replace("key", F.lit("~"), F.lit("~0")), F.lit("/"), F.lit("~1")), F.col("pos").cast("string"))
-        level = inner.where("pos is not null").select(*keys, F.concat("path", step).alias("path"), F.concat("pointer", F.lit("/"), token).alias("pointer"), (F.col("depth") + 1).alias("depth"), F.col("value").alias("v"))
     return reduce(DataFrame.unionByName, found)
 
 
 def field_types(found: DataFrame) -> DataFrame:
     """Of ``leaves`` of many documents: field (its path with every place as []), kinds (sorted), n,
     nulls, documents' deepest place and greatest place in an array."""
+    # Paths repeat from document to document, so each is read once.
+    d = found.groupBy("path", "kind").agg(F.count("*").alias("n"), F.max("depth").alias("depth"))
     place = F.array_max(F.transform(F.regexp_extract_all("path", F.lit("\\[(\\d+)\\]"), F.lit(1)), lambda x: x.cast("long")))
-    d = found.withColumns({"field": F.regexp_replace("path", "\\[\\d+\\]", "[]"), "place": place})
-    return d.groupBy("field").agg(F.array_sort(F.collect_set(F.when(F.col("kind") != "null", F.col("kind")))).alias("kinds"), F.count("*").alias("n"), F.count_if(F.col("kind") == "null").alias("nulls"), F.max("depth").alias("depth"), F.max("place").alias("place"))
+    d = d.withColumns({"field": F.regexp_replace("path", "\\[\\d+\\]", "[]"), "place": place})
+    nulls = F.sum(F.when(F.col("kind") == "null", F.col("n")).otherwise(0))
+    return d.groupBy("field").agg(F.array_sort(F.collect_set(F.when(F.col("kind") != "null", F.col("kind")))).alias("kinds"), F.sum("n").alias("n"), nulls.alias("nulls"), F.max("depth").alias("depth"), F.max("place").alias("place"))
 
 
 def uncovered(found: DataFrame, covered: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """Rows of ``leaves`` that no row of ``covered`` (pointer, and ``keys`` if given) is or stands
     above.  Every leaf asks for itself and all above it, so the paths are met by equality."""
     keys = keys or []
+    # Pointers repeat from document to document, so each (of each key) is met once.
+    own = found.select(*keys, "pointer").distinct()
     parts = F.split(F.col("pointer"), "/")
     above = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda k: F.array_join(F.slice(parts, 1, k), "/"))
     known = covered.select(*keys, F.col("pointer").alias("_above")).distinct()
-    named = found.withColumn("_leaf", F.monotonically_increasing_id())
-    named = stored(named, "leaves")
-    hit = named.select(*keys, "_leaf", F.explode(above).alias("_above")).join(known, [*keys, "_above"], "left_semi").select("_leaf").distinct()
-    return named.join(hit, "_leaf", "left_anti").drop("_leaf")
+    hit = own.select(*keys, "pointer", F.explode(above).alias("_above")).join(known, [*keys, "_above"], "left_semi").select(*keys, "pointer").distinct()
+    return found.join(hit, [*keys, "pointer"], "left_anti").select(found.columns)
 
 
 Rule = Callable[[str, Column], Column]

@@ -122,3 +122,21 @@ def test_rewritten_columns_follow_the_type(spark):
     got = {r.id: r.asDict(True) for r in out.collect()}
     assert got[1] == {"id": 1, "a": {"b": {"name": "[withheld]"}, "list": [{"hidden": 4, "name": "[withheld]"}, None, {"hidden": 5, "name": "n"}]}, "m": {"k": {"hidden": 4, "name": "[withheld]"}, "n": None}, "t.x": "[withheld]"}
     assert got[2] == {"id": 2, "a": None, "m": None, "t.x": None} and got[3] == {"id": 3, "a": {"b": None, "list": []}, "m": {}, "t.x": "x"}
+
+
+def test_documents_are_opened_in_few_passes(spark, monkeypatch):
+    def deep(v, n):
+        for k in range(n):
+            v = [v] if k % 2 else {"a": v, "b": k}
+        return v
+
+    docs = [(10 * n + k, json.dumps(deep(v, n))) for n in range(16) for k, v in enumerate([None, {}, [], [None], {"x": None}, 5])]
+    passes, kept = [], documents.stored
+    monkeypatch.setattr(documents, "stored", lambda d, name: (passes.append(name), kept(d, name))[1])
+    df = spark.createDataFrame(docs, "id long, doc string")
+    got = sorted((r.id, r.path, r.pointer, r.depth, r.kind) for r in documents.leaves(df, ["id"], F.col("doc")).collect())
+    assert got == sorted((k, *x) for k, t in docs for x in walk(json.loads(t)))
+    assert len(passes) == 4  # 16 levels, 4 a pass
+    passes.clear()
+    documents.uncovered(documents.leaves(df.where("id < 30"), ["id"], F.col("doc")), spark.createDataFrame([("/a",)], "pointer string")).count()
+    assert len(passes) == 1
