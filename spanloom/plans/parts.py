@@ -6,7 +6,7 @@ from pyspark.sql import Window, functions as F
 
 from spanloom.functions import text as tx
 from spanloom.operators import intervals, parts
-from spanloom.session import stored
+from spanloom.operators.places import placed
 from spanloom.plans.registry import EVENTS, query, table, timed_events
 
 PART, OVERLAP = 432000.0, 43200.0
@@ -83,8 +83,9 @@ SELECT p_partkey, count(*) AS peers, round(quantile_cont(p_retailprice, 0.5), 4)
 def similar_pools(spark, sf_dir):
     """Of each part the others of its brand with a like name, and their median price.
 
-    Names of one word set stand together, so pairs are of names and not of parts.  A
-    pool's prices are ranked as rows; a part's own rank says which of the pool's middle
+    Names of one word set stand together, and so do parts of one name and price, so pairs are of
+    names and a pool holds prices with their counts.  Pools are ranked in ranges of all their
+    prices, however many parts one has; a part's own rank says which of the pool's middle
     prices are the middle of the others.
     """
     p = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_retailprice", F.array_sort(F.array_distinct(F.split("p_name", " "))).alias("w"))
@@ -93,16 +94,21 @@ def similar_pools(spark, sf_dir):
     two = names.select("p_brand", F.col("w").alias("b"), F.explode("w").alias("x"))
     met = one.join(two, ["p_brand", "x"]).groupBy("p_brand", "a", "b").agg(F.count("*").alias("i"))
     like = met.where(F.col("i") >= 0.3 * (F.size("a") + F.size("b") - F.col("i"))).select("p_brand", "a", "b")
-    pool = like.join(p.withColumnRenamed("w", "b"), ["p_brand", "b"])
-    whole = Window.partitionBy("p_brand", "a")
-    pool = stored(pool.withColumns({"r": F.row_number().over(whole.orderBy("p_retailprice", "p_partkey")), "n": F.count("*").over(whole)}).select("p_brand", "a", (F.col("a") == F.col("b")).alias("own"), "p_partkey", "p_retailprice", "r", "n"), "pools")
-    # Of n - 1 others the middle ones are lo and hi; a part at or before them moves them on by one.
-    lo, hi = F.floor(F.col("n") / 2), F.floor((F.col("n") - 1) / 2) + 1
-    at = lambda k: F.max(F.when(F.col("r") == k, F.col("p_retailprice")))
-    middle = pool.where("n > 1").groupBy("p_brand", "a", "n").agg(at(lo).alias("l0"), at(lo + 1).alias("l1"), at(hi).alias("h0"), at(hi + 1).alias("h1")).drop("n")
+    prices = p.groupBy("p_brand", "w", "p_retailprice").agg(F.count("*").alias("n"))
+    pool = like.join(prices.withColumnRenamed("w", "b"), ["p_brand", "b"]).groupBy("p_brand", "a", "p_retailprice").agg(F.sum("n").alias("n"), F.bool_or(F.col("a") == F.col("b")).alias("own"))
+    pool = placed(pool, ["p_brand", "a", "p_retailprice"], {"upto": "n"})
+    whole = pool.groupBy("p_brand", "a").agg(F.min(F.col("upto") - F.col("n")).alias("start"), F.sum("n").alias("all"))
+    first, last = F.col("upto") - F.col("n") - F.col("start") + 1, F.col("upto") - F.col("start")
+    pool = pool.join(whole.where(F.col("all") > 1), ["p_brand", "a"]).withColumns({"first": first.cast("long"), "last": last.cast("long")})
+    # Of all - 1 others the middle ones are lo and hi; a part at or before them moves them on by one.
+    lo, hi = F.floor(F.col("all") / 2), F.floor((F.col("all") - 1) / 2) + 1
+    at = lambda k: F.max(F.when(k.between(F.col("first"), F.col("last")), F.col("p_retailprice")))
+    middle = pool.groupBy("p_brand", "a", "all").agg(at(lo).alias("l0"), at(lo + 1).alias("l1"), at(hi).alias("h0"), at(hi + 1).alias("h1")).drop("all")
     d = pool.where("own").join(middle, ["p_brand", "a"])
-    median = (F.when(F.col("r") <= lo, F.col("l1")).otherwise(F.col("l0")) + F.when(F.col("r") <= hi, F.col("h1")).otherwise(F.col("h0"))) / 2
-    return d.select("p_partkey", (F.col("n") - 1).alias("peers"), F.round(median, 4).alias("peer_median"))
+    median = (F.when(F.col("first") <= lo, F.col("l1")).otherwise(F.col("l0")) + F.when(F.col("first") <= hi, F.col("h1")).otherwise(F.col("h0"))) / 2
+    d = d.select("p_brand", F.col("a").alias("w"), F.col("p_retailprice").alias("price"), (F.col("all") - 1).alias("peers"), F.round(median, 4).alias("peer_median"))
+    same = (p["p_brand"] == d["p_brand"]) & (p["w"] == d["w"]) & p["p_retailprice"].eqNullSafe(d["price"])
+    return p.join(d, same).select("p_partkey", "peers", "peer_median")
 
 
 @query("""SELECT l_orderkey, CASE WHEN count(DISTINCT l_returnflag) = 1 THEN min(l_returnflag) END AS l_returnflag, count(DISTINCT l_returnflag) AS claims FROM lineitem GROUP BY 1""")

@@ -91,3 +91,17 @@ def test_maps_are_followed_without_broadcasts(spark, monkeypatch):
     got = {r.node: r.root for r in parts.roots(edges).collect()}
     assert got == {k: 40 for k in range(40)} | {100: 101, 101: 101, 102: 102}
     assert any("Join" in p for p in plans) and not any("Broadcast" in p for p in plans)
+
+
+def test_pools_hold_prices_and_not_parts(spark, tmp_path, monkeypatch):
+    from spanloom.plans import parts as plans
+
+    pick = random.Random(3)
+    rows = [(k, f"{pick.choice('abc')} {pick.choice('xyz')}", f"B{k % 2}", float(pick.randint(1, 6))) for k in range(300)]
+    spark.createDataFrame(rows, "p_partkey long, p_name string, p_brand string, p_retailprice double").write.parquet(f"{tmp_path}/part.parquet")
+    ranked, kept = [], plans.placed
+    monkeypatch.setattr(plans, "placed", lambda d, *more: (ranked.append(d.count()), kept(d, *more))[1])
+    got = {r.p_partkey: (r.peers, r.peer_median) for r in plans.similar_pools(spark, str(tmp_path)).collect()}
+    others = {k: sorted(p for j, n, c, p in rows if j != k and c == b and set(n.split()) & set(a.split())) for k, a, b, _ in rows}
+    assert got == {k: (len(v), (v[(len(v) - 1) // 2] + v[len(v) // 2]) / 2) for k, v in others.items()}
+    assert ranked == [2 * 9 * 6]
