@@ -7,6 +7,26 @@ from pyspark.sql import DataFrame, Window, functions as F
 from spanloom.operators.components import components
 from spanloom.session import stored
 
+#: Words of 64 bits of a set's sketch.
+SKETCH = 8
+
+
+def candidates(groups: DataFrame, threshold: float) -> DataFrame:
+    """Pairs (a, b) of ``groups`` (g, n and t: n tokens) that the bounds of ``set_pairs`` leave."""
+    long = groups.select("g", "n", F.explode("t").alias("w"))
+    rare = long.groupBy("w").agg(F.count("*").alias("f"))
+    rank = Window.partitionBy("g").orderBy("f", "w")
+    prefix = long.join(rare, "w").withColumn("r", F.row_number().over(rank)).where(F.col("r") <= F.col("n") - F.ceil(F.col("n") * threshold - 1e-9) + 1)
+    place = F.pmod(F.xxhash64("w"), F.lit(64 * SKETCH))
+    bits = [F.bit_xor(F.when(F.floor(place / 64) == k, F.expr("shiftleft(1L, CAST(pmod(xxhash64(w), 64) AS INT))")).otherwise(F.lit(0).cast("long"))).alias(f"s{k}") for k in range(SKETCH)]
+    prefix = prefix.select("g", "n", "w", "r").join(long.groupBy("g").agg(*bits), "g")
+    side = lambda x: prefix.select(F.col("g").alias(x), F.col("n").alias("n" + x), "w", F.col("r").alias("r" + x), *(F.col(f"s{k}").alias(f"{x}{k}") for k in range(SKETCH)))
+    least = F.ceil((F.col("na") + F.col("nb")) * (threshold / (1 + threshold)) - 1e-9)
+    rest = 1 + F.least(F.col("na") - F.col("ra"), F.col("nb") - F.col("rb"))
+    apart = sum((F.bit_count(F.col(f"a{k}").bitwiseXOR(F.col(f"b{k}"))) for k in range(SKETCH)), F.lit(0))
+    alike = (F.least("na", "nb") >= F.greatest("na", "nb") * threshold - 1e-9) & (rest >= least) & (apart <= F.col("na") + F.col("nb") - 2 * least)
+    return side("a").join(side("b").hint("merge"), "w").where((F.col("a") < F.col("b")) & alike).select("a", "b").distinct()
+
 
 def set_pairs(df: DataFrame, item: str, tokens: str, threshold: float) -> DataFrame:
     """Pairs (a, b, jaccard) of items with different token sets at least
@@ -16,15 +36,15 @@ def set_pairs(df: DataFrame, item: str, tokens: str, threshold: float) -> DataFr
     that two such sets share, so only those are joined, with the length filter
     in the join; the full sets confirm.  Equal sets are grouped first; a join on
     the set itself gives their other items.  Empty sets match nothing.
+
+    Where two sets meet first, they can share no more than what follows there in the
+    shorter rest.  And each set has a sketch, one bit toggled for each token: two sketches
+    differ in no more bits than the sets differ in tokens.  Both bounds are asked in the
+    join, so hardly any pair leaves it that is not alike, and no pair that is is lost.
     """
     sets = df.select(F.col(item).alias("id"), F.array_sort(F.array_distinct(tokens)).alias("t")).where(F.size("t") > 0)
     groups = stored(sets.groupBy("t").agg(F.min("id").alias("g")).withColumn("n", F.size("t")), "sets")
-    long = groups.select("g", "n", F.explode("t").alias("w"))
-    rare = long.groupBy("w").agg(F.count("*").alias("f"))
-    rank = Window.partitionBy("g").orderBy("f", "w")
-    prefix = long.join(rare, "w").withColumn("r", F.row_number().over(rank)).where(F.col("r") <= F.col("n") - F.ceil(F.col("n") * threshold - 1e-9) + 1)
-    a, b = prefix.select(F.col("g").alias("a"), F.col("n").alias("na"), "w"), prefix.select(F.col("g").alias("b"), F.col("n").alias("nb"), "w")
-    met = a.join(b, "w").where((F.col("a") < F.col("b")) & (F.least("na", "nb") >= F.greatest("na", "nb") * threshold - 1e-9)).select("a", "b").distinct()
+    met = candidates(groups, threshold)
     full = met.join(groups.select(F.col("g").alias("a"), F.col("t").alias("ta")), "a").join(groups.select(F.col("g").alias("b"), F.col("t").alias("tb")), "b")
     i = F.size(F.array_intersect("ta", "tb"))
     return full.withColumn("jaccard", i / (F.size("ta") + F.size("tb") - i)).where(F.col("jaccard") >= threshold - 1e-12).select("a", "b", "jaccard")

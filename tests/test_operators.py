@@ -105,3 +105,14 @@ def test_pools_hold_prices_and_not_parts(spark, tmp_path, monkeypatch):
     others = {k: sorted(p for j, n, c, p in rows if j != k and c == b and set(n.split()) & set(a.split())) for k, a, b, _ in rows}
     assert got == {k: (len(v), (v[(len(v) - 1) // 2] + v[len(v) // 2]) / 2) for k, v in others.items()}
     assert ranked == [2 * 9 * 6]
+
+
+def test_few_pairs_that_are_not_alike_leave_the_join(spark):
+    pick = random.Random(8)
+    sets = {k: sorted({f"w{int(pick.paretovariate(0.4)) % 900}" for _ in range(pick.randint(4, 60))}) for k in range(200)}
+    sets |= {k + 200: sorted({*v[1:], "new"}) for k, v in sets.items() if k % 10 == 0}
+    share = lambda a, b: len({*sets[a]} & {*sets[b]}) / len({*sets[a]} | {*sets[b]})
+    want = {(a, b) for a in sets for b in sets if a < b and sets[a] != sets[b] and share(a, b) >= 0.5}
+    groups = spark.createDataFrame([(k, v, len(v)) for k, v in sets.items()], "g long, t array<string>, n int")
+    met = {(r.a, r.b) for r in similarity.candidates(groups, 0.5).collect()}
+    assert want and want <= met and len(met) < 4 * len(want) + 200
