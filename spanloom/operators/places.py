@@ -41,3 +41,27 @@ def in_chunks(df: DataFrame, size: int, half: int, name: str = "chunk") -> DataF
     own, at = F.floor(F.col("place") / size), F.col("place") % size
     chunks = F.array_compact(F.array(own, F.when((at < half) & (own > 0), own - 1), F.when(at >= size - half, own + 1)))
     return df.withColumn(name, F.explode(chunks)).withColumn("inner", F.col(name) == own)
+
+
+def quantiles(df: DataFrame, keys: list[str], value: Column, shares: dict[str, float]) -> DataFrame:
+    """keys and, for every name, the point of ``value`` below which that share of a key's values
+    lies, as ``percentile`` has it (between two values in proportion; nulls left out, a key
+    without values null).
+
+    ``percentile`` holds all of a key's values in one task.  Here equal values are
+    counted and ranked in ranges of all keys, so a task holds no more than its range.
+    """
+    rows = df.select(*keys, value.alias("_v"))
+    counts = placed(rows.groupBy(*keys, "_v").agg(F.count("_v").alias("_c")), [*keys, "_v"], {"_upto": "_c"})
+    own = counts.groupBy(*keys).agg(F.sum("_c").alias("_n"), F.min(F.col("_upto") - F.col("_c")).alias("_start"))
+    same = [counts[k].eqNullSafe(F.col("_k_" + k)) for k in keys]
+    d = counts.where("_c > 0").join(own.select(*(F.col(k).alias("_k_" + k) for k in keys), "_n", "_start"), same)
+    last = F.col("_upto") - F.col("_start")
+    at = lambda k: F.max(F.when((last - F.col("_c") <= k) & (k < last), F.col("_v")))
+    spot = lambda p: F.lit(p) * (F.col("_n") - 1)
+    ends = [c for n, p in shares.items() for c in (at(F.floor(spot(p))).alias("_lo_" + n), at(F.ceil(spot(p))).alias("_hi_" + n))]
+    found = d.groupBy(*("_k_" + k for k in keys), "_n").agg(*ends)
+    between = lambda n, p: F.when(F.col("_lo_" + n) == F.col("_hi_" + n), F.col("_lo_" + n)).otherwise((F.ceil(spot(p)) - spot(p)) * F.col("_lo_" + n) + (spot(p) - F.floor(spot(p))) * F.col("_hi_" + n))
+    points = found.select(*(F.col("_k_" + k) for k in keys), *(between(n, p).alias(n) for n, p in shares.items()))
+    every = own.select(*keys)
+    return every.join(points, [every[k].eqNullSafe(points["_k_" + k]) for k in keys], "left").select(*keys, *shares)

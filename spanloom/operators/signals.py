@@ -11,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from spanloom.functions import numbers
+from spanloom.operators.places import quantiles
 
 #: The band of an end as a share of the range, the share of readings
 #: that hold a level, the share of rows that are a recording's start or end.
@@ -34,7 +35,7 @@ def rest(df: DataFrame, keys: list[str], order: list[str], value: str) -> DataFr
     them; then the end where it dwells, or zero if it dwells at neither.
     """
     rows = df.withColumn("_x", reading(F.col(value)))
-    q = rows.groupBy(*keys).agg(*(F.percentile("_x", p).alias(c) for p, c in ((0.01, "lo"), (0.5, "mid"), (0.99, "hi"))), F.count("_x").alias("_n"))
+    q = quantiles(rows, keys, F.col("_x"), {"lo": 0.01, "mid": 0.5, "hi": 0.99}).join(rows.groupBy(*keys).agg(F.count("_x").alias("_n")), keys)
     w, size = Window.partitionBy(*keys).orderBy(*order), F.count("*").over(Window.partitionBy(*keys))
     edge = F.greatest(F.lit(1), F.floor(size * ENDS))
     k = F.row_number().over(w)
@@ -64,7 +65,7 @@ def rest(df: DataFrame, keys: list[str], order: list[str], value: str) -> DataFr
 def swing(df: DataFrame, keys: list[str], value: str, levels: DataFrame) -> DataFrame:
     """keys and swing: the 99 % point of the distance from the level of ``levels``."""
     d = df.join(levels.select(*keys, "level"), keys)
-    return d.groupBy(*keys).agg(F.percentile(F.abs(reading(F.col(value)) - F.col("level")), 0.99).alias("swing"))
+    return quantiles(d, keys, F.abs(reading(F.col(value)) - F.col("level")), {"swing": 0.99})
 
 
 def change_threshold(df: DataFrame, keys: list[str], column: str, order: list[str], value: str) -> DataFrame:
@@ -282,9 +283,10 @@ def behaviour(df: DataFrame, keys: list[str], value: str, levels: DataFrame, swi
     away = far > BAND * sw
     top = d.groupBy(*keys, "swing").agg(
         F.count("_d").alias("_n"), F.count_if(away).alias("_act"), F.count_if(away & (F.col("_d") > 0)).alias("_up"), F.max("_d").alias("_hi"), F.min("_d").alias("_lo"),
-        F.percentile(F.greatest("_d", F.lit(0.0)), 0.99).alias("_over"), F.percentile(F.greatest(-F.col("_d"), F.lit(0.0)), 0.99).alias("_under"),
         F.count_if(far <= BAND * sw).alias("_near"), F.count_if(far <= HELD * sw).alias("_in"), F.max(F.when(away, far).otherwise(0.0)).alias("_most"),
     )
+    for name, x in (("_over", F.col("_d")), ("_under", -F.col("_d"))):
+        top = top.join(quantiles(d, keys, F.greatest(x, F.lit(0.0)), {name: 0.99}), keys)
     on = d.join(top.select(*keys, "_most"), keys).groupBy(*keys).agg(F.count_if(away & (far >= BAND * F.col("_most"))).alias("_on"))
     up, down = F.col("_up") * 5 >= F.col("_act") * 4, F.col("_up") * 5 <= F.col("_act")
     moves = (sw > 0) & (F.col("_act") > 0)
@@ -302,7 +304,7 @@ def localized(df: DataFrame, keys: list[str], frame: str, value: str, levels: Da
     d = df.join(levels.select(*keys, "level"), keys).join(swings.select(*keys, "swing"), keys)
     away = F.coalesce(F.abs(reading(F.col(value)) - F.col("level")) > BAND * F.col("swing"), F.lit(False))
     share = d.groupBy(*keys, frame).agg(F.avg(away.cast("double")).alias("_share")).where("_share > 0")
-    middle = share.groupBy(*keys).agg(F.percentile("_share", 0.5).alias("_middle"))
+    middle = quantiles(share, keys, F.col("_share"), {"_middle": 0.5})
     return rests.join(middle, keys, "left").select(*keys, (F.coalesce("has_rest", F.lit(False)) & F.coalesce(F.col("_middle") < 0.5, F.lit(False))).alias("localized"))
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window, functions as F
 
 from spanloom.operators import places, sequences as seq, signals
+from spanloom.operators.places import quantiles
 from spanloom.plans.registry import EVENTS, query, table, timed_events
 
 REST = """, q AS (SELECT user_id, quantile_cont(value, 0.01) AS lo, quantile_cont(value, 0.5) AS mid, quantile_cont(value, 0.99) AS hi, count(*) AS n FROM ev GROUP BY 1),
@@ -260,7 +261,8 @@ def recording_activity(spark, sf_dir):
     active at once, and the mean response above a declared zero."""
     d = components(spark, sf_dir)
     step = F.abs(F.col("x") - F.lag("x").over(Window.partitionBy("label", "i").orderBy("vec_id")))
-    per = d.withColumn("step", step).groupBy("label", "i").agg((F.max("x") - F.min("x")).alias("r"), F.percentile(F.when(F.col("step") > 0, F.col("step")), 0.5).alias("m"))
+    per = d.withColumn("step", step).groupBy("label", "i").agg((F.max("x") - F.min("x")).alias("r"))
+    per = per.join(quantiles(d.withColumn("step", step), ["label", "i"], F.when(F.col("step") > 0, F.col("step")), {"m": 0.5}), ["label", "i"])
     moved = per.groupBy("label").agg(F.round(F.avg(F.coalesce(F.try_divide("r", "m"), F.lit(0.0))), 5).alias("movements"))
     v = table(spark, sf_dir, "embeddings").select("label", F.transform("embedding", lambda x: x.cast("double")).alias("v"))
     response = F.aggregate("v", F.lit(0.0), lambda s, x: s + F.greatest(x - 0.1, F.lit(0.0)))

@@ -116,3 +116,16 @@ def test_few_pairs_that_are_not_alike_leave_the_join(spark):
     groups = spark.createDataFrame([(k, v, len(v)) for k, v in sets.items()], "g long, t array<string>, n int")
     met = {(r.a, r.b) for r in similarity.candidates(groups, 0.5).collect()}
     assert want and want <= met and len(met) < 4 * len(want) + 200
+
+
+def test_points_of_a_key_are_those_of_percentile(spark):
+    from spanloom.operators import places
+
+    pick = random.Random(4)
+    rows = [(k, None if k == 7 or pick.random() < 0.1 else round(pick.gauss(0, 3), 1 if k % 2 else 9)) for k in [1, 2, 3, 7] for _ in range(97)] + [(9, 1.5), (10, 1.0), (10, 2.0)]
+    df = spark.createDataFrame(rows, "k int, x double")
+    shares = {"lo": 0.01, "mid": 0.5, "hi": 0.99, "end": 1.0}
+    want = df.groupBy("k").agg(*(F.percentile("x", p).alias(c) for c, p in shares.items()))
+    got = places.quantiles(df, ["k"], F.col("x"), shares)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    assert "percentile" not in got._jdf.queryExecution().optimizedPlan().toString()
