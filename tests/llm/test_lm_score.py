@@ -243,6 +243,68 @@ def test_slots_and_scores_are_those_of_one_decision_after_the_other(monkeypatch)
         assert found == pytest.approx(plain.score(t, bool(o), counts, corpus, tables, start), rel=2e-4), t[:60]
 
 
+def test_every_training_text_is_counted_and_teaches_the_weights(spark, monkeypatch):
+    pick = random.Random(8)
+    words = [f"w{k}" for k in range(30)]
+    rows = [(k, " ".join([f"only{k}x", *pick.choices(words, k=pick.choice([3, 20, 90]))])) for k in range(120)]
+    held, coders, lessons, tables = F.col("doc_id") % 4 == 1, [], [], []
+    for name, seen in (("coder_of", coders), ("averaged", lessons), ("empty_tables", tables)):
+        def kept(*args, run=getattr(lm, name), seen=seen):
+            out = run(*args)
+            seen.append(args[0] if run.__name__ == "averaged" else out)
+            return out
+        monkeypatch.setattr(lm, name, kept)
+    assert lm.score_texts(table(spark, rows), held, least_count=2).count() == 120
+    plain = Plain(coders[0])
+    train = [t for k, t in rows if k % 4 != 1]
+    for t in train:
+        plain.learn(t)
+    for (k, at), (zeros, ones) in plain.slots.items():
+        assert tables[0][k][at] == lm.log_odds(np.array(zeros), np.array(ones))
+    # All words are decided but those of passages that other texts hold.
+    passages = Counter(p[1] for t in train for p in plain_passages(t))
+    decisions = Counter()
+    for t in train:
+        p, mine = plain_passages(t), Counter(x[1] for x in plain_passages(t))
+        ends = [*(x[0] for x in p[1:]), len(split(t))]
+        at = {k for (start, key, _), end in zip(p, ends) if passages[key] == mine[key] for k in range(start, end)}
+        assert 0 in at
+        decisions.update(d[0] for d in plain.decisions(t, at))
+    taught = lessons[0][3 * lm.GATES : 4 * lm.GATES]
+    assert (taught[: lm.BYTES].sum(), taught[lm.BYTES : lm.FOLLOWS].sum()) == (decisions[0], decisions[3])
+
+
+def test_teaching_moves_weights_by_the_gradient_of_each_depth():
+    """One text, one gate a decision: weights after a lesson are those of plain steps."""
+    coder = lm.Coder(np.array([word_hash(b"aa"), word_hash(b"bb")], np.uint64), np.array([9, 4]), np.ones(2, bool), 2, np.ones(256, int))
+    tables = [np.random.default_rng(k).integers(-60, 60, 1 << b).astype(np.int8) for k, b in enumerate(lm.SLOT_BITS)]
+    tokens, corpus, plain = lm.Tokens.of(["aa bb aa"]), lm.Corpus(4, 3, 0, 1), Plain(coder)
+    mixer, batch = lm.Mixer(lm.first_weights(), 1), lm.Batch(tokens, coder)
+    decided = lm.Decided(tokens, lm.Passages(tokens, coder, np.zeros(1, bool)), lm.Answers(), corpus)
+    lm.teach_batch(tokens, decided, batch, coder, tables, mixer)
+    w, offsets = [list(map(float, x)) for x in lm.first_weights()[0]], [0.0] * lm.OFFSETS
+    together = defaultdict(list)
+    for first, k, contexts, d, node, bit, _ in plain.decisions("aa bb aa"):
+        x = [int(tables[j][plain.slot(j, c, node)[1]]) for j, c in enumerate(contexts, first)]
+        together[first, d].append(((lm.BYTES if first else lm.WORDS) + min(d, 11) // 3 * 4 + (x[1] != 0) * 2 + (x[2] != 0), x, bit, first // 3))
+    for _, some in sorted(together.items()):
+        pulls, refined = defaultdict(list), defaultdict(list)
+        for gate, x, bit, kind in some:
+            z = sum(v[gate] * y / lm.QUANT for v, y in zip(w, x))
+            bucket = 16 * kind + int(min(15, max(0, z + 8)))
+            miss = bit - 1 / (1 + math.exp(-max(-20, min(20, z + offsets[bucket]))))
+            pulls[gate].append([miss * y / lm.QUANT for y in x])
+            refined[bucket].append(miss)
+        for gate, pull in pulls.items():
+            for v, g in zip(w, zip(*pull)):
+                v[gate] += lm.RATE * sum(g) / (len(pull) + lm.STEADY)
+        for bucket, pull in refined.items():
+            offsets[bucket] += lm.OFFSET_RATE * sum(pull) / (len(pull) + lm.STEADY)
+    for v, found in zip(w, mixer.w):
+        assert found[: lm.FOLLOWS] * lm.QUANT == pytest.approx(v[: lm.FOLLOWS], rel=1e-4, abs=1e-5)
+    assert mixer.offsets[:32] == pytest.approx(offsets[:32], rel=1e-4, abs=1e-5)
+
+
 @pytest.mark.parametrize("frequent", [5, 1_000_000])
 def test_scores_have_the_unigram_base_of_a_plain_count(spark, frequent):
     rows = [(1, "The cat\tsat on the mat"), (2, "the dog sat"), (3, None), (4, ""), (5, "a zebra é É"), (6, "the the the"), (6, "the the the"), (None, "cat")]
