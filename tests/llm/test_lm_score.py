@@ -305,6 +305,37 @@ def test_teaching_moves_weights_by_the_gradient_of_each_depth():
     assert mixer.offsets[:32] == pytest.approx(offsets[:32], rel=1e-4, abs=1e-5)
 
 
+def test_a_step_looks_up_the_decisions_of_all_depths_at_once(monkeypatch):
+    """Scoring hashes once for each context of a step's words and bytes, however deep the trees."""
+    texts = random_texts(7)
+    tokens = lm.Tokens.of(texts)
+    keys, n = lm.tallied(tokens.hash)
+    coder = lm.coder_of(keys.view(np.int64), n, len(tokens.hash), 20, 4)
+    assert coder.words.length.max() > 4 and coder.bytes.length.max() > 6
+    tables, calls, slots = lm.empty_tables(coder), [], lm.slots
+    monkeypatch.setattr(lm, "slots", lambda *args: calls.append(args) or slots(*args))
+    own = np.zeros(len(texts), bool)
+    lm.score_batch(tokens, lm.Passages(tokens, coder, own), lm.Answers(), lm.Corpus(len(tokens.hash), len(keys), len(texts), 0), coder, tables, lm.Mixer(lm.first_weights(), len(texts)))
+    steps = int(lm.step_of(tokens.place).max()) + 1
+    assert steps < len(calls) <= 5 * steps + 1
+
+
+def test_shown_slots_and_sums_in_lanes_are_those_of_plain_formulas():
+    draw = np.random.default_rng(4)
+    coder = lm.Coder(np.array([4, 6], np.uint64), np.array([9, 4]), np.ones(2, bool), 2, np.ones(256, int))
+    counts, tables = lm.Counts(coder), lm.empty_tables(coder)
+    for table in counts.tables:
+        at = draw.integers(0, len(table), len(table) // 3)
+        table[at] = draw.choice([1, 2, 5, 126, 127, 128, 5000, 1 << 30], len(at))
+    counts.show(tables)
+    for table, x in zip(tables[1:], counts.tables[1:]):
+        assert (table == lm.log_odds(*x.reshape(-1, 2).astype(np.float32).T)).all()
+    at, x = draw.integers(0, 5, 1003), draw.normal(size=1003)
+    for lanes in (1, 8):
+        bins = lm.Bins(at, 6, lanes)
+        assert bins.n.tolist() == np.bincount(at, minlength=6).tolist() and bins.sums(x) == pytest.approx(np.bincount(at, x, 6))
+
+
 @pytest.mark.parametrize("frequent", [5, 1_000_000])
 def test_scores_have_the_unigram_base_of_a_plain_count(spark, frequent):
     rows = [(1, "The cat\tsat on the mat"), (2, "the dog sat"), (3, None), (4, ""), (5, "a zebra é É"), (6, "the the the"), (6, "the the the"), (None, "cat")]
